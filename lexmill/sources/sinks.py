@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from lexmill.operators.flatten import export_table
 from lexmill.schema import EXPORT_COLUMNS
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true", "emptyValue": '""'}
+READ_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true"}
+# Without the two switches the writer would trim the values.
+WRITE_OPTIONS = {"header": "true", "escape": '"', "emptyValue": '""', "ignoreLeadingWhiteSpace": "false",
+                 "ignoreTrailingWhiteSpace": "false"}
 
 
 def append_records(records: DataFrame, path: str) -> None:
@@ -16,12 +19,12 @@ def append_records(records: DataFrame, path: str) -> None:
 
 
 def write_table(table: DataFrame, path: str) -> None:
-    table.write.mode("overwrite").options(header="true", escape='"', emptyValue='""').csv(path)
+    table.write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
 
 
 def read_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return spark.read.options(**READ_OPTIONS).schema(schema).csv(path)
 
 
 def export(records: DataFrame, folder: str, country: str, day: str, tables: list[str] | None = None) -> dict[str, str]:

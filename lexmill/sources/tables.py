@@ -33,10 +33,10 @@ def read_members(spark: SparkSession, path: str) -> DataFrame:
 def read_amendment_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Semicolon-separated amendment files, each row tagged with the id, URL and bill title of its file.
 
-    `manifest(file_name, amendment_file_id, amendment_file_url, bill_title)` has one row per file.
+    `manifest(file_path, amendment_file_id, amendment_file_url, bill_title)` has one row per file.
     """
     columns = ", ".join(f"`{c}` string" for c in schema.AMENDMENT_FILE_COLUMNS)
     rows = (spark.read.option("sep", ";").option("header", True).option("multiLine", True).option("escape", '"')
             .schema(columns).csv(folder)
-            .withColumn("file_name", F.element_at(F.split("_metadata.file_path", "/"), -1)))
-    return rows.join(manifest, "file_name").drop("file_name")
+            .withColumn("file_path", F.col("_metadata.file_path")))
+    return rows.join(manifest, "file_path").drop("file_path")
