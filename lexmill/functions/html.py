@@ -162,8 +162,15 @@ class Tree:
     """Navigation over a tree column. Elements are struct columns; NULL in gives NULL out."""
 
     def __init__(self, column: str = "tree"):
-        self.els = F.col(column).els
-        self.texts = F.col(column).texts
+        self.column = column
+
+    @property
+    def els(self) -> Column:
+        return F.col(self.column).els
+
+    @property
+    def texts(self) -> Column:
+        return F.col(self.column).texts
 
     def text(self, el: Column) -> Column:
         return F.array_join(F.slice(self.texts, el.pos + 1, el.end - el.pos), "")

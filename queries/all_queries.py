@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["records"]
+MODULES = ["records", "texts", "html"]
 
 
 def load() -> None:
