@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import all_matches, as_col, first_match, lines
+from lexmill.functions.text import all_matches, as_col, first_match, let, lines
 
 # Month names in French and Portuguese.
 FRENCH_MONTHS = {"janvier": 1, "février": 2, "fevrier": 2, "mars": 3, "avril": 4, "mai": 5, "juin": 6, "juillet": 7,
@@ -31,12 +31,14 @@ def _ymd(year: Column, month: Column, day: Column) -> Column:
 
 def french_date(c: Column | str) -> Column:
     """'lundi 3 août 2015' or '1er janvier 2020' to a date."""
-    t = as_col(c)
     pattern = r"(?U)(\d{1,2})(?:er)?\s+([a-zûé]+|\d{1,2})\s+(\d{4})"
-    day, year = first_match(t, pattern, 1), first_match(t, pattern, 3)
-    word = F.regexp_extract(t, pattern, 2)
-    month = F.coalesce(F.try_element_at(_month_map(FRENCH_MONTHS), word).cast("string"), word)
-    return _ymd(year, month, day)
+
+    def read(t: Column) -> Column:
+        word = F.regexp_extract(t, pattern, 2)
+        month = F.coalesce(F.try_element_at(_month_map(FRENCH_MONTHS), word).cast("string"), word)
+        return _ymd(first_match(t, pattern, 3), month, first_match(t, pattern, 1))
+
+    return let(as_col(c), read)
 
 
 def portuguese_date(c: Column | str) -> Column:
@@ -76,14 +78,14 @@ def german_dates_in(c: Column | str) -> Column:
 
 def french_date_in(c: Column | str) -> Column:
     """Submission date if one is named, else the first date of the text."""
-    t = as_col(c)
-    return french_date(F.coalesce(first_match(t, FRENCH_SUBMISSION), first_match(t, "(?U)" + FRENCH_DATE)))
+    return let(as_col(c), lambda t: french_date(
+        F.coalesce(first_match(t, FRENCH_SUBMISSION), first_match(t, "(?U)" + FRENCH_DATE))))
 
 
 def impact_date(c: Column | str) -> Column:
     """Date named in the first 300 characters of an impact assessment, ISO."""
-    head = F.substring(as_col(c), 1, 300)
-    return iso(french_date(F.lower(first_match(head, "(?U)" + FRENCH_DATE))))
+    return let(F.substring(as_col(c), 1, 300),
+               lambda head: iso(french_date(F.lower(first_match(head, "(?U)" + FRENCH_DATE)))))
 
 
 def entry_into_force(law_text: Column | str, published: Column) -> Column:
@@ -92,20 +94,22 @@ def entry_into_force(law_text: Column | str, published: Column) -> Column:
     Five rules, first hit wins: the day after publication; a number of days after; the first day of the next month; a
     written date; immediately. A heading on the first line does not count.
     """
-    ls = lines(law_text)
-    short = F.array_position(ls, "Entrada em vigor")
-    long = F.array_position(ls, "Entrada em vigor e produção de efeitos")
-    at = F.when(short > 0, short).when(long > 0, long)
-    block = F.array_join(F.slice(ls, at.cast("int"), F.lit(10)), " ")
-    t = F.lower(F.replace(block, F.lit("  "), F.lit(" ")))
-    days = first_match(t, r"entra em vigor (\d{1,3}) dias após", 1)
-    rule = (
-        F.when(F.contains(t, F.lit("no dia seguinte ao da sua publicação"))
-               | F.contains(t, F.lit("no dia seguinte à sua publicação")), F.date_add(published, 1))
-        .when(days.isNotNull(), F.date_add(published, days.try_cast("int")))
-        .when(F.contains(t, F.lit("no primeiro dia do mês seguinte ao da sua publicação")),
-              F.add_months(F.trunc(published, "MM"), 1))
-        .when(t.rlike(PORTUGUESE_DATE_TEXT), portuguese_date(t))
-        .when(F.contains(t, F.lit("entra imediatamente em vigor")), published)
-    )
-    return F.when(at > 1, iso(rule))
+    def block(ls: Column) -> Column:
+        short = F.array_position(ls, "Entrada em vigor")
+        long = F.array_position(ls, "Entrada em vigor e produção de efeitos")
+        return let(F.when(short > 0, short).when(long > 0, long).cast("int"), lambda at: F.when(
+            at > 1, F.lower(F.replace(F.array_join(F.slice(ls, at, F.lit(10)), " "), F.lit("  "), F.lit(" ")))))
+
+    def rule(t: Column) -> Column:
+        days = first_match(t, r"entra em vigor (\d{1,3}) dias após", 1)
+        return (
+            F.when(F.contains(t, F.lit("no dia seguinte ao da sua publicação"))
+                   | F.contains(t, F.lit("no dia seguinte à sua publicação")), F.date_add(published, 1))
+            .when(days.isNotNull(), F.date_add(published, days.try_cast("int")))
+            .when(F.contains(t, F.lit("no primeiro dia do mês seguinte ao da sua publicação")),
+                  F.add_months(F.trunc(published, "MM"), 1))
+            .when(t.rlike(PORTUGUESE_DATE_TEXT), portuguese_date(t))
+            .when(F.contains(t, F.lit("entra imediatamente em vigor")), published)
+        )
+
+    return iso(let(let(lines(law_text), block), rule))

@@ -13,39 +13,36 @@ from __future__ import annotations
 
 import html.entities
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.text import let, once
+
 # Elements without content.
 VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track",
              "wbr", "basefont", "bgsound", "command", "frame", "image", "isindex", "keygen", "menuitem", "nextid",
              "spacer"]
 RAW_TAGS = ["script", "style"]
 
+# Groups 2 and 3 hold the slash and the name of a tag, group 1 the name of a raw block.
 MARKUP = (
-    r"(?is)<!--.*?-->"
-    r"|<(script|style)\b[^>]*+>.*?</\1\s*+>"
-    r"|</?[a-z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
-    r"|<[!?][^>]*+>"
+    r"(?s)<(?:((?i:script|style))\b[^>]*+>.*?</(?i:\1)\s*+>"
+    r"|(/?)([a-zA-Z][^\s/>]*+)[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+>"
+    r"|!--.*?-->"
+    r"|[!?][^>]*+>)"
 )
-START, STOP = "\x01", "\x02"
-CHUNK = 256
+START, STOP, QUOTE = "\x01", "\x02", "\x03"
+CHUNK = 32
+OTHER, OPENS, VOID, CLOSES = 0, 1, 2, 3
 
-TOKEN = "struct<kind:string,pos:int,tag:string,markup:string,nl:int>"
-OPEN = "struct<idx:int,parent:int,line:int>"
-DONE = "struct<idx:int,parent:int,line:int,end:int,stop:int>"
-STATE = (f"struct<n:int,line:int,tags:array<string>,stack:array<{OPEN}>,done:array<{DONE}>,"
-         f"chunks:array<array<{DONE}>>>")
-ELEMENT = "struct<pos:int,idx:int,tag:string,markup:string,line:int,parent:int,`end`:int,stop:int>"
+DONE = "struct<idx:int,parent:int,end:int,stop:int>"
 
 
 def _entity_names() -> Column:
     """Named character references of HTML 4, taken from the Python standard library."""
-    pairs = []
-    for name, code in sorted(html.entities.name2codepoint.items()):
-        pairs += [F.lit(name), F.lit(chr(code))]
-    pairs += [F.lit("apos"), F.lit("'")]
-    return F.create_map(*pairs)
+    names = {**{n: chr(code) for n, code in html.entities.name2codepoint.items()}, "apos": "'"}
+    table = START.join(f"{name}{STOP}{char}" for name, char in sorted(names.items()))
+    return F.str_to_map(F.lit(table), F.lit(START), F.lit(STOP))
 
 
 def _code_point(hex_digits: Column) -> Column:
@@ -57,105 +54,142 @@ def decode_entities(c: Column) -> Column:
     names = _entity_names()
 
     def piece(x: Column) -> Column:
-        body = F.regexp_extract(x, r"^&(#?[0-9a-zA-Z]{1,10});", 1)
-        rest = F.substring(x, F.length(body) + 3, F.length(x))
+        return let(F.regexp_extract(x, r"^&(#?[0-9a-zA-Z]{1,10});", 1), lambda body: decoded(x, body))
+
+    def decoded(x: Column, body: Column) -> Column:
         char = (
-            F.when(body.rlike(r"^#[xX][0-9a-fA-F]{1,6}$"), _code_point(F.substring(body, F.lit(3), F.lit(8))))
+            F.when(body == "", F.lit(None).cast("string"))
+            .when(body.rlike(r"^#[xX][0-9a-fA-F]{1,6}$"), _code_point(F.substring(body, F.lit(3), F.lit(8))))
             .when(body.rlike(r"^#[0-9]{1,7}$"), _code_point(F.hex(F.substring(body, F.lit(2), F.lit(8)).cast("long"))))
-            .when(body != "", F.try_element_at(names, body))
+            .otherwise(F.try_element_at(names, body))
         )
-        return F.when(char.isNull(), x).otherwise(F.concat(char, rest))
+        return F.coalesce(F.concat(char, F.substring(x, F.length(body) + 3, F.length(x))), x)
 
-    pieces = F.split(c, "(?=&)")
-    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(pieces, piece), "")).otherwise(c)
+    slow = F.array_join(F.transform(F.split(c, "(?=&)"), piece), "")
+    fast = c
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("nbsp", "\u00a0"), ("amp", "&")):
+        fast = F.replace(fast, F.lit(f"&{name};"), F.lit(char))
+    rare = c.rlike("&(?!lt;|gt;|quot;|nbsp;|amp;)")
+    return F.when(~F.contains(c, F.lit("&")), c).when(rare, slow).otherwise(fast)
 
 
 def _tokens(html_col: Column) -> Column:
-    plain = F.regexp_replace(html_col, f"[{START}{STOP}]", "")
-    return F.split(F.regexp_replace(plain, MARKUP, f"{START}$0{STOP}"), START)
+    """Page to tokens `markup STOP /name STOP text`; the first token is the text before any markup."""
+    plain = F.translate(html_col, START + STOP + QUOTE, "")
+    return F.split(F.regexp_replace(plain, MARKUP, f"{START}$0{STOP}$2$1$3{STOP}"), START)
 
 
-def _markup_of(token: Column) -> Column:
-    return F.when(F.contains(token, F.lit(STOP)), F.substring_index(token, STOP, 1)).otherwise("")
+def _read_token(token: Column, i: Column) -> Column:
+    name = F.lower(F.when(i == 0, "").otherwise(F.substring_index(F.substring_index(token, STOP, -2), STOP, 1)))
+    markup = F.when(i == 0, "").otherwise(F.substring_index(token, STOP, 1))
 
+    def build(name: Column) -> Column:
+        closing = F.startswith(name, F.lit("/"))
+        at_once = name.isin(VOID_TAGS + RAW_TAGS)
+        kind = (F.when(name == "", OTHER)
+                .when(closing, F.when(name.isin(["/" + v for v in VOID_TAGS]), OTHER).otherwise(CLOSES))
+                .when(at_once | F.endswith(markup, F.lit("/>")), VOID).otherwise(OPENS))
+        nl = F.when(F.contains(token, F.lit("\n")),
+                    F.length(token) - F.length(F.replace(token, F.lit("\n"), F.lit("")))).otherwise(0)
+        return F.struct(kind.alias("kind"), i.cast("int").alias("pos"), name.alias("tag"), markup.alias("markup"),
+                        nl.alias("nl"))
 
-def _text_of(token: Column) -> Column:
-    return decode_entities(F.substring_index(token, STOP, -1))
+    return let(name, build)
 
 
-def _read_token(token: Column, i: Column) -> Column:
-    markup = _markup_of(token)
-    tag = F.lower(F.regexp_extract(markup, r"^</?([a-zA-Z][^\s/>]*)", 1))
-    closing = F.startswith(markup, F.lit("</"))
-    at_once = tag.isin(VOID_TAGS + RAW_TAGS) | F.endswith(markup, F.lit("/>"))
-    kind = (F.when(tag == "", "other").when(closing & ~tag.isin(VOID_TAGS), "close").when(closing, "other")
-            .when(at_once, "void").otherwise("open"))
-    nl = F.length(token) - F.length(F.replace(token, F.lit("\n"), F.lit("")))
-    return F.struct(kind.alias("kind"), i.cast("int").alias("pos"), tag.alias("tag"), markup.alias("markup"),
-                    nl.alias("nl"))
+def _done(idx: Column, parent: Column, end: Column, stop: Column) -> Column:
+    return F.struct(idx.alias("idx"), F.coalesce(parent, F.lit(-1)).alias("parent"), end.alias("end"),
+                    stop.alias("stop"))
 
 
 def _step(s: Column, t: Column) -> Column:
-    here = F.struct(s.n.alias("idx"), F.coalesce(F.get(s.stack, 0).idx, F.lit(-1)).alias("parent"),
-                    (s.line + 1).alias("line"))
-    depth = F.when(t.kind == "close", F.array_position(s.tags, t.tag).cast("int")).otherwise(0)
-    ended = F.transform(F.slice(s.stack, F.lit(1), depth), lambda o: F.struct(
-        o.idx.alias("idx"), o.parent.alias("parent"), o.line.alias("line"), t.pos.alias("end"), s.n.alias("stop")))
-    single = F.array(F.struct(here.idx.alias("idx"), here.parent.alias("parent"), here.line.alias("line"),
-                              t.pos.alias("end"), (s.n + 1).alias("stop")))
-    opens = t.kind == "open"
-    full = F.size(s.done) >= CHUNK
-    fresh = F.when(t.kind == "void", single).otherwise(ended)
-    return F.struct(
-        F.when(opens | (t.kind == "void"), s.n + 1).otherwise(s.n).alias("n"),
-        (s.line + t.nl).alias("line"),
-        F.when(opens, F.concat(F.array(t.tag), s.tags))
-        .when(depth > 0, F.slice(s.tags, depth + 1, F.size(s.tags))).otherwise(s.tags).alias("tags"),
-        F.when(opens, F.concat(F.array(here), s.stack))
-        .when(depth > 0, F.slice(s.stack, depth + 1, F.size(s.stack))).otherwise(s.stack).alias("stack"),
-        F.when(full, fresh).when(t.kind.isin("close", "void"), F.concat(s.done, fresh)).otherwise(s.done).alias("done"),
-        F.when(full, F.concat(s.chunks, F.array(s.done))).otherwise(s.chunks).alias("chunks"),
-    )
-
-
-def page_tree(html_col: Column | str) -> Column:
-    """`struct<texts:array<string>, els:array<element>>` of a page; NULL for a NULL page."""
-    raw = F.col(html_col) if isinstance(html_col, str) else html_col
-    tokens = _tokens(raw)
-    # `transform` over a one-item array binds the token list once, so that the markup pass runs once per page.
-    return F.get(F.transform(F.array(tokens), _tree_of), 0)
-
-
-def _tree_of(tokens: Column) -> Column:
-    parsed = F.transform(tokens, _read_token)
-    bound = F.transform(F.array(F.struct(parsed.alias("p"), tokens.alias("t"))), lambda b: _assemble(b.p, b.t))
-    return F.get(bound, 0)
+    """One token: an open tag goes on the stack, a close tag takes everything down to its own off it."""
+    opens, closes = t.kind == OPENS, t.kind == CLOSES
+
+    def build(depth: Column) -> Column:
+        ended = F.transform(F.slice(s.idxs, F.lit(1), depth),
+                            lambda x, j: _done(x, F.get(s.idxs, j + 1), t.pos, s.n))
+        single = F.array(_done(s.n, F.get(s.idxs, 0), t.pos, s.n + 1))
+        fresh = F.when(t.kind == VOID, single).otherwise(ended)
+        full = F.size(s.done) >= CHUNK
+        return F.struct(
+            F.when(opens | (t.kind == VOID), s.n + 1).otherwise(s.n).alias("n"),
+            F.when(opens, F.concat(F.array(t.tag), s.tags))
+            .when(depth > 0, F.slice(s.tags, depth + 1, F.size(s.tags))).otherwise(s.tags).alias("tags"),
+            F.when(opens, F.concat(F.array(s.n), s.idxs))
+            .when(depth > 0, F.slice(s.idxs, depth + 1, F.size(s.idxs))).otherwise(s.idxs).alias("idxs"),
+            F.when(full, fresh).when(opens | (t.kind == OTHER), s.done).otherwise(F.concat(s.done, fresh)).alias("done"),
+            F.when(full, F.concat(s.chunks, F.array(s.done))).otherwise(s.chunks).alias("chunks"))
+
+    found = F.array_position(s.tags, F.substring(t.tag, F.lit(2), F.length(t.tag))).cast("int")
+    return let(F.when(closes, found).otherwise(0), build)
+
+
+def fence(df: DataFrame) -> DataFrame:
+    """Keeps every row, but neither merged projections nor later filters reach below it.
+
+    The optimizer would otherwise copy a page's whole parse into every expression and pushed-down filter that uses it.
+    Unused columns are still pruned.
+    """
+    return df.where(F.rand(0) >= 0)
+
+
+def with_tree(df: DataFrame, html: str = "html") -> DataFrame:
+    """Table with its page column replaced by the parsed tree."""
+    return fence(df.withColumn("tree", page_tree(html)).drop(html))
+
+
+@once
+def page_tree(html_col: str) -> Column:
+    """`struct<texts:array<string>, nls:array<int>, els:array<element>>` of a page column; NULL for a NULL page."""
+    return let(_tokens(F.col(html_col)), lambda t: let(F.transform(t, _read_token), lambda p: _assemble(p, t)))
 
 
 def _assemble(parsed: Column, tokens: Column) -> Column:
-    empty = F.from_json(F.lit('{"n":0,"line":0,"tags":[],"stack":[],"done":[],"chunks":[]}'), STATE)
+    empty = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("tags"),
+                     F.array().cast("array<int>").alias("idxs"), F.array().cast(f"array<{DONE}>").alias("done"),
+                     F.array().cast(f"array<array<{DONE}>>").alias("chunks"))
 
     def finish(s: Column) -> Column:
-        rest = F.transform(s.stack, lambda o: F.struct(
-            o.idx.alias("idx"), o.parent.alias("parent"), o.line.alias("line"),
-            F.size(tokens).alias("end"), s.n.alias("stop")))
+        rest = F.transform(s.idxs, lambda x, j: _done(x, F.get(s.idxs, j + 1), F.size(tokens), s.n))
         return F.array_sort(F.flatten(F.concat(s.chunks, F.array(s.done, rest))))
 
     spans = F.aggregate(parsed, empty, _step, finish)
-    opens = F.filter(parsed, lambda t: t.kind.isin("open", "void"))
+    opens = F.filter(parsed, lambda t: t.kind.isin(OPENS, VOID))
     els = F.zip_with(opens, spans, lambda o, d: F.struct(
-        o.pos.alias("pos"), d.idx.alias("idx"), o.tag.alias("tag"), o.markup.alias("markup"), d.line.alias("line"),
-        d.parent.alias("parent"), F.when(o.kind == "void", o.pos).otherwise(d.end).alias("end"), d.stop.alias("stop")))
-    return F.when(tokens.isNotNull(), F.struct(F.transform(tokens, _text_of).alias("texts"), els.alias("els")))
+        o.pos.alias("pos"), d.idx.alias("idx"), o.tag.alias("tag"), _decoded_markup(o.markup).alias("markup"),
+        d.parent.alias("parent"), F.when(o.kind == VOID, o.pos).otherwise(d.end).alias("end"), d.stop.alias("stop")))
+    texts = F.transform(tokens, lambda x: decode_entities(F.substring_index(x, STOP, -1)))
+    nls = F.transform(parsed, lambda t: t.nl)
+    bare = F.struct(texts.alias("texts"), els.alias("els"))
+    full = let(bare, lambda b: F.struct(b.texts.alias("texts"), nls.alias("nls"), F.transform(
+        b.els, lambda e: e.withField("string", _sole_string(e, b.els, b.texts))).alias("els")))
+    return F.when(tokens.isNotNull(), full)
+
+
+def _sole_string(e: Column, els: Column, texts: Column) -> Column:
+    """The one string an element holds, directly or through a chain of single children; else NULL."""
+    below = e.stop - e.idx - 1
+    last = e.pos + below
+    whole = F.array_join(F.slice(texts, e.pos + 1, e.end - e.pos), "")
+    chain = F.slice(els, e.idx + 2, below)
+    single = (F.get(els, e.stop - 1).pos == last) & F.forall(chain, lambda y: y.end > last)
+    deep = let(whole, lambda w: F.when(w == F.get(texts, last), w))
+    return F.nullif(F.when(below == 0, whole).when(single, deep), F.lit(""))
+
+
+def _decoded_markup(c: Column) -> Column:
+    """Markup with character references read; quotes written as references stay apart from those around values."""
+    marked = F.regexp_replace(c, "&(?:quot|#0*34|#[xX]0*22);", QUOTE)
+    return F.when(F.contains(c, F.lit("&")), decode_entities(marked)).otherwise(c)
 
 
 def attr(el: Column, name: str) -> Column:
     """Value of an attribute, NULL if the element or the attribute is absent."""
-    markup = el.markup
     head = rf"(?is)[\s\"']{name}\s*=\s*"
-    value = F.concat(*[F.regexp_extract(markup, head + tail, 1)
-                       for tail in (r"\"([^\"]*)\"", r"'([^']*)'", r"([^\s\"'>]+)")])
-    return F.when(F.contains(F.lower(markup), F.lit(name)) & markup.rlike(head), decode_entities(value))
+    whole = rf"(?is)^.*?[\s\"']{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]*)).*$"
+    return let(el.markup, lambda m: F.when(
+        m.rlike(head), F.translate(F.regexp_replace(m, whole, "$1$2$3"), QUOTE, '"')))
 
 
 class Tree:
@@ -172,20 +206,23 @@ class Tree:
     def texts(self) -> Column:
         return F.col(self.column).texts
 
+    @property
+    def nls(self) -> Column:
+        return F.col(self.column).nls
+
+    def line(self, el: Column) -> Column:
+        """Source line of an element's tag, counted from 1."""
+        return F.aggregate(F.slice(self.nls, F.lit(1), el.pos), F.lit(1), lambda a, x: a + x)
+
+    def _text(self, e: Column) -> Column:
+        return F.array_join(F.slice(self.texts, e.pos + 1, e.end - e.pos), "")
+
     def text(self, el: Column) -> Column:
-        return F.array_join(F.slice(self.texts, el.pos + 1, el.end - el.pos), "")
+        return let(el, self._text)
 
     def string(self, el: Column) -> Column:
         """The one string an element holds, directly or through single children; else NULL."""
-        below = el.stop - el.idx - 1
-        inner = F.get(self.els, el.idx + below)
-        whole = self.text(el)
-        chain = F.slice(self.els, el.idx + 2, below)
-        deep = F.when(
-            (inner.pos == el.pos + below)
-            & F.forall(chain, lambda y: y.end > inner.pos)
-            & (whole == F.get(self.texts, inner.pos)), F.nullif(whole, F.lit("")))
-        return F.when(below == 0, F.nullif(whole, F.lit(""))).otherwise(deep)
+        return el.string
 
     def test(self, name=None, cls=None, id=None, id_re=None, title=None, href_re=None, string=None, string_re=None,
              attrs=None):
@@ -208,9 +245,9 @@ class Tree:
             for key, value in (attrs or {}).items():
                 conds.append(attr(e, key) == value)
             if string is not None:
-                conds.append(self.string(e) == string)
+                conds.append(e.string == string)
             if string_re is not None:
-                conds.append(self.string(e).rlike(string_re))
+                conds.append(e.string.rlike(string_re))
             out = conds[0]
             for c in conds[1:]:
                 out = out & c
@@ -218,8 +255,10 @@ class Tree:
         return check
 
     def find_all(self, within: Column | None = None, **query) -> Column:
-        base = self.els if within is None else F.slice(self.els, within.idx + 2, within.stop - within.idx - 1)
-        return F.filter(base, self.test(**query))
+        check = self.test(**query)
+        if within is None:
+            return F.filter(self.els, check)
+        return let(within, lambda w: F.filter(F.slice(self.els, w.idx + 2, w.stop - w.idx - 1), check))
 
     def find(self, within: Column | None = None, **query) -> Column:
         return F.get(self.find_all(within, **query), 0)
@@ -237,8 +276,8 @@ class Tree:
 
     def sibling(self, el: Column, **query) -> Column:
         check = self.test(**query)
-        later = F.slice(self.els, el.idx + 2, F.size(self.els))
-        return F.get(F.filter(later, lambda y: (y.parent == el.parent) & check(y)), 0)
+        return let(el, lambda e: F.get(F.filter(F.slice(self.els, e.idx + 2, F.size(self.els)),
+                                                lambda y: (y.parent == e.parent) & check(y)), 0))
 
     def parent(self, el: Column, times: int = 1) -> Column:
         for _ in range(times):
@@ -252,20 +291,21 @@ class Tree:
 
     def next_text(self, el: Column, pattern: str) -> Column:
         """Position of the first text piece after the start of an element that matches a pattern."""
-        hits = F.filter(F.transform(F.slice(self.texts, el.pos + 1, F.size(self.texts)),
-                                    lambda x, i: F.struct(i.alias("i"), x.alias("txt"))),
-                        lambda m: m.txt.rlike(pattern))
-        return el.pos + F.get(hits, 0).i
+        def first(start: Column) -> Column:
+            pieces = F.transform(F.slice(self.texts, start + 1, F.size(self.texts)),
+                                 lambda x, i: F.struct((start + i).alias("pos"), x.alias("txt")))
+            return F.get(F.filter(pieces, lambda m: m.txt.rlike(pattern)), 0).pos
+        return let(el.pos, first)
 
     def holder(self, text_pos: Column) -> Column:
         """Innermost element around a text piece."""
-        return F.try_element_at(
-            F.filter(self.els, lambda e: (e.pos <= text_pos) & (e.end > text_pos)), F.lit(-1))
+        return let(text_pos, lambda p: F.try_element_at(
+            F.filter(self.els, lambda e: (e.pos <= p) & (e.end > p)), F.lit(-1)))
 
     def text_in(self, el: Column, pattern: str) -> Column:
         """First text piece inside an element that matches a pattern."""
-        pieces = F.slice(self.texts, el.pos + 1, el.end - el.pos)
-        return F.get(F.filter(pieces, lambda x: x.rlike(pattern)), 0)
+        return let(el, lambda e: F.get(F.filter(F.slice(self.texts, e.pos + 1, e.end - e.pos),
+                                                lambda x: x.rlike(pattern)), 0))
 
     def texts_of(self, items: Column) -> Column:
-        return F.transform(items, self.text)
+        return F.transform(items, self._text)

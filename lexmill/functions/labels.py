@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import all_matches, as_col, filled_lines, first_match, strip
+from lexmill.functions.text import all_matches, as_col, filled_lines, first_match, let, strip
 
 # Enumerations of the record model.
 GOVERNMENT, INDIVIDUAL_MP = "GOVERNMENT", "INDIVIDUAL_MP"
@@ -83,12 +83,11 @@ def origin_de(c: Column | str) -> Column:
 
 
 def house_fr(c: Column | str) -> Column:
-    t = as_col(c)
-    return F.when(has(t, "Assemblée nationale"), LOWER).when(has(t, "Sénat"), UPPER)
+    return let(as_col(c), lambda t: F.when(has(t, "Assemblée nationale"), LOWER).when(has(t, "Sénat"), UPPER))
 
 
 def house_de(c: Column | str) -> Column:
-    return _lookup(as_col(c), GERMAN_HOUSES, F.lit(None).cast("string"))
+    return let(as_col(c), lambda t: _lookup(t, GERMAN_HOUSES, F.lit(None).cast("string")))
 
 
 def repair_house_de(c: Column | str) -> Column:
@@ -98,8 +97,7 @@ def repair_house_de(c: Column | str) -> Column:
 
 
 def stage_name_fr(c: Column | str) -> Column:
-    t = as_col(c)
-    return _lookup(t, FRENCH_STAGES, t)
+    return let(as_col(c), lambda t: _lookup(t, FRENCH_STAGES, t))
 
 
 def outcome_fr_file(c: Column | str) -> Column:
@@ -110,7 +108,8 @@ def outcome_fr_file(c: Column | str) -> Column:
 
 def outcome_fr_page(c: Column | str) -> Column:
     """Outcome on amendment pages; unknown labels are NULL."""
-    return _lookup(as_col(c), FRENCH_OUTCOMES | {"Irrecevable": "INADMISSIBLE"}, F.lit(None).cast("string"))
+    return let(as_col(c), lambda t: _lookup(t, FRENCH_OUTCOMES | {"Irrecevable": "INADMISSIBLE"},
+                                            F.lit(None).cast("string")))
 
 
 def outcome_de(c: Column | str) -> Column:
@@ -119,9 +118,8 @@ def outcome_de(c: Column | str) -> Column:
 
 
 def status_de(c: Column | str) -> Column:
-    t = as_col(c)
-    return (F.when(t == "Verkündet", PASSED).when(t == "Abgelehnt", REJECTED)
-            .when(t.isin(*GERMAN_NO_STATUS), F.lit(None).cast("string")).otherwise(ONGOING))
+    return let(as_col(c), lambda t: F.when(t == "Verkündet", PASSED).when(t == "Abgelehnt", REJECTED)
+               .when(t.isin(*GERMAN_NO_STATUS), F.lit(None).cast("string")).otherwise(ONGOING))
 
 
 def originator(name: Column, affiliation: Column) -> Column:
@@ -130,12 +128,13 @@ def originator(name: Column, affiliation: Column) -> Column:
 
 def originator_pt(c: Column | str) -> Column:
     """'Name (PARTY)' to name and affiliation."""
-    t = as_col(c)
-    at = F.locate("(", t)
-    both = (at > 0) & has(t, ")")
-    name = F.when(both, F.substring(t, F.lit(1), F.greatest(at - 2, F.lit(0)))).otherwise(t)
-    aff = F.when(both, F.substring(t, at + 1, F.length(t) - at - 1))
-    return originator(name, aff)
+    def read(t: Column) -> Column:
+        at = F.locate("(", t)
+        both = (at > 0) & has(t, ")")
+        name = F.when(both, F.substring(t, F.lit(1), F.greatest(at - 2, F.lit(0)))).otherwise(t)
+        return originator(name, F.when(both, F.substring(t, at + 1, F.length(t) - at - 1)))
+
+    return let(as_col(c), read)
 
 
 def government_party_de(c: Column | str) -> Column:
@@ -144,14 +143,14 @@ def government_party_de(c: Column | str) -> Column:
 
 def committee_fr(c: Column | str) -> Column:
     """Committee text to name and role; a role only if there are exactly two lines."""
-    t = as_col(c)
-    ls = filled_lines(t)
-    two = F.size(ls) == 2
-    return F.struct(
-        F.when(two, F.get(ls, 0)).otherwise(strip(t)).alias("committee_name"),
-        F.when(two, F.when(F.get(ls, 1) == "Commission saisie au fond", "Lead").otherwise("Advisory"))
-        .alias("committee_role"),
-        F.lit(None).cast("string").alias("committee_date"))
+    def read(b: Column) -> Column:
+        two = F.size(b.ls) == 2
+        role = F.when(F.get(b.ls, 1) == "Commission saisie au fond", "Lead").otherwise("Advisory")
+        return F.struct(F.when(two, F.get(b.ls, 0)).otherwise(strip(b.t)).alias("committee_name"),
+                        F.when(two, role).alias("committee_role"),
+                        F.lit(None).cast("string").alias("committee_date"))
+
+    return let(let(as_col(c), lambda t: F.struct(t.alias("t"), filled_lines(t).alias("ls"))), read)
 
 
 def bill_id_pt(c: Column | str) -> Column:
@@ -191,10 +190,11 @@ def party(c: Column | str) -> Column:
 
 def heading_parts(c: Column | str) -> Column:
     """'type : title (…)' to its two fields, NULL without a colon."""
-    t = as_col(c)
-    parts = F.transform(F.split(t, ":"), strip)
-    title = strip(F.substring_index(F.get(parts, 1), "(", 1))
-    return F.when(has(t, ":"), F.struct(F.get(parts, 0).alias("law_type"), title.alias("title")))
+    def read(parts: Column) -> Column:
+        title = strip(F.substring_index(F.get(parts, 1), "(", 1))
+        return F.when(F.size(parts) > 1, F.struct(F.get(parts, 0).alias("law_type"), title.alias("title")))
+
+    return let(F.transform(F.split(as_col(c), ":"), strip), read)
 
 
 def title_pt(c: Column | str) -> Column:

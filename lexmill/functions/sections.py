@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import as_col, strip
+from lexmill.functions.text import as_col, let, strip
 
 # Section markers of German bill documents. The end of the second impact section is a pattern.
 BILL_START, BILL_END = "Artikel 1\n", "Besonderer Teil"
@@ -20,24 +20,25 @@ def _from(c: Column, marker: str) -> Column:
 
 def bill_section(c: Column | str) -> Column:
     """Bill text from its first article to the special part; the whole text if it has no first article."""
-    t = as_col(c)
-    squeezed = F.regexp_replace(t, " +", " ")
-    tail = _from(squeezed, BILL_START)
-    body = F.when(F.locate(BILL_END, tail) > 0, F.substring_index(tail, BILL_END, 1)).otherwise(tail)
-    return strip(F.when(F.locate(BILL_START, squeezed) > 0, body).otherwise(t))
+    def cut(b: Column) -> Column:
+        body = F.substring_index(_from(b.squeezed, BILL_START), BILL_END, 1)
+        return strip(F.when(F.locate(BILL_START, b.squeezed) > 0, body).otherwise(b.t))
+
+    return let(let(as_col(c), lambda t: F.struct(t.alias("t"), F.regexp_replace(t, " +", " ").alias("squeezed"))), cut)
 
 
 def impact_sections(c: Column | str) -> tuple[Column, Column]:
     """The two impact sections. The first needs both markers; the second may run, unstripped, to the end."""
-    t = as_col(c)
-    tail1 = _from(t, IMPACT_START)
-    first = F.when((F.locate(IMPACT_START, t) > 0) & (F.locate(IMPACT_END, tail1) > 0),
-                   strip(F.substring_index(tail1, IMPACT_END, 1)))
-    tail2 = _from(t, REASONS_START)
-    stop = F.regexp_instr(tail2, F.lit(REASONS_END))
-    second = F.when(F.locate(REASONS_START, t) > 0,
-                    F.when(stop > 0, strip(F.substring(tail2, F.lit(1), stop - 1))).otherwise(tail2))
-    return first, second
+    def first(t: Column) -> Column:
+        return let(F.when(F.locate(IMPACT_START, t) > 0, _from(t, IMPACT_START)), lambda tail: F.when(
+            F.locate(IMPACT_END, tail) > 0, strip(F.substring_index(tail, IMPACT_END, 1))))
+
+    def second(t: Column) -> Column:
+        return let(F.when(F.locate(REASONS_START, t) > 0, _from(t, REASONS_START)), lambda tail: let(
+            F.regexp_instr(tail, F.lit(REASONS_END)),
+            lambda stop: F.when(stop > 0, strip(F.substring(tail, F.lit(1), stop - 1))).otherwise(tail)))
+
+    return let(as_col(c), first), let(as_col(c), second)
 
 
 def amendment_block(c: Column | str) -> Column:

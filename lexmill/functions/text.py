@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +21,25 @@ def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(fn):
+    """Column expressions that depend on no table are built once per session; large ones take seconds to build."""
+    built = {}
+
+    @functools.wraps(fn)
+    def get(*args):
+        key = (id(SparkContext._active_spark_context), *args)
+        if key not in built:
+            built[key] = fn(*args)
+        return built[key]
+
+    return get
+
+
+def let(value: Column, fn) -> Column:
+    """`fn` of a value that is evaluated once, however often and however deep in lambdas `fn` uses it."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def strip(c: Column | str) -> Column:
     """Drop leading and trailing white space of any kind (`trim` only knows the space)."""
     return F.regexp_replace(as_col(c), r"(?U)^\s+|\s+$", "")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexmill.functions.text import all_matches, as_col, first_match, lines, strip
+from lexmill.functions.text import all_matches, as_col, first_match, let, lines, strip
 
 # Labels of the vote texts.
 PT_VOTE_LABELS = ("Contra", "A Favor", "Abstenção", "Ausência")
@@ -19,15 +19,17 @@ def vote_parties(c: Column | str) -> Column:
     t = as_col(c)
     for label in PT_VOTE_LABELS:
         t = F.replace(t, F.lit(label), F.lit("\n" + label))
-    parts = lines(t)
 
-    def side(label: str) -> Column:
-        own = F.filter(parts, lambda x: F.startswith(x, F.lit(label)) & (F.substring_index(x, ":", 1) == label)
-                       & F.contains(x, F.lit(":")))
-        return strip(F.get(F.split(F.try_element_at(own, F.lit(-1)), ":"), 1))
+    def sides(parts: Column) -> Column:
+        def side(label: str) -> Column:
+            own = F.filter(parts, lambda x: F.startswith(x, F.lit(label + ":")))
+            return strip(F.get(F.split(F.try_element_at(own, F.lit(-1)), ":"), 1))
 
-    return F.when(as_col(c).isNotNull(), F.struct(
-        side("A Favor").alias("vote_for"), side("Contra").alias("vote_against"), side("Abstenção").alias("vote_abst")))
+        return F.when(parts.isNotNull(), F.struct(
+            side("A Favor").alias("vote_for"), side("Contra").alias("vote_against"),
+            side("Abstenção").alias("vote_abst")))
+
+    return let(lines(t), sides)
 
 
 def vote_counts_fr(c: Column | str) -> dict[str, Column]:
@@ -41,11 +43,14 @@ def vote_counts_de(c: Column | str) -> dict[str, Column]:
     numbers, which must stand on six lines.
     """
     t = as_col(c)
-    ids = all_matches(F.substring_index(t, "Seite:", 1), r"\d+/\d+", 0)
     run = F.regexp_substr(t, F.lit(r"(?U)(\d+\s+){6}"))
-    numbers = F.filter(lines(run), lambda x: x != "")
-    six = F.size(numbers) == 6
+
+    def item(i: int) -> Column:
+        return let(F.filter(lines(run), lambda x: x != ""),
+                   lambda n: F.when(F.size(n) == 6, strip(F.get(n, i)).try_cast("int")))
+
+    ids = all_matches(F.substring_index(t, "Seite:", 1), r"\d+/\d+", 0)
     out = {"final_version_printed_matter_id": F.try_element_at(ids, F.lit(-1))}
     for i, name in enumerate(("final_vote_for", "final_vote_against", "final_vote_abst")):
-        out[name] = F.when(six, strip(F.get(numbers, 2 + i)).try_cast("int"))
+        out[name] = item(2 + i)
     return out

@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.functions.html import Tree, page_tree
+from lexmill.functions.html import Tree, attr, with_tree
 
 T = Tree()
 
 
-def with_tree(pages: DataFrame, html: str = "html") -> DataFrame:
-    return pages.withColumn("tree", page_tree(html)).drop(html)
-
-
 def elements(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """One row per element: key, pos, idx, tag, markup, line, parent, end, stop. Narrow: no shuffle."""
+    """One row per element: key, pos, idx, tag, markup, parent, end, stop. Narrow: no shuffle."""
     return with_tree(pages.select(key, html), html).select(key, F.inline("tree.els"))
 
 
@@ -45,8 +41,6 @@ def nearest(els: DataFrame, key: str, condition: Column, name: str, later: bool)
 
 def table_cells(trees: DataFrame, key: str, cells: dict[str, int], row_attr: str | None = None) -> DataFrame:
     """Table rows as columns: the texts of the named cells of every `tr`."""
-    from lexmill.functions.html import attr
-
     def row(tr: Column) -> Column:
         texts = T.texts_of(T.find_all(tr, name="td"))
         out = [F.get(texts, i).alias(n) for n, i in cells.items()]

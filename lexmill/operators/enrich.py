@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.labels import PT_BILL_ID, bill_id_fr_file, names_plenary, outcome_fr_file
-from lexmill.functions.text import (all_matches, clean_text, dense_length, normalise_separators, reverse_words,
+from lexmill.functions.text import (all_matches, clean_text, dense_length, let, normalise_separators, reverse_words,
                                     split_names)
 from lexmill.functions.urls import clean_url, part_after
 from lexmill.functions.votes import vote_counts_de
@@ -142,9 +142,9 @@ def stage_number_of(stages: Column, name: Column) -> Column:
 
 def with_amendment_stage_numbers(amendments: Column, stages: Column) -> Column:
     """Array of amendments with stage numbers; an amendment without a matching stage keeps its own."""
-    return F.transform(amendments, lambda a: a.withField(
+    return let(stages, lambda ss: F.transform(amendments, lambda a: a.withField(
         "amendment_stage_number",
-        F.coalesce(stage_number_of(stages, a["amendment_stage_name"]), a["amendment_stage_number"])))
+        F.coalesce(stage_number_of(ss, a["amendment_stage_name"]), a["amendment_stage_number"]))))
 
 
 # --- votes, topics, hearings --------------------------------------------------------------------------------------
@@ -226,8 +226,11 @@ def sized_stages(stages: DataFrame, debates: DataFrame, text: str) -> DataFrame:
 
 def distinct_by_name(items: Column, name: str) -> Column:
     """First item of each name, in order."""
-    names = F.array_distinct(F.transform(items, lambda x: x[name]))
-    return F.transform(names, lambda n: F.get(F.filter(items, lambda x: x[name].eqNullSafe(n)), 0))
+    def firsts(xs: Column) -> Column:
+        names = F.array_distinct(F.transform(xs, lambda x: x[name]))
+        return F.transform(names, lambda n: F.get(F.filter(xs, lambda x: x[name].eqNullSafe(n)), 0))
+
+    return let(items, firsts)
 
 
 def modified_law_ids(cells: DataFrame) -> DataFrame:

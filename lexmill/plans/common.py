@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.html import page_tree
+from lexmill.functions.html import fence, with_tree
 from lexmill.functions.urls import clean_url
 from lexmill.operators.enrich import cached_texts
 
@@ -21,8 +21,14 @@ def pages_of(pages: DataFrame, country: str, kind: str) -> DataFrame:
 def parsed(pages: DataFrame) -> DataFrame:
     """Pages with their tree and line count; the HTML itself is dropped."""
     newlines = F.length("html") - F.length(F.replace(F.col("html"), F.lit("\n"), F.lit("")))
-    return pages.withColumns({"tree": page_tree("html"), "page_lines": newlines,
-                              "page_hash": F.xxhash64("html")}).drop("html")
+    return with_tree(pages.withColumns({"page_lines": newlines, "page_hash": F.xxhash64("html")}))
+
+
+def staged(df: DataFrame, steps: list[dict[str, Column]]) -> DataFrame:
+    """Columns added step by step, each computed once however many later ones use it."""
+    for step in steps:
+        df = fence(df.withColumns(step))
+    return df
 
 
 def one_per_url(fields: DataFrame) -> DataFrame:

@@ -11,14 +11,14 @@ from lexmill.functions.html import Tree, attr
 from lexmill.functions.labels import (FR_LAW_ID, FR_MODIFIED_LAWS, FRENCH_BILL_TYPES, INDIVIDUAL_MP, ONGOING, PASSED,
                                       REJECTED, WITHDRAWN, bill_id_fr, committee_fr, has, heading_parts, house_fr,
                                       law_id_fr, modified_laws, origin_fr, outcome_fr_page, stage_name_fr)
-from lexmill.functions.text import (clean_name, clean_text, dense_length, filled_lines, first_int, first_match,
-                                    split_page_names, strip)
+from lexmill.functions.text import (clean_name, clean_text, dense_length, filled_lines, first_int, first_match, let,
+                                    once, split_page_names, strip)
 from lexmill.functions.urls import FRENCH_HOST, absolute_url
 from lexmill.functions.votes import vote_counts_fr
 from lexmill.operators.enrich import (affiliations, cached_texts, distinct_by_name, record_debate_sizes,
                                       stage_debate_sizes)
 from lexmill.operators.keyed import patch, regroup
-from lexmill.plans.common import attach_texts, one_per_url, pages_of, parsed
+from lexmill.plans.common import attach_texts, one_per_url, pages_of, parsed, staged
 
 T = Tree()
 HTTP = ("http",)
@@ -40,47 +40,55 @@ def _originator_names() -> Column:
     return F.concat(F.coalesce(authors, nobody), F.coalesce(signers, nobody))
 
 
-def main_fields(pages: DataFrame) -> DataFrame:
-    """Fields of the main page, for the two bill types that are kept."""
-    found = parsed(pages).withColumns({
-        "type_text": T.text(T.find(name="p", cls="deputy-healine-sub-title")),
+@once
+def _main_elements() -> dict[str, Column]:
+    return {
         "prom_el": T.find(name="div", id_re=r"\d\d-PROM"),
         "depot_el": T.find(name="div", id_re="DEPOT$"),
         "impact_el": T.find(name="h4", string_re="Etude d'impact"),
-    }).where(strip("type_text").isin(*FRENCH_BILL_TYPES))
-    left = T.find_all(F.col("depot_el"), name="div", cls="cartouche-rapporteur-left")
-    bill_link = attr(F.when(F.size(left) == 1, T.find(F.get(left, 0), name="a")), "href")
-    fast = T.find(name="strong", string_re="Le Gouvernement a engagé la procédure accélérée").isNotNull()
-    published = T.text_in(F.col("prom_el"), FRENCH_PUBLICATION)
-    step = found.withColumns({
+        "fast": T.find(name="strong", string_re="Le Gouvernement a engagé la procédure accélérée").isNotNull(),
         "origin_type": origin_fr("type_text"),
         "names": _originator_names(),
-        "promulgated": F.col("prom_el").isNotNull(),
-    })
-    return step.select(
-        "url", "page_hash", "promulgated", "origin_type",
+    }
+
+
+@once
+def _main_columns() -> list[Column]:
+    left = T.find_all(F.col("depot_el"), name="div", cls="cartouche-rapporteur-left")
+    bill_link = let(left, lambda d: attr(F.when(F.size(d) == 1, T.find(F.get(d, 0), name="a")), "href"))
+    published = T.text_in(F.col("prom_el"), FRENCH_PUBLICATION)
+    return [
+        F.col("origin_type"),
+        F.col("prom_el").isNotNull().alias("promulgated"),
         T.text(T.find(name="h1")).alias("bill_title"),
         bill_id_fr("url", T.text(F.col("depot_el"))).alias("depot_id"),
         F.when((F.col("origin_type") == INDIVIDUAL_MP) & (F.size("names") > 0), F.col("names")).alias("names"),
         law_id_fr(T.text_in(F.col("prom_el"), FR_LAW_ID)).alias("law_id"),
         iso(french_date(published)).alias("date_entering_into_force"),
-        absolute_url(bill_link).alias("bill_text_url"),
+        let(bill_link, absolute_url).alias("bill_text_url"),
         attr(T.find(F.col("prom_el"), name="a"), "href").alias("law_text_url"),
-        F.when(fast, "EXCEPTIONAL").otherwise("REGULAR").alias("procedure_type_standard"),
-        F.when(fast, "Accelerée").otherwise("Ordinaire").alias("procedure_type_national"),
+        F.when(F.col("fast"), "EXCEPTIONAL").otherwise("REGULAR").alias("procedure_type_standard"),
+        F.when(F.col("fast"), "Accelerée").otherwise("Ordinaire").alias("procedure_type_national"),
         F.col("impact_el").isNotNull().alias("ia_dummy"),
         attr(T.find(T.parent(F.col("impact_el")), name="a"), "href").alias("ia_link"),
-    )
+    ]
+
+
+def main_fields(pages: DataFrame) -> DataFrame:
+    """Fields of the main page, for the two bill types that are kept; other pages leave after their type is read."""
+    typed = staged(parsed(pages), [{"type_text": T.text(T.find(name="p", cls="deputy-healine-sub-title"))}])
+    kept = typed.where(strip("type_text").isin(*FRENCH_BILL_TYPES))
+    return staged(kept, [_main_elements()]).select("url", "page_hash", *_main_columns())
 
 
 def _stages() -> Column:
     def one(h: Column) -> Column:
         parts = F.transform(F.filter(F.split(T.text(h), "\n"), lambda p: p != ""), strip)
-        return F.struct(
-            F.lit(None).cast("int").alias("number"), F.get(parts, 0).alias("name"),
+        return let(parts, lambda p: F.struct(
+            F.lit(None).cast("int").alias("number"), F.get(p, 0).alias("name"),
             iso(french_date_in(T.text(T.next(h, name="div")))).alias("date"),
-            house_fr(F.get(parts, 1)).alias("house"), F.lit(None).cast("bigint").alias("debate_size"),
-            F.lit(None).cast("string").alias("debate_url"))
+            house_fr(F.get(p, 1)).alias("house"), F.lit(None).cast("bigint").alias("debate_size"),
+            F.lit(None).cast("string").alias("debate_url")))
     return F.transform(T.find_all(name="h3"), one)
 
 
@@ -92,57 +100,66 @@ def last_stage_date(stages: Column, part: str) -> Column:
 
 def _hearings() -> Column:
     heads = T.find_all(name="h6", string_re="Agenda et comptes-rendus des réunions")
-    counts = F.transform(heads, lambda h: F.coalesce(
-        F.size(T.find_all(T.sibling(h, name="div"), name="div", cls="reunion")), F.lit(0)))
-    total = F.aggregate(counts, F.lit(0), lambda a, x: a + F.greatest(x, F.lit(0)))
-    return F.when(F.size(heads) > 0, total)
+    meetings = F.transform(heads, lambda h: T.find_all(T.sibling(h, name="div"), name="div", cls="reunion"))
+    total = F.aggregate(meetings, F.lit(0), lambda a, m: a + F.when(m.isNull(), 0).otherwise(F.size(m)))
+    return F.when(F.col("has_hearings"), total)
 
 
 def _debate_links() -> Column:
     def one(a: Column) -> Column:
-        ls = filled_lines(T.text(T.previous(a, name="h3")))
-        return F.struct(absolute_url(attr(a, "href"), FRENCH_HOST, HTTP).alias("debate_url"),
-                        stage_name_fr(F.get(ls, 0)).alias("name"), house_fr(F.get(ls, 1)).alias("house"))
+        url = let(attr(a, "href"), lambda u: absolute_url(u, FRENCH_HOST, HTTP))
+        return let(filled_lines(T.text(T.previous(a, name="h3"))), lambda ls: F.struct(
+            url.alias("debate_url"), stage_name_fr(F.get(ls, 0)).alias("name"), house_fr(F.get(ls, 1)).alias("house")))
     return F.transform(T.find_all(name="a", title="Accéder au compte-rendu"), one)
 
 
-def one_page_fields(pages: DataFrame) -> DataFrame:
-    """Fields of the dossier shown as one page."""
-    links = T.find_all(name="a", cls="link-examen-amendement")
-    numbers = F.transform(links, lambda a: first_int(T.text(a)))
+@once
+def _one_page_steps() -> list[dict[str, Column]]:
     committees = distinct_by_name(
         F.transform(T.find_all(name="span", cls="commission"), lambda s: committee_fr(T.text(s))), "committee_name")
-    step = parsed(pages).withColumns({
-        "legislative_stages": _stages(), "links": links,
-        "committees": F.when(F.size(committees) > 0, committees)})
-    stages = F.col("legislative_stages")
-    some = F.size("links") > 0
-    return step.select(
-        "url", "page_hash", "legislative_stages", F.size(stages).alias("stages_count"),
-        last_stage_date(stages, "Dépôt").alias("date_introduction"),
-        last_stage_date(stages, "Promulgation").alias("date_passing"),
-        T.find(name="h4", string_re="Texte rejeté").isNotNull().alias("rejected"),
-        T.find(name="h2", string_re="Retrait").isNotNull().alias("withdrawn"),
-        "committees", F.when(F.col("committees").isNotNull(), F.size("committees")).alias("committee_count"),
-        _hearings().alias("committee_hearing_count"),
-        _debate_links().alias("debates"),
-        F.when(some, F.aggregate(numbers, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0)))).alias("amendment_count"),
-        F.when(some, F.transform("links", lambda a: attr(a, "href"))).alias("amendment_links"),
-    )
+    elements = {
+        "legislative_stages": _stages(),
+        "links": T.find_all(name="a", cls="link-examen-amendement"),
+        "committees": let(committees, lambda cs: F.when(F.size(cs) > 0, cs)),
+        "has_hearings": T.find(name="h6", string_re="Agenda et comptes-rendus des réunions").isNotNull(),
+    }
+    stages, some = F.col("legislative_stages"), F.size("links") > 0
+    numbers = F.transform("links", lambda a: first_int(T.text(a)))
+    fields = {
+        "stages_count": F.size(stages),
+        "date_introduction": last_stage_date(stages, "Dépôt"),
+        "date_passing": last_stage_date(stages, "Promulgation"),
+        "rejected": T.find(name="h4", string_re="Texte rejeté").isNotNull(),
+        "withdrawn": T.find(name="h2", string_re="Retrait").isNotNull(),
+        "committee_count": F.when(F.col("committees").isNotNull(), F.size("committees")),
+        "committee_hearing_count": _hearings(),
+        "debates": _debate_links(),
+        "amendment_count": F.when(some, F.aggregate(numbers, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0)))),
+        "amendment_links": F.when(some, F.transform("links", lambda a: attr(a, "href"))),
+    }
+    return [elements, fields]
+
+
+def one_page_fields(pages: DataFrame) -> DataFrame:
+    """Fields of the dossier shown as one page."""
+    return staged(parsed(pages), _one_page_steps()).select(
+        "url", "page_hash", "legislative_stages", "committees", *_one_page_steps()[1])
 
 
 def law_fields(pages: DataFrame) -> DataFrame:
     """Law text, its footers and what the text says it modifies."""
-    feet = T.texts_of(T.find_all(name="div", cls="summary-annexe"))
-    step = parsed(pages).select("url", "page_hash", T.text(T.find(name="ul", id="liste-sommaire")).alias("law_text"),
-                                F.when(F.size(feet) > 0, F.array_join(feet, "")).alias("law_text_footer"))
+    texts = staged(parsed(pages), [{
+        "law_text": T.text(T.find(name="ul", id="liste-sommaire")),
+        "feet": T.texts_of(T.find_all(name="div", cls="summary-annexe"))}])
+    step = texts.select("url", "page_hash", "law_text", F.when(F.size("feet") > 0, F.array_join("feet", "")).alias(
+        "law_text_footer"))
     return modified_law_fields(step).withColumn(
         "law_size", F.when(F.col("law_text").isNotNull(), dense_length("law_text")))
 
 
 def modified_law_fields(df: DataFrame) -> DataFrame:
     laws = modified_laws(F.nullif("law_text", F.lit("")), FR_MODIFIED_LAWS)
-    return df.withColumn("modified_laws", laws).withColumns({
+    return staged(df, [{"modified_laws": laws}]).withColumns({
         "original_law": F.when(F.col("modified_laws").isNotNull(), F.size("modified_laws") == 0),
         "modified_laws_count": F.when(F.size("modified_laws") > 0, F.size("modified_laws")),
         "modified_laws": F.when(F.size("modified_laws") > 0, F.col("modified_laws")),
@@ -150,19 +167,20 @@ def modified_law_fields(df: DataFrame) -> DataFrame:
 
 
 def vote_fields(pages: DataFrame) -> DataFrame:
-    whole = F.array_join(T.texts, "")
-    return parsed(pages).select("url", "page_hash", whole.alias("t")).select(
+    whole = staged(parsed(pages), [{"t": F.array_join(T.texts, "")}])
+    return whole.select(
         "url", "page_hash", *[c.cast("string").alias(n) for n, c in vote_counts_fr("t").items()])
 
 
 def bill_text_fields(pages: DataFrame) -> DataFrame:
     """Text of the page a bill text link leads to, or the link to its PDF."""
-    unpublished = T.find(name="em", string_re="Document non encore publié").isNotNull()
     link = F.coalesce(T.find(name="a", string_re="Version PDF"), T.find(name="a", href_re=".pdf"))
-    pdf = F.concat(F.lit(FRENCH_HOST), attr(link, "href"))
-    step = parsed(pages).withColumn("block", F.nullif(text_block(), F.lit("")))
-    return step.select("url", "page_hash", F.when(~unpublished, clean_text("block")).alias("page_text"),
-                       F.when(~unpublished & F.col("block").isNull(), pdf).alias("pdf_url"))
+    step = staged(parsed(pages), [{
+        "block": F.nullif(text_block(), F.lit("")),
+        "pdf": F.concat(F.lit(FRENCH_HOST), attr(link, "href")),
+        "published": T.find(name="em", string_re="Document non encore publié").isNull()}])
+    return step.select("url", "page_hash", F.when(F.col("published"), clean_text("block")).alias("page_text"),
+                       F.when(F.col("published") & F.col("block").isNull(), F.col("pdf")).alias("pdf_url"))
 
 
 def bill_texts(main: DataFrame, pages: DataFrame, doc_texts: DataFrame) -> DataFrame:
@@ -248,8 +266,7 @@ def records(pages: DataFrame, doc_texts: DataFrame, members: DataFrame) -> DataF
               .join(votes, "url", "left").join(bill_texts(main, pages, doc_texts), "url", "left")
               .join(impact_assessments(main, pages, doc_texts), "url", "left")
               .join(originators(main, members), "url", "left"))
-    bill_status = status()
-    return joined.withColumn("bill_status", bill_status).withColumns({
+    return joined.withColumn("bill_status", status()).withColumns({
         "bill_id": F.when(F.col("bill_status") == ONGOING, F.col("depot_id")),
         "bill_page_url": F.col("url"), "country": F.lit("FRANCE"),
     }).drop("url", "names", "promulgated", "rejected", "withdrawn", "depot_id", "ia_link")
@@ -275,11 +292,11 @@ def listed_amendments(pages: DataFrame) -> DataFrame:
     body = T.find(name="tbody", id="tbody-amendements-list")
 
     def row(tr: Column) -> Column:
-        cells = T.texts_of(T.find_all(tr, name="td"))
-        return F.struct(strip(F.get(cells, 1)).alias("amendment_id"),
-                        iso(french_date(strip(F.get(cells, 7)))).alias("amendment_date"),
-                        outcome_fr_page(strip(F.get(cells, 5))).alias("amendment_outcome"),
-                        attr(tr, "data-href").alias("amendment_text_url"))
+        return let(T.texts_of(T.find_all(tr, name="td")), lambda cells: F.struct(
+            strip(F.get(cells, 1)).alias("amendment_id"),
+            iso(french_date(strip(F.get(cells, 7)))).alias("amendment_date"),
+            outcome_fr_page(strip(F.get(cells, 5))).alias("amendment_outcome"),
+            attr(tr, "data-href").alias("amendment_text_url")))
 
     rows = F.transform(T.find_all(body, name="tr"), row)
     return parsed(pages).select("url", F.inline(rows))
@@ -294,7 +311,7 @@ def amendment_details(pages: DataFrame) -> DataFrame:
 
     bodies = T.find_all(name="div", cls="amendement-section-body")
     people = T.find_all(T.find(name="div", cls="acteur-list-embed"), name="li")
-    step = parsed(pages).withColumns({"plain": plain, "body": F.get(bodies, 1)})
+    step = staged(parsed(pages), [{"plain": plain, "body": F.get(bodies, 1)}])
     fields = step.select(
         "url", "page_hash", labelled("Stade de lecture").alias("amendment_stage_name"),
         labelled("Examiné par").alias("amendment_committee_name"),

@@ -11,11 +11,11 @@ from lexmill.functions.labels import (DE_PRINTED_MATTER, GERMAN_SKIPPED_STAGES,
                                       PASSED, REJECTED, government_party_de, has, house_de, is_original_de, origin_de,
                                       originator, outcome_de, status_de)
 from lexmill.functions.sections import amendment_block, bill_section, impact_sections
-from lexmill.functions.text import dense_length, first_match, strip
+from lexmill.functions.text import dense_length, first_match, let, once, strip
 from lexmill.functions.urls import clean_url
 from lexmill.operators.enrich import cached_texts, with_amendment_stage_numbers, with_text
 from lexmill.operators.keyed import regroup
-from lexmill.plans.common import attach_texts, one_per_url, pages_of, parsed
+from lexmill.plans.common import attach_texts, one_per_url, pages_of, parsed, staged
 from lexmill.schema import AMENDMENT
 
 T = Tree()
@@ -51,17 +51,16 @@ def committee_hearings() -> Column:
 
 
 def stages() -> Column:
-    """Readings in the procedure block, numbered in page order."""
-    block = T.find(name="div", id="content-vorgangsablauf")
-
+    """Readings in the procedure block (`block_el`), numbered in page order."""
     def reading(h: Column) -> Column:
-        t = T.text(h)
-        skipped = F.lit(False)
-        for word in GERMAN_SKIPPED_STAGES:
-            skipped = skipped | has(t, word)
-        return (h.tag == "h3") & (has(t, "Durchgang") | has(t, "Beratung")) & ~skipped
-
-    heads = F.filter(F.slice(T.els, block.idx + 2, block.stop - block.idx - 1), reading)
+        def named(t: Column) -> Column:
+            skipped = F.lit(False)
+            for word in GERMAN_SKIPPED_STAGES:
+                skipped = skipped | has(t, word)
+            return (has(t, "Durchgang") | has(t, "Beratung")) & ~skipped
+        return (h.tag == "h3") & let(T.text(h), named)
+
+    heads = let(F.col("block_el"), lambda b: F.filter(F.slice(T.els, b.idx + 2, b.stop - b.idx - 1), reading))
     return F.transform(heads, lambda h, i: F.struct(
         (i + 1).cast("int").alias("number"), strip(T.text(h)).alias("name"),
         rearrange(T.text(T.previous(h, name="span", string_re=GERMAN_DATE))).alias("date"),
@@ -85,9 +84,9 @@ def edge_case_amendment() -> Column:
     names = F.transform(marks, lambda m: strip(F.replace(T.text(T.parent(m)), F.lit("Änderungsantrag:"), F.lit(""))))
     second = T.parent(T.find(block, name="h3", string_re="2. Beratung"))
     decisions = T.find_all(T.next(T.find(second, name="h4", string="Beschluss:"), name="ul"), name="li")
-    matching = F.filter(T.texts_of(decisions), lambda t: F.contains(t, number))
-    one = F.when(F.size(matching) == 1, F.get(matching, 0))
-    outcome = F.when(has(one, "Ablehnung"), REJECTED).when(has(one, "Annahme"), PASSED)
+    matching = let(number, lambda n: F.filter(T.texts_of(decisions), lambda t: F.contains(t, n)))
+    one = let(matching, lambda m: F.when(F.size(m) == 1, F.get(m, 0)))
+    outcome = let(one, lambda t: F.when(has(t, "Ablehnung"), REJECTED).when(has(t, "Annahme"), PASSED))
     return (_blank_amendment().withField("amendment_stage_number", F.lit(1))
             .withField("amendment_stage_name", F.lit("1. Beratung"))
             .withField("amendment_originator_aff", affiliation)
@@ -95,7 +94,8 @@ def edge_case_amendment() -> Column:
             .withField("amendment_plenary", house_de(T.text(T.previous(change, name="span", string_re="BT|BR"))))
             .withField("amendment_text_url", attr(link, "href"))
             .withField("amendment_id", number)
-            .withField("amendment_originator", F.when(F.size(names) > 0, F.array(F.array_join(names, "; "))))
+            .withField("amendment_originator",
+                       let(names, lambda ns: F.when(F.size(ns) > 0, F.array(F.array_join(ns, "; ")))))
             .withField("amendment_outcome", outcome))
 
 
@@ -111,12 +111,13 @@ def _listed_amendments() -> Column:
         .withField("amendment_plenary",
                    house_de(T.text(T.previous(m, name="div", string_re="^Bundestag$|^Bundesrat$"))))
         .withField("amendment_date", rearrange(T.text(T.previous(m, name="span", string_re=GERMAN_DATE))))))
-    return F.when(F.size(rows) > 0, rows)
+    return let(rows, lambda r: F.when(F.size(r) > 0, r))
 
 
-def _block_elements(df: DataFrame) -> DataFrame:
-    return df.withColumn("block_el", T.find(name="div", id="content-vorgangsablauf")).withColumn(
-        "change_el", T.find(F.col("block_el"), name="h3", string_re="Änderungsantrag"))
+def with_block_elements(df: DataFrame) -> DataFrame:
+    """Adds the procedure block and the change request inside it."""
+    return staged(df, [{"block_el": T.find(name="div", id="content-vorgangsablauf")},
+                       {"change_el": T.find(F.col("block_el"), name="h3", string_re="Änderungsantrag")}])
 
 
 def bill_status() -> Column:
@@ -127,7 +128,8 @@ def bill_status() -> Column:
 def _leading_committee() -> Column:
     head = T.find(F.col("block_el"), name="h4", string="Ausschüsse:")
     leads = F.filter(T.texts_of(T.find_all(T.next(head, name="ul"), name="li")), lambda t: has(t, "(federführend)"))
-    return F.when(F.size(leads) == 1, F.replace(F.get(leads, 0), F.lit(" (federführend)"), F.lit("")))
+    return let(leads, lambda ls: F.when(
+        F.size(ls) == 1, F.replace(F.get(ls, 0), F.lit(" (federführend)"), F.lit(""))))
 
 
 def _names(tag_parent: Column, tag: str, strip_them: bool) -> Column:
@@ -135,9 +137,9 @@ def _names(tag_parent: Column, tag: str, strip_them: bool) -> Column:
     return F.array_join(F.transform(texts, strip) if strip_them else texts, " - ")
 
 
-def main_fields(pages: DataFrame) -> DataFrame:
-    """Fields of the bill page. `pages(url, html)`; narrow."""
-    step = _block_elements(parsed(pages)).withColumns({
+@once
+def _main_steps() -> list[dict[str, Column]]:
+    elements = {
         "bill_status": bill_status(),
         "origin_text": T.text(T.parent(T.find(name="span", string_re="Urheber:"))),
         "introduced": label_dates("Wichtige Drucksachen"),
@@ -145,17 +147,23 @@ def main_fields(pages: DataFrame) -> DataFrame:
         "first_doc": attr(after_label("Wichtige Drucksachen", "a"), "href"),
         "last_doc": T.text(T.last(after_label("Wichtige Drucksachen", "ul"), name="li")),
         "initiators": F.transform(T.texts_of(T.find_all(after_label("Initiative:", "ul"), name="li")), strip),
+        "plenary_el": after_label("Plenum", "ul"),
         "committees": committees(), "legislative_stages": F.when(F.col("block_el").isNotNull(), stages()),
         "edge": edge_case_amendments(), "listed": _listed_amendments(),
-    }).withColumn("origin_type", origin_de("origin_text"))
+    }
+    amendments = F.coalesce(F.col("edge"), with_amendment_stage_numbers(F.col("listed"), F.col("legislative_stages")))
+    return [elements, {"origin_type": origin_de("origin_text"), "amendments": amendments}]
+
+
+@once
+def _main_columns() -> list[Column]:
     government = F.array(originator(F.lit("Bundesregierung"), government_party_de("origin_text")))
     own = F.transform("initiators", lambda n: originator(n, n))
-    amendments = F.coalesce(F.col("edge"), with_amendment_stage_numbers(F.col("listed"), F.col("legislative_stages")))
     names = F.array_distinct(F.transform("committees", lambda c: c["committee_name"]))
     printed = F.when(F.col("bill_status") == PASSED, first_match("last_doc", DE_PRINTED_MATTER))
-    plenary = T.find_all(after_label("Plenum", "ul"), name="a")
-    return step.withColumns({"amendments": amendments}).select(
-        "url", "page_hash", "bill_status", "origin_type", "committees", "legislative_stages", "amendments",
+    plenary = F.transform(T.find_all(F.col("plenary_el"), name="a"), lambda a: attr(a, "href"))
+    return [
+        *map(F.col, ("bill_status", "origin_type", "committees", "legislative_stages", "amendments")),
         T.text(T.find(name="h1")).alias("bill_title"), T.text(after_label("ID:", "span")).alias("bill_id"),
         F.get("introduced", F.lit(0)).alias("date_introduction"),
         F.try_element_at("announced", F.lit(-1)).alias("date_passing"),
@@ -173,9 +181,13 @@ def main_fields(pages: DataFrame) -> DataFrame:
         F.when(F.col("amendments").isNotNull(), F.size("amendments")).alias("amendment_count"),
         printed.alias("final_version_printed_matter_id"),
         attr(after_label("Verkündung:", "a"), "href").alias("law_text_url"),
-        F.when(after_label("Plenum", "ul").isNotNull(), F.transform(plenary, lambda a: attr(a, "href")))
-        .alias("plenary_links"),
-    )
+        plenary.alias("plenary_links"),
+    ]
+
+
+def main_fields(pages: DataFrame) -> DataFrame:
+    """Fields of the bill page. `pages(url, html)`; narrow."""
+    return staged(with_block_elements(parsed(pages)), _main_steps()).select("url", "page_hash", *_main_columns())
 
 
 def unused_dates(pages: DataFrame) -> DataFrame:
@@ -189,14 +201,14 @@ def unused_dates(pages: DataFrame) -> DataFrame:
 
 def amendment_page_fields(pages: DataFrame) -> DataFrame:
     """Fields of amendment pages, one row per `amendment_page_link`."""
-    items = T.texts_of(T.find_all(T.next(T.find(name="h3", string_re="Antrag"), name="ul"), name="li"))
-    names = F.transform(F.filter(items, lambda t: ~has(t, "und andere")),
+    listed = T.texts_of(T.find_all(T.next(T.find(name="h3", string_re="Antrag"), name="ul"), name="li"))
+    names = F.transform(F.filter("items", lambda t: ~has(t, "und andere")),
                         lambda t: strip(F.replace(t, F.lit("Antrag:"), F.lit(""))))
-    fields = parsed(pages).select(
+    fields = staged(parsed(pages), [{"items": listed}]).select(
         "url", "page_hash", T.text(after_label("ID:", "span")).alias("amendment_id"),
         outcome_de(T.text(after_label("Beratungsstand:", "span"))).alias("amendment_outcome"),
         attr(after_label("Wichtige Drucksachen", "a"), "href").alias("amendment_text_url"),
-        F.when(items.isNotNull(), F.array(F.array_join(names, "; "))).alias("amendment_originator"),
+        F.when(F.col("items").isNotNull(), F.array(F.array_join(names, "; "))).alias("amendment_originator"),
         T.text(after_label("Initiative:", "span")).alias("amendment_originator_aff"))
     return one_per_url(fields).withColumnRenamed("url", "amendment_page_link")
 

@@ -9,10 +9,10 @@ from lexmill.functions.dates import entry_into_force, iso, portuguese_iso
 from lexmill.functions.html import Tree, attr
 from lexmill.functions.labels import (EXPIRED, ONGOING, PASSED, PT_LAW_MENTION, PT_MODIFIED_LAWS, REJECTED,
                                       bill_id_pt, law_id_pt, modified_laws, origin_pt, originator_pt, party, title_pt)
-from lexmill.functions.text import dense_length, strip
+from lexmill.functions.text import dense_length, let, once, strip
 from lexmill.functions.urls import PORTUGUESE_HOST
 from lexmill.functions.votes import PT_VOTE_MENTION, vote_parties
-from lexmill.plans.common import attach_texts, one_per_url, pages_of, parsed
+from lexmill.plans.common import attach_texts, one_per_url, pages_of, parsed, staged
 from lexmill.schema import AMENDMENT
 
 # Labels of the pages.
@@ -51,7 +51,7 @@ def _external_hearings() -> Column:
         before = F.try_element_at(F.filter(T.els, lambda e: (e.pos <= p) & heading(e)), F.lit(-1))
         return strip(T.text(before)) == "Pedidos parecer a"
 
-    return F.when(F.size(found) > 0, F.size(F.filter(found, asked)))
+    return let(found, lambda f: F.when(F.size(f) > 0, F.size(F.filter(f, asked))))
 
 
 def _amendments() -> Column:
@@ -60,21 +60,22 @@ def _amendments() -> Column:
     empty = F.from_json(F.lit("{}"), AMENDMENT)
 
     def one(label: Column) -> Column:
-        origin = party(T.text(T.next(label, name="span")))
+        origin = let(party(T.text(T.next(label, name="span"))), lambda o: F.when(o.isNotNull(), F.array(o)))
         link = T.next(label, name="a", href_re=r"\.pdf")
-        return (empty.withField("amendment_originator", F.when(origin.isNotNull(), F.array(origin)))
+        return (empty.withField("amendment_originator", origin)
                 .withField("amendment_text_url", attr(link, "href"))
                 .withField("amendment_outcome", F.when(F.col("special_passed").isNotNull(), F.lit("APPROVED")))
                 .withField("amendment_vote_for", F.col("special_votes.vote_for"))
                 .withField("amendment_vote_against", F.col("special_votes.vote_against"))
                 .withField("amendment_vote_abst", F.col("special_votes.vote_abst")))
 
-    return F.when(F.size(labels) > 0, F.transform(labels, one))
+    return let(labels, lambda ls: F.when(F.size(ls) > 0, F.transform(ls, one)))
 
 
-def main_fields(pages: DataFrame) -> DataFrame:
-    """Fields of the bill page alone. `pages(url, html)`; narrow."""
-    found = parsed(pages).withColumns({
+@once
+def _main_steps() -> list[dict[str, Column]]:
+    """Elements of the page, what is read around them, and the fields, each step using the one before."""
+    elements = {
         "head_text": T.text(T.find(name="span", cls="Titulo-Cinzento")),
         "title_el": T.parent(T.find(name="span", title="Detalhe do documento")),
         "report_el": T.find(name="div", string_re="(?iu)Parecer da Comissão"),
@@ -85,11 +86,11 @@ def main_fields(pages: DataFrame) -> DataFrame:
         "rejected_el": T.last(name="b", string="Rejeitado"),
         "expired_el": T.find(name="span", string="Iniciativa Caducada"),
         "legislative_stages": _stages(),
-    })
+    }
     special_div = T.next(F.col("special_el"), name="span", string_re="alteração")
     stages = F.col("legislative_stages")
-    late = F.col("rejected_el")["line"] > F.col("page_lines") * 0.65
-    step = found.withColumns({
+    late = T.line(F.col("rejected_el")) > F.col("page_lines") * 0.65
+    around = {
         "bill_id": bill_id_pt("head_text"),
         "impact_link": T.sibling(F.col("impact_el"), name="a", string=PDF),
         "final_votes": vote_parties(T.text(T.parent(T.holder(T.next_text(F.col("final_el"), PT_VOTE_MENTION)), 2))),
@@ -98,12 +99,12 @@ def main_fields(pages: DataFrame) -> DataFrame:
         "special_passed": T.next(F.col("special_el"), name="b", string="Aprovado"),
         "special_votes": vote_parties(T.text(T.holder(T.next_text(special_div, "Favor")))),
         "date_passing": stage_date(stages, _named(PUBLISHED)),
-    })
+    }
     votes = F.coalesce(F.col("rejection_votes"), F.col("final_votes"))
     rejected = late & F.col("date_passing").isNull()
     committees = T.find_all(name="span", string_re="(?iu)^comissão de|^comissao de")
     names = F.array_sort(F.array_distinct(T.texts_of(committees)))
-    return step.withColumns({
+    fields = {
         "origin_type": origin_pt(strip(F.replace(F.col("head_text"), F.col("bill_id"), F.lit("")))),
         "bill_title": title_pt(T.text(F.col("title_el"))),
         "originators": F.transform(T.find_all(name="a", title="Detalhe do autor"), lambda a: originator_pt(T.text(a))),
@@ -127,7 +128,13 @@ def main_fields(pages: DataFrame) -> DataFrame:
         .when(F.col("expired_el").isNotNull(), EXPIRED).otherwise(ONGOING),
         "law_page_url": F.concat(F.lit(PORTUGUESE_HOST), attr(
             T.next(F.col("published_el"), name="a", href_re="DetalheDiplomaAprovado.aspx"), "href")),
-    }).select("url", "page_hash", *MAIN_FIELDS)
+    }
+    return [elements, around, fields]
+
+
+def main_fields(pages: DataFrame) -> DataFrame:
+    """Fields of the bill page alone. `pages(url, html)`; narrow."""
+    return staged(parsed(pages), _main_steps()).select("url", "page_hash", *MAIN_FIELDS)
 
 
 MAIN_FIELDS = ["bill_id", "origin_type", "bill_title", "originators", "committees", "committee_count", "report_url",
@@ -170,9 +177,9 @@ def records(pages: DataFrame, doc_texts: DataFrame) -> DataFrame:
         "report_text": F.col("report_url"), "bill_text": F.col("bill_text_url"), "ia_text": F.col("ia_text_url"),
         "law_text": F.col("law_text_url")},
         {"amendment_texts": F.transform("amendments", lambda a: a["amendment_text_url"])})
-    texts = F.col("amendment_texts")
-    amendments = F.transform("amendments", lambda a, i: a.withField("amendment_text", F.get(texts, i)).withField(
-        "amendment_text_size", F.when(F.get(texts, i).isNotNull(), dense_length(F.get(texts, i)))))
+    amendments = let(F.col("amendment_texts"), lambda texts: F.transform("amendments", lambda a, i: a.withField(
+        "amendment_text", F.get(texts, i)).withField(
+        "amendment_text_size", F.when(F.get(texts, i).isNotNull(), dense_length(F.get(texts, i))))))
     return law_variables(full).withColumns({
         "amendments": amendments,
         "amendment_count": F.when(F.size("amendments") > 0, F.size("amendments")),

@@ -23,7 +23,7 @@ def _from_pages(records: DataFrame, condition, pages: DataFrame, columns: dict)
     """Patch from the records' own pages; pages without a due record are dropped before they are parsed."""
     due = _due(records, condition)
     wanted = pages.select("url", "html").join(due.select("url"), "url", "left_semi")
-    fields = one_per_url(germany._block_elements(parsed(wanted)).select(
+    fields = one_per_url(germany.with_block_elements(parsed(wanted)).select(
         "url", "page_hash", *[c.alias(n) for n, c in columns.items()]))
     return due.join(fields, "url")
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["records", "texts", "html"]
+MODULES = ["records", "texts", "html", "portugal"]
 
 
 def load() -> None:

@@ -185,7 +185,7 @@ def broken_pages(spark, d):
     AS h1_line FROM broken""")
 def _(spark, d):
     return E.with_tree(broken_pages(spark, d)).select(
-        "page_id", T.find(name="footer")["line"].alias("footer_line"), T.find(name="h1")["line"].alias("h1_line"))
+        "page_id", T.line(T.find(name="footer")).alias("footer_line"), T.line(T.find(name="h1")).alias("h1_line"))
 
 
 @query("W6_late_elements", LINES + """SELECT page_id, (length(split_part(h, '<b>', 1)) - length(replace(split_part(h,
@@ -194,7 +194,7 @@ def _(spark, d):
 def _(spark, d):
     from lexmill.plans.common import parsed
     found = parsed(broken_pages(spark, d)).withColumn("b", T.find(name="b")).where("b is not null")
-    return found.select("page_id", (F.col("b.line") > F.col("page_lines") * 0.65).alias("late"))
+    return found.select("page_id", (T.line(F.col("b")) > F.col("page_lines") * 0.65).alias("late"))
 
 
 @query("A8_sum_of_first_integers", """SELECT page_id, CAST(coalesce(list_sum(list_transform(list_filter(

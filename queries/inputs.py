@@ -224,3 +224,9 @@ def joined(column, sep: str = ";"):
 
 # White space of Unicode as a character class for the SQL side, whose \\s knows ASCII only.
 SPACE = r"\t\n\x0b\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+
+def page_rows(spark, d, name: str, columns: list[str], key: str = "url"):
+    """Pages composed from a table's rows, over all cores although the small table is one file."""
+    from lexmill.sources.tables import spread
+    return spread(table(spark, d, name), table(spark, d, name).columns[0]).selectExpr(*columns)
