@@ -1,8 +1,11 @@
 """HTML pages as column values.
 
-`page_tree(html)` turns a page into `struct<texts, els>` without leaving the row: one regular-expression pass marks
-the markup, `split` makes tokens, and one `aggregate` fold with the stack of open elements pairs start and end tags.
-No shuffle, no key and no UDF is needed, so a scan of raw pages stays a narrow job however large the table is.
+`with_tree` turns a page into a tree column without leaving the row: one regular-expression pass marks the markup,
+`split` makes tokens, and the tokens' tag names go through a stack that pairs start and end tags. No shuffle and no key
+is needed, so a scan of raw pages stays a narrow job however large the table is.
+
+The stack is the one step built-ins cannot do in linear time (`aggregate` copies its state for every token), so it is an
+Arrow UDF over tag names only; texts and markup stay in the JVM.
 
 `texts[i]` is the text following token i; element `e` covers the tokens `e.pos .. e.end - 1`. A close tag ends the
 nearest open element of its name and everything opened inside it; one with no such element is ignored; elements never
@@ -13,6 +16,7 @@ from __future__ import annotations
 
 import html.entities
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +36,7 @@ MARKUP = (
     r"|[!?][^>]*+>)"
 )
 START, STOP, QUOTE = "\x01", "\x02", "\x03"
-CHUNK = 32
-OTHER, OPENS, VOID, CLOSES = 0, 1, 2, 3
-
-DONE = "struct<idx:int,parent:int,end:int,stop:int>"
+SPANS = "array<struct<parent:int,end:int,stop:int>>"
 
 
 def _entity_names() -> Column:
@@ -80,91 +81,102 @@ def _tokens(html_col: Column) -> Column:
 
 
 def _read_token(token: Column, i: Column) -> Column:
+    """Token to struct<code, markup, nl>: code is `name`, `/name`, `=name` (element without content) or empty."""
     name = F.lower(F.when(i == 0, "").otherwise(F.substring_index(F.substring_index(token, STOP, -2), STOP, 1)))
     markup = F.when(i == 0, "").otherwise(F.substring_index(token, STOP, 1))
 
-    def build(name: Column) -> Column:
-        closing = F.startswith(name, F.lit("/"))
-        at_once = name.isin(VOID_TAGS + RAW_TAGS)
-        kind = (F.when(name == "", OTHER)
-                .when(closing, F.when(name.isin(["/" + v for v in VOID_TAGS]), OTHER).otherwise(CLOSES))
-                .when(at_once | F.endswith(markup, F.lit("/>")), VOID).otherwise(OPENS))
+    def build(n: Column) -> Column:
+        at_once = n.isin(VOID_TAGS + RAW_TAGS) | (F.endswith(markup, F.lit("/>")) & ~F.startswith(n, F.lit("/")))
+        code = (F.when(n.isin([""] + ["/" + v for v in VOID_TAGS]), "").when(at_once, F.concat(F.lit("="), n))
+                .otherwise(n))
         nl = F.when(F.contains(token, F.lit("\n")),
                     F.length(token) - F.length(F.replace(token, F.lit("\n"), F.lit("")))).otherwise(0)
-        return F.struct(kind.alias("kind"), i.cast("int").alias("pos"), name.alias("tag"), markup.alias("markup"),
-                        nl.alias("nl"))
+        return F.struct(code.alias("code"), markup.alias("markup"), nl.alias("nl"))
 
     return let(name, build)
 
 
-def _done(idx: Column, parent: Column, end: Column, stop: Column) -> Column:
-    return F.struct(idx.alias("idx"), F.coalesce(parent, F.lit(-1)).alias("parent"), end.alias("end"),
-                    stop.alias("stop"))
-
-
-def _step(s: Column, t: Column) -> Column:
-    """One token: an open tag goes on the stack, a close tag takes everything down to its own off it."""
-    opens, closes = t.kind == OPENS, t.kind == CLOSES
-
-    def build(depth: Column) -> Column:
-        ended = F.transform(F.slice(s.idxs, F.lit(1), depth),
-                            lambda x, j: _done(x, F.get(s.idxs, j + 1), t.pos, s.n))
-        single = F.array(_done(s.n, F.get(s.idxs, 0), t.pos, s.n + 1))
-        fresh = F.when(t.kind == VOID, single).otherwise(ended)
-        full = F.size(s.done) >= CHUNK
-        return F.struct(
-            F.when(opens | (t.kind == VOID), s.n + 1).otherwise(s.n).alias("n"),
-            F.when(opens, F.concat(F.array(t.tag), s.tags))
-            .when(depth > 0, F.slice(s.tags, depth + 1, F.size(s.tags))).otherwise(s.tags).alias("tags"),
-            F.when(opens, F.concat(F.array(s.n), s.idxs))
-            .when(depth > 0, F.slice(s.idxs, depth + 1, F.size(s.idxs))).otherwise(s.idxs).alias("idxs"),
-            F.when(full, fresh).when(opens | (t.kind == OTHER), s.done).otherwise(F.concat(s.done, fresh)).alias("done"),
-            F.when(full, F.concat(s.chunks, F.array(s.done))).otherwise(s.chunks).alias("chunks"))
-
-    found = F.array_position(s.tags, F.substring(t.tag, F.lit(2), F.length(t.tag))).cast("int")
-    return let(F.when(closes, found).otherwise(0), build)
-
+def pair_tags(codes: list[str]) -> tuple[list[int], list[int], list[int]]:
+    """Parent, end token and number of elements opened before the end, for each element of one page in order."""
+    parents, ends, stops, stack = [], [], [], []
+    for pos, code in enumerate(codes):
+        if not code:
+            continue
+        if code[0] == "/":
+            name = code[1:]
+            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][1] == name), None)
+            if depth is not None:
+                for idx, _ in stack[depth:]:
+                    ends[idx], stops[idx] = pos, len(ends)
+                del stack[depth:]
+            continue
+        parents.append(stack[-1][0] if stack else -1)
+        ends.append(len(codes))
+        stops.append(len(ends))
+        if code[0] == "=":
+            ends[-1] = pos
+        else:
+            stack.append((len(ends) - 1, code))
+    for idx, _ in stack:
+        stops[idx] = len(ends)
+    return parents, ends, stops
 
-def fence(df: DataFrame) -> DataFrame:
-    """Keeps every row, but neither merged projections nor later filters reach below it.
 
-    The optimizer would otherwise copy a page's whole parse into every expression and pushed-down filter that uses it.
-    Unused columns are still pruned.
+@once
+def _pair_tags_udf():
+    @F.arrow_udf(SPANS)
+    def spans(codes: pa.Array) -> pa.Array:
+        parents, ends, stops, offsets = [], [], [], [0]
+        for page in codes:
+            for own, more in zip((parents, ends, stops), pair_tags(page.as_py() or [])):
+                own += more
+            offsets.append(len(ends))
+        fields = [pa.array(x, pa.int32()) for x in (parents, ends, stops)]
+        flat = pa.StructArray.from_arrays(fields, ["parent", "end", "stop"])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+    return spans
+
+
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns that are computed here, once per row.
+
+    The optimizer would otherwise copy a page's whole parse into every later expression and pushed-down filter using
+    it. It leaves non-deterministic columns where they are, hence the condition, which always holds.
     """
-    return df.where(F.rand(0) >= 0)
+    always = F.monotonically_increasing_id() >= 0
+    return df.withColumns({name: F.when(always, column) for name, column in columns.items()})
 
 
 def with_tree(df: DataFrame, html: str = "html") -> DataFrame:
-    """Table with its page column replaced by the parsed tree."""
-    return fence(df.withColumn("tree", page_tree(html)).drop(html))
-
-
-@once
-def page_tree(html_col: str) -> Column:
-    """`struct<texts:array<string>, nls:array<int>, els:array<element>>` of a page column; NULL for a NULL page."""
-    return let(_tokens(F.col(html_col)), lambda t: let(F.transform(t, _read_token), lambda p: _assemble(p, t)))
+    """Table with its page column replaced by `tree`, struct<texts, nls, els>; a NULL page gives a NULL tree.
 
+    texts: array<string>, nls: newlines per token, els: array of struct<pos, idx, tag, markup, parent, end, stop,
+    string>.
+    """
+    for step in _tree_steps(html):
+        df = computed(df, step)
+    return df.drop(html, "_tokens", "_parsed", "_spans")
 
-def _assemble(parsed: Column, tokens: Column) -> Column:
-    empty = F.struct(F.lit(0).alias("n"), F.array().cast("array<string>").alias("tags"),
-                     F.array().cast("array<int>").alias("idxs"), F.array().cast(f"array<{DONE}>").alias("done"),
-                     F.array().cast(f"array<array<{DONE}>>").alias("chunks"))
-
-    def finish(s: Column) -> Column:
-        rest = F.transform(s.idxs, lambda x, j: _done(x, F.get(s.idxs, j + 1), F.size(tokens), s.n))
-        return F.array_sort(F.flatten(F.concat(s.chunks, F.array(s.done, rest))))
 
-    spans = F.aggregate(parsed, empty, _step, finish)
-    opens = F.filter(parsed, lambda t: t.kind.isin(OPENS, VOID))
-    els = F.zip_with(opens, spans, lambda o, d: F.struct(
-        o.pos.alias("pos"), d.idx.alias("idx"), o.tag.alias("tag"), _decoded_markup(o.markup).alias("markup"),
-        d.parent.alias("parent"), F.when(o.kind == VOID, o.pos).otherwise(d.end).alias("end"), d.stop.alias("stop")))
+@once
+def _tree_steps(html: str) -> list[dict[str, Column]]:
+    parsed, tokens = F.col("_parsed"), F.col("_tokens")
+    opens = F.filter(F.transform(parsed, lambda t, i: F.struct(i.alias("pos"), t.code.alias("code"),
+                                                               t.markup.alias("markup"))),
+                     lambda t: (t.code != "") & ~F.startswith(t.code, F.lit("/")))
+    tags = F.zip_with(opens, F.col("_spans"), lambda o, d: F.struct(o.alias("o"), d.alias("d")))
+    els = F.transform(tags, lambda t, i: F.struct(
+        t.o.pos.alias("pos"), i.alias("idx"), F.ltrim(t.o.code, F.lit("=")).alias("tag"),
+        _decoded_markup(t.o.markup).alias("markup"), t.d.parent.alias("parent"), t.d.end.alias("end"),
+        t.d.stop.alias("stop")))
     texts = F.transform(tokens, lambda x: decode_entities(F.substring_index(x, STOP, -1)))
     nls = F.transform(parsed, lambda t: t.nl)
     bare = F.struct(texts.alias("texts"), els.alias("els"))
     full = let(bare, lambda b: F.struct(b.texts.alias("texts"), nls.alias("nls"), F.transform(
         b.els, lambda e: e.withField("string", _sole_string(e, b.els, b.texts))).alias("els")))
-    return F.when(tokens.isNotNull(), full)
+    return [{"_tokens": _tokens(F.col(html))}, {"_parsed": F.transform(tokens, _read_token)},
+            {"_spans": _pair_tags_udf()(F.transform(parsed, lambda t: t.code))},
+            {"tree": F.when(tokens.isNotNull(), full)}]
 
 
 def _sole_string(e: Column, els: Column, texts: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.html import fence, with_tree
+from lexmill.functions.html import computed, with_tree
 from lexmill.functions.urls import clean_url
 from lexmill.operators.enrich import cached_texts
 
@@ -27,7 +27,7 @@ def parsed(pages: DataFrame) -> DataFrame:
 def staged(df: DataFrame, steps: list[dict[str, Column]]) -> DataFrame:
     """Columns added step by step, each computed once however many later ones use it."""
     for step in steps:
-        df = fence(df.withColumns(step))
+        df = computed(df, step)
     return df
 
 
