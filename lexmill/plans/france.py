@@ -65,7 +65,7 @@ def _main_columns() -> list[Column]:
         F.when((F.col("origin_type") == INDIVIDUAL_MP) & (F.size("names") > 0), F.col("names")).alias("names"),
         law_id_fr(T.text_in(F.col("prom_el"), FR_LAW_ID)).alias("law_id"),
         iso(french_date(published)).alias("date_entering_into_force"),
-        let(bill_link, absolute_url).alias("bill_text_url"),
+        let(bill_link, lambda u: absolute_url(u)).alias("bill_text_url"),
         attr(T.find(F.col("prom_el"), name="a"), "href").alias("law_text_url"),
         F.when(F.col("fast"), "EXCEPTIONAL").otherwise("REGULAR").alias("procedure_type_standard"),
         F.when(F.col("fast"), "Accelerée").otherwise("Ordinaire").alias("procedure_type_national"),

@@ -362,13 +362,14 @@ def _(spark, d):
 
 
 VOTES = """vote_texts AS (SELECT 'https://votes.example.org/' || printf('%012d', l_orderkey * 10 + l_linenumber) || '-' ||
-    l_partkey AS url, '20/' || (l_orderkey % 5000) AS id, CAST(l_quantity AS INTEGER) AS yes, l_linenumber AS no,
+    l_partkey || '-' || l_suppkey || '-' || CAST(l_quantity AS INTEGER) AS url, '20/' || (l_orderkey % 5000) AS id, CAST(l_quantity AS INTEGER) AS yes, l_linenumber AS no,
     l_suppkey AS abst FROM lineitem)"""
 
 
 def vote_texts(spark, d):
     return table(spark, d, "lineitem").selectExpr(
-        "'https://votes.example.org/' || format_string('%012d', l_orderkey * 10 + l_linenumber) || '-' || l_partkey AS url",
+        "'https://votes.example.org/' || format_string('%012d', l_orderkey * 10 + l_linenumber) || '-' || l_partkey || '-' || "
+        "l_suppkey || '-' || cast(l_quantity as int) AS url",
         "concat('Drs. 19/1 und 20/', l_orderkey % 5000, '\\nSeite: eins\\n700\\n690\\n', cast(l_quantity as int), '\\n', "
         "l_linenumber, '\\n', l_suppkey, '\\n3\\nEnde 9/9') AS extracted_text")
 
