@@ -28,15 +28,16 @@ VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link",
              "spacer"]
 RAW_TAGS = ["script", "style"]
 
-# Groups 2 and 3 hold the slash and the name of a tag, group 1 the name of a raw block.
+# Groups 2 to 4 hold the slash before, the name and the slash behind of a tag, group 1 the name of a raw block.
 MARKUP = (
     r"(?s)<(?:((?i:script|style))\b[^>]*+>.*?</(?i:\1)\s*+>"
-    r"|(/?)([a-zA-Z][^\s/>]*+)[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+>"
+    r"|(/?)([a-zA-Z][^\s/>]*+)[^>\"'/]*+(?:(?:\"[^\"]*+\"|'[^']*+'|/(?!>))[^>\"'/]*+)*+(/?)>"
     r"|!--.*?-->"
     r"|[!?][^>]*+>)"
 )
 START, STOP, QUOTE = "\x01", "\x02", "\x03"
-SPANS = "array<struct<parent:int,end:int,stop:int>>"
+SPANS = "array<struct<idx:int,parent:int,end:int,stop:int>>"
+IGNORED, OPENS, VOID, CLOSES = 0, 1, 2, 3
 
 
 def _entity_names() -> Column:
@@ -75,49 +76,43 @@ def decode_entities(c: Column) -> Column:
 
 
 def _tokens(html_col: Column) -> Column:
-    """Page to tokens `markup STOP /name STOP text`; the first token is the text before any markup."""
-    plain = F.translate(html_col, START + STOP + QUOTE, "")
-    return F.split(F.regexp_replace(plain, MARKUP, f"{START}$0{STOP}$2$1$3{STOP}"), START)
-
+    """Page to tokens [markup, code, text]; the first is the text before any markup.
 
-def _read_token(token: Column, i: Column) -> Column:
-    """Token to struct<code, markup, nl>: code is `name`, `/name`, `=name` (element without content) or empty."""
-    name = F.lower(F.when(i == 0, "").otherwise(F.substring_index(F.substring_index(token, STOP, -2), STOP, 1)))
-    markup = F.when(i == 0, "").otherwise(F.substring_index(token, STOP, 1))
+    The code is the tag's name with its slashes, empty for comments and declarations.
+    """
+    plain = F.translate(html_col, START + STOP + QUOTE, "")
+    marked = F.regexp_replace(plain, MARKUP, f"{START}$0{STOP}$2$1$3$4{STOP}")
+    return F.transform(F.split(F.concat(F.lit(STOP + STOP), marked), START), lambda t: F.split(t, STOP))
 
-    def build(n: Column) -> Column:
-        at_once = n.isin(VOID_TAGS + RAW_TAGS) | (F.endswith(markup, F.lit("/>")) & ~F.startswith(n, F.lit("/")))
-        code = (F.when(n.isin([""] + ["/" + v for v in VOID_TAGS]), "").when(at_once, F.concat(F.lit("="), n))
-                .otherwise(n))
-        nl = F.when(F.contains(token, F.lit("\n")),
-                    F.length(token) - F.length(F.replace(token, F.lit("\n"), F.lit("")))).otherwise(0)
-        return F.struct(code.alias("code"), markup.alias("markup"), nl.alias("nl"))
 
-    return let(name, build)
+def read_code(code: str) -> tuple[int, str]:
+    """What a token does to the stack of open elements, and with which name."""
+    name = code.strip("/").lower()
+    if code.startswith("/"):
+        return CLOSES, name
+    if code.endswith("/") or name in VOID_TAGS or name in RAW_TAGS:
+        return VOID, name
+    return (OPENS if name else IGNORED), name
 
 
-def pair_tags(codes: list[str]) -> tuple[list[int], list[int], list[int]]:
+def pair_tags(tags: list[tuple[int, str]]) -> tuple[list[int], list[int], list[int]]:
     """Parent, end token and number of elements opened before the end, for each element of one page in order."""
-    parents, ends, stops, stack = [], [], [], []
-    for pos, code in enumerate(codes):
-        if not code:
-            continue
-        if code[0] == "/":
-            name = code[1:]
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][1] == name), None)
-            if depth is not None:
-                for idx, _ in stack[depth:]:
-                    ends[idx], stops[idx] = pos, len(ends)
-                del stack[depth:]
-            continue
-        parents.append(stack[-1][0] if stack else -1)
-        ends.append(len(codes))
-        stops.append(len(ends))
-        if code[0] == "=":
-            ends[-1] = pos
-        else:
-            stack.append((len(ends) - 1, code))
-    for idx, _ in stack:
+    parents, ends, stops, names, stack = [], [], [], [], []
+    for pos, (kind, name) in enumerate(tags):
+        if kind == OPENS or kind == VOID:
+            parents.append(stack[-1] if stack else -1)
+            if kind == OPENS:
+                stack.append(len(ends))
+                names.append(name)
+            ends.append(pos if kind == VOID else len(tags))
+            stops.append(len(ends))
+        elif kind == CLOSES and name in names:
+            while True:
+                idx = stack.pop()
+                ends[idx], stops[idx] = pos, len(ends)
+                if names.pop() == name:
+                    break
+    for idx in stack:
         stops[idx] = len(ends)
     return parents, ends, stops
 
@@ -126,14 +121,20 @@ def pair_tags(codes: list[str]) -> tuple[list[int], list[int], list[int]]:
 def _pair_tags_udf():
     @F.arrow_udf(SPANS)
     def spans(codes: pa.Array) -> pa.Array:
-        parents, ends, stops, offsets = [], [], [], [0]
-        for page in codes:
-            for own, more in zip((parents, ends, stops), pair_tags(page.as_py() or [])):
+        flat = codes.flatten().dictionary_encode()
+        table = [read_code(c or "") for c in flat.dictionary.to_pylist()]
+        tags = [table[i] for i in flat.indices.to_pylist()]
+        idxs, parents, ends, stops, offsets, at = [], [], [], [], [0], 0
+        for n in codes.value_lengths().to_pylist():
+            page = pair_tags(tags[at:at + (n or 0)])
+            at += n or 0
+            for own, more in zip((parents, ends, stops), page):
                 own += more
+            idxs += range(len(page[0]))
             offsets.append(len(ends))
-        fields = [pa.array(x, pa.int32()) for x in (parents, ends, stops)]
-        flat = pa.StructArray.from_arrays(fields, ["parent", "end", "stop"])
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
+        fields = [pa.array(x, pa.int32()) for x in (idxs, parents, ends, stops)]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
+            fields, ["idx", "parent", "end", "stop"]))
     return spans
 
 
@@ -143,51 +144,51 @@ def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     The optimizer would otherwise copy a page's whole parse into every later expression and pushed-down filter using
     it. It leaves non-deterministic columns where they are, hence the condition, which always holds.
     """
+    if not columns:
+        return df
     always = F.monotonically_increasing_id() >= 0
     return df.withColumns({name: F.when(always, column) for name, column in columns.items()})
 
 
 def with_tree(df: DataFrame, html: str = "html") -> DataFrame:
-    """Table with its page column replaced by `tree`, struct<texts, nls, els>; a NULL page gives a NULL tree.
+    """Table with its page column replaced by `tree`, struct<texts, els>; a NULL page gives a NULL tree.
 
-    texts: array<string>, nls: newlines per token, els: array of struct<pos, idx, tag, markup, parent, end, stop,
-    string>.
+    texts: array<string>, els: array of struct<pos, idx, tag, markup, parent, end, stop, string>. A second column
+    `tree_lines` holds the newlines of each token.
     """
     for step in _tree_steps(html):
         df = computed(df, step)
-    return df.drop(html, "_tokens", "_parsed", "_spans")
+    return df.drop(html, "_tokens", "_spans")
 
 
 @once
 def _tree_steps(html: str) -> list[dict[str, Column]]:
-    parsed, tokens = F.col("_parsed"), F.col("_tokens")
-    opens = F.filter(F.transform(parsed, lambda t, i: F.struct(i.alias("pos"), t.code.alias("code"),
-                                                               t.markup.alias("markup"))),
-                     lambda t: (t.code != "") & ~F.startswith(t.code, F.lit("/")))
-    tags = F.zip_with(opens, F.col("_spans"), lambda o, d: F.struct(o.alias("o"), d.alias("d")))
-    els = F.transform(tags, lambda t, i: F.struct(
-        t.o.pos.alias("pos"), i.alias("idx"), F.ltrim(t.o.code, F.lit("=")).alias("tag"),
-        _decoded_markup(t.o.markup).alias("markup"), t.d.parent.alias("parent"), t.d.end.alias("end"),
-        t.d.stop.alias("stop")))
-    texts = F.transform(tokens, lambda x: decode_entities(F.substring_index(x, STOP, -1)))
-    nls = F.transform(parsed, lambda t: t.nl)
-    bare = F.struct(texts.alias("texts"), els.alias("els"))
-    full = let(bare, lambda b: F.struct(b.texts.alias("texts"), nls.alias("nls"), F.transform(
+    tokens = F.col("_tokens")
+    opens = F.filter(F.transform(tokens, lambda t, i: F.struct(i.alias("pos"), F.get(t, 1).alias("code"), F.get(
+        t, 0).alias("markup"))), lambda t: (t.code != "") & ~F.startswith(t.code, F.lit("/")))
+    els = F.zip_with(opens, F.col("_spans"), lambda o, d: F.struct(
+        o.pos.alias("pos"), d.idx.alias("idx"), F.lower(F.rtrim(o.code, F.lit("/"))).alias("tag"),
+        _decoded_markup(o.markup).alias("markup"), d.parent.alias("parent"), d.end.alias("end"), d.stop.alias("stop")))
+    texts = F.transform(tokens, lambda t: decode_entities(F.get(t, 2)))
+    newlines = F.transform(tokens, lambda t: let(F.concat(F.get(t, 0), F.get(t, 2)), lambda x: F.length(x) - F.length(
+        F.replace(x, F.lit("\n"), F.lit("")))))
+    full = let(F.struct(texts.alias("texts"), els.alias("els")), lambda b: F.struct(b.texts.alias("texts"), F.transform(
         b.els, lambda e: e.withField("string", _sole_string(e, b.els, b.texts))).alias("els")))
-    return [{"_tokens": _tokens(F.col(html))}, {"_parsed": F.transform(tokens, _read_token)},
-            {"_spans": _pair_tags_udf()(F.transform(parsed, lambda t: t.code))},
-            {"tree": F.when(tokens.isNotNull(), full)}]
+    return [{"_tokens": _tokens(F.col(html))}, {"_spans": _pair_tags_udf()(F.transform(tokens, lambda t: F.get(t, 1)))},
+            {"tree": F.when(tokens.isNotNull(), full), "tree_lines": newlines}]
 
 
 def _sole_string(e: Column, els: Column, texts: Column) -> Column:
     """The one string an element holds, directly or through a chain of single children; else NULL."""
     below = e.stop - e.idx - 1
     last = e.pos + below
+    own = F.get(texts, e.pos)
     whole = F.array_join(F.slice(texts, e.pos + 1, e.end - e.pos), "")
     chain = F.slice(els, e.idx + 2, below)
     single = (F.get(els, e.stop - 1).pos == last) & F.forall(chain, lambda y: y.end > last)
-    deep = let(whole, lambda w: F.when(w == F.get(texts, last), w))
-    return F.nullif(F.when(below == 0, whole).when(single, deep), F.lit(""))
+    deep = let(whole, lambda w: F.when((w != "") & (w == F.get(texts, last)), w))
+    leaf = F.when(e.end == e.pos + 1, F.when(own != "", own)).otherwise(let(whole, lambda w: F.when(w != "", w)))
+    return F.when(below == 0, leaf).when(single, deep)
 
 
 def _decoded_markup(c: Column) -> Column:
@@ -218,13 +219,9 @@ class Tree:
     def texts(self) -> Column:
         return F.col(self.column).texts
 
-    @property
-    def nls(self) -> Column:
-        return F.col(self.column).nls
-
     def line(self, el: Column) -> Column:
         """Source line of an element's tag, counted from 1."""
-        return F.aggregate(F.slice(self.nls, F.lit(1), el.pos), F.lit(1), lambda a, x: a + x)
+        return F.aggregate(F.slice(F.col(self.column + "_lines"), F.lit(1), el.pos), F.lit(1), lambda a, x: a + x)
 
     def _text(self, e: Column) -> Column:
         return F.array_join(F.slice(self.texts, e.pos + 1, e.end - e.pos), "")

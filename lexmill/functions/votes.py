@@ -36,8 +36,8 @@ def vote_counts_fr(c: Column | str) -> dict[str, Column]:
     return {name: first_match(c, p, 1).try_cast("int") for name, p in FR_VOTE_PATTERNS.items()}
 
 
-def vote_counts_de(c: Column | str) -> dict[str, Column]:
-    """Bill id and counts of a German roll-call text.
+def vote_counts_de(c: Column | str) -> Column:
+    """struct<final_version_printed_matter_id, counts<final_vote_for, final_vote_against, final_vote_abst>> of a German roll-call text.
 
     The id is the last printed-matter number before 'Seite:'; the counts are lines 3 to 5 of the first run of six
     numbers, which must stand on six lines.
@@ -45,12 +45,8 @@ def vote_counts_de(c: Column | str) -> dict[str, Column]:
     t = as_col(c)
     run = F.regexp_substr(t, F.lit(r"(?U)(\d+\s+){6}"))
 
-    def item(i: int) -> Column:
-        return let(F.filter(lines(run), lambda x: x != ""),
-                   lambda n: F.when(F.size(n) == 6, strip(F.get(n, i)).try_cast("int")))
-
+    counts = ("final_vote_for", "final_vote_against", "final_vote_abst")
+    numbers = let(F.filter(lines(run), lambda x: x != ""), lambda n: F.when(F.size(n) == 6, F.struct(
+        *[strip(F.get(n, 2 + i)).try_cast("int").alias(name) for i, name in enumerate(counts)])))
     ids = all_matches(F.substring_index(t, "Seite:", 1), r"\d+/\d+", 0)
-    out = {"final_version_printed_matter_id": F.try_element_at(ids, F.lit(-1))}
-    for i, name in enumerate(("final_vote_for", "final_vote_against", "final_vote_abst")):
-        out[name] = item(2 + i)
-    return out
+    return F.struct(F.try_element_at(ids, F.lit(-1)).alias("final_version_printed_matter_id"), numbers.alias("counts"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.html import computed
 from lexmill.functions.labels import PT_BILL_ID, bill_id_fr_file, names_plenary, outcome_fr_file
 from lexmill.functions.text import (all_matches, clean_text, dense_length, let, normalise_separators, reverse_words,
                                     split_names)
@@ -21,9 +22,13 @@ def cached_texts(doc_texts: DataFrame) -> DataFrame:
     return pick_one(texts, "clean_url", "_url", ["extracted_text"])
 
 
-def with_text(df: DataFrame, url: str, doc_texts: DataFrame, name: str = "extracted_text") -> DataFrame:
-    """Adds the cached text of a URL column, NULL where there is none."""
-    texts = cached_texts(doc_texts).withColumnRenamed("extracted_text", name)
+def with_text(df: DataFrame, url: str, doc_texts: DataFrame, name: str = "extracted_text",
+              derived: dict[str, Column] | None = None) -> DataFrame:
+    """Adds the cached text of a URL column, NULL where there is none.
+
+    Columns derived from the text alone are computed on the cache, once per document and not once per reference.
+    """
+    texts = computed(cached_texts(doc_texts), derived or {}).withColumnRenamed("extracted_text", name)
     return df.withColumn("clean_url", clean_url(url)).join(texts, "clean_url", "left").drop("clean_url")
 
 
@@ -113,10 +118,10 @@ def file_amendments(bills: DataFrame, rows: DataFrame, members: DataFrame, doc_t
     pages = pick_one(links, "amendment_page_link", "amendment_text_url",
                      ["amendment_committee_name", "amendment_text_url"])
     full = with_text(base.join(an, "first_author", "left").join(pages, "amendment_page_link", "left"),
-                     "amendment_text_url", doc_texts, "amendment_text")
-    size = F.when(F.col("amendment_text_url").isNotNull(), dense_length("amendment_text"))
-    return full.withColumns({"amendment_text_size": size, "amendment_plenary": names_plenary("amendment_text")}).drop(
-        "first_author")
+                     "amendment_text_url", doc_texts, "amendment_text", {
+                         "_size": dense_length("extracted_text"), "amendment_plenary": names_plenary("extracted_text")})
+    size = F.when(F.col("amendment_text_url").isNotNull(), F.coalesce("_size", F.lit(0).cast("bigint")))
+    return full.withColumn("amendment_text_size", size).drop("first_author", "_size")
 
 
 def merge_amendment_pages(records: DataFrame, pages: DataFrame, fields: list[str]) -> DataFrame:
@@ -154,8 +159,8 @@ VOTE_FIELDS = ["final_vote_for", "final_vote_against", "final_vote_abst", "final
 
 def votes_by_bill(vote_texts: DataFrame) -> DataFrame:
     """One vote per printed-matter id, from the greatest URL among the texts that hold a readable result."""
-    read = vote_texts.select(F.col("url").alias("final_votes_pdf_url"),
-                             *[c.alias(n) for n, c in vote_counts_de("extracted_text").items()])
+    parsed = computed(vote_texts, {"vote": vote_counts_de("extracted_text")})
+    read = parsed.select(F.col("url").alias("final_votes_pdf_url"), "vote.final_version_printed_matter_id", "vote.counts.*")
     good = read.where("final_version_printed_matter_id is not null and final_vote_for is not null")
     row = F.max_by(F.struct(*VOTE_FIELDS), "final_votes_pdf_url").alias("row")
     return good.groupBy("final_version_printed_matter_id").agg(row).select("final_version_printed_matter_id", "row.*")

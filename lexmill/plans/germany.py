@@ -234,11 +234,13 @@ def law_columns(law_text: Column) -> dict[str, Column]:
 def amendment_texts(amendments: DataFrame, doc_texts: DataFrame) -> DataFrame:
     """Texts and sizes of amendment rows that have a URL and no text yet."""
     due = F.col("amendment_text_url").isNotNull() & F.col("amendment_text").isNull()
-    full = with_text(amendments, "amendment_text_url", doc_texts, "_full")
-    block = amendment_block("_full")
+    block = amendment_block("extracted_text")
+    full = with_text(amendments, "amendment_text_url", doc_texts, "_full", {"_block": block, "_size": dense_length(block)})
+    size = F.coalesce("_size", F.lit(0).cast("bigint"))
     return full.withColumns({
-        "amendment_text_size": F.when(due, dense_length(block)).otherwise(F.col("amendment_text_size")),
-        "amendment_text": F.when(due, block).otherwise(F.col("amendment_text"))}).drop("_full")
+        "amendment_text_size": F.when(due, size).otherwise(F.col("amendment_text_size")),
+        "amendment_text": F.when(due, F.col("_block")).otherwise(F.col("amendment_text"))}).drop(
+        "_full", "_block", "_size")
 
 
 def with_stage_debate_sizes(records_: DataFrame, doc_texts: DataFrame, key: str = "record_id") -> DataFrame:

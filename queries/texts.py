@@ -339,7 +339,8 @@ def _(spark, d):
 def _(spark, d):
     raw = F.expr("concat('Drs. 19/5, 20/', o_custkey, ' Seite: x\\n709\\n', case when o_orderkey % 3 = 0 then '700 ' else "
                  "'700 \\n' end, o_orderkey % 700, '\\n', o_custkey % 700, '\\n0\\n9\\nSumme')")
-    return orders(spark, d).select("o_orderkey", *[c.alias(n) for n, c in votes.vote_counts_de(raw).items()])
+    return orders(spark, d).select("o_orderkey", votes.vote_counts_de(raw).alias("v")).select(
+        "o_orderkey", "v.final_version_printed_matter_id", "v.counts.*")
 
 
 @query("E27_bill_id", """SELECT o_orderkey, (o_orderkey % 2000) || '/XIV/2' AS pt, '16/' || o_custkey AS fr,
