@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from lexmill.functions.html import Tree, attr
 from lexmill.operators import elements as E
 from lexmill.functions.text import first_int, strip
+from lexmill.session import new_path
+from lexmill.streaming.intake import intake
 from queries.inputs import SPACE
 from queries.registry import query, table
 
@@ -236,3 +238,20 @@ def _(spark, d):
     return trees(spark, d).select("page_id", F.md5(F.array_join(items, " - ")).alias("t"))
 
 
+
+
+@query("J1_streaming_intake", """SELECT url AS bill_page_url, md5(replace(replace(regexp_extract(html, '<title>([^<]*)', 1),
+    '&quot;', '"'), '&amp;', '&')) AS bill_title FROM pages""")
+def _(spark, d):
+    source, stored, state = (new_path(spark, n) for n in ("pages", "records", "state"))
+    rows = pages(spark, d).selectExpr("'X' AS country", "url", "'main' AS kind", "html")
+    fields = "bill_page_url string, bill_title string"
+
+    def extract(batch):
+        titles = E.with_tree(batch).select(F.col("url").alias("bill_page_url"), T.text(T.find(name="title")).alias("t"))
+        return titles.select("bill_page_url", F.md5("t").alias("bill_title"))
+
+    for _ in range(2):  # the second delivery repeats every page and adds nothing
+        rows.write.mode("append").parquet(source)
+        intake(spark, source, stored, state, extract, fields).awaitTermination()
+    return spark.read.schema(fields).parquet(stored)

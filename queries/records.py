@@ -12,7 +12,7 @@ from lexmill.schema import EXPORT_COLUMNS, RECORD_FIELDS
 from lexmill.session import new_path
 from lexmill.sources import sinks, tables
 from queries.inputs import (AMENDMENT_ROWS, DEBATES, DOC_TEXTS, MEMBERS, RECORDS, TITLED, amendment_rows, debates,
-                            doc_texts, joined, members, records, titled_bills, with_sql)
+                            doc_texts, joined, members, page_rows, records, titled_bills, with_sql)
 from queries.registry import query, table
 
 REC = with_sql(RECORDS)
@@ -367,11 +367,11 @@ VOTES = """vote_texts AS (SELECT 'https://votes.example.org/' || printf('%012d',
 
 
 def vote_texts(spark, d):
-    return table(spark, d, "lineitem").selectExpr(
+    return page_rows(spark, d, "lineitem", [
         "'https://votes.example.org/' || format_string('%012d', l_orderkey * 10 + l_linenumber) || '-' || l_partkey || '-' || "
         "l_suppkey || '-' || cast(l_quantity as int) AS url",
         "concat('Drs. 19/1 und 20/', l_orderkey % 5000, '\\nSeite: eins\\n700\\n690\\n', cast(l_quantity as int), '\\n', "
-        "l_linenumber, '\\n', l_suppkey, '\\n3\\nEnde 9/9') AS extracted_text")
+        "l_linenumber, '\\n', l_suppkey, '\\n3\\nEnde 9/9') AS extracted_text"])
 
 
 @query("J10_votes", with_sql(RECORDS, VOTES) + """,
