@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.sources.tables import spread
 from queries.registry import table
 
 
@@ -133,7 +134,7 @@ RECORDS = "records AS (SELECT " + ",\n  ".join(
 
 
 def records(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").selectExpr(*[f"{e} AS {n}" for n, e in _SPARK_FIELDS.items()])
+    return page_rows(spark, folder, "orders", [f"{e} AS {n}" for n, e in _SPARK_FIELDS.items()])
 
 
 # Text cache: one document per URL, some extracted to nothing.
@@ -226,7 +227,7 @@ def joined(column, sep: str = ";"):
 SPACE = r"\t\n\x0b\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 
-def page_rows(spark, d, name: str, columns: list[str], key: str = "url"):
-    """Pages composed from a table's rows, over all cores although the small table is one file."""
-    from lexmill.sources.tables import spread
-    return spread(table(spark, d, name), table(spark, d, name).columns[0]).selectExpr(*columns)
+def page_rows(spark, d, name: str, columns: list[str]):
+    """Rows composed from a table's rows, over all cores although a small table is one file."""
+    rows = table(spark, d, name)
+    return spread(rows, rows.columns[0]).selectExpr(*columns)

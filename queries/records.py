@@ -406,10 +406,10 @@ MEETINGS = """meetings AS (SELECT l_orderkey % 400 || '/XIV/' || (l_orderkey % 3
 
 
 def meetings(spark, d):
-    return table(spark, d, "lineitem").selectExpr(
+    return page_rows(spark, d, "lineitem", [
         "concat('Ponto 1: Proposta de Lei n.º ', l_orderkey % 400, ' / XIV | ', l_orderkey % 3 + 1, ' - debate; ', "
         "case when l_linenumber % 2 = 0 then concat('PROJETO DE LEI ', l_partkey % 400, '/XIV/', l_partkey % 3 + 1) "
-        "else 'Projeto de Resolução 7/XIV/1' end) AS text")
+        "else 'Projeto de Resolução 7/XIV/1' end) AS text"])
 
 
 MENTIONS = MEETINGS + """, mentions AS (SELECT bill_id, count(*) AS n FROM (SELECT a AS bill_id FROM meetings UNION ALL
@@ -547,11 +547,11 @@ def table_cells(spark, d):
     cells += [cell.format(r=1, c=c, t=f"'x{c}'") for c in range(3)]
     last = [cell.format(r=0, c=3, t="case when l_suppkey % 5 = 0 then 'GESTA' else 'FNA' end"),
             cell.format(r=1, c=3, t="case when l_partkey % 3 = 0 then '' else concat('', l_partkey) end")]
-    return table(spark, d, "lineitem").selectExpr(
+    return page_rows(spark, d, "lineitem", [
         "'doc' || (l_orderkey % 500) AS url", "l_orderkey * 100000 + l_partkey AS page",
         "l_linenumber * 1000 + l_suppkey AS table_no",
         f"inline(case when l_linenumber % 4 = 0 then array({', '.join(cells)}) "
-        f"else array({', '.join(cells + last)}) end)")
+        f"else array({', '.join(cells + last)}) end)"])
 
 
 @query("A14_table_column", with_sql(CELLS) + """SELECT DISTINCT url, '' || l_partkey AS law_id FROM cells
