@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.html import computed
 from lexmill.functions.labels import PT_BILL_ID, bill_id_fr_file, names_plenary, outcome_fr_file
-from lexmill.functions.text import (all_matches, clean_text, dense_length, let, normalise_separators, reverse_words,
+from lexmill.functions.text import (all_matches, dense_length, let, normalise_separators, reverse_words,
                                     split_names)
 from lexmill.functions.urls import clean_url, part_after
 from lexmill.functions.votes import vote_counts_de
@@ -90,7 +90,7 @@ def with_amendment_counts(bills: DataFrame, rows: DataFrame) -> DataFrame:
                         .otherwise(F.col("amendment_count"))).drop("_found").select(bills.columns))
 
 
-def amendment_from_row(committee: Column | None = None) -> dict[str, Column]:
+def amendment_from_row() -> dict[str, Column]:
     """Fields of an amendment from a file row; authors are stored last name first, co-signers are not."""
     author = reverse_words(F.col("Auteur"))
     return {
@@ -251,7 +251,3 @@ def modified_law_ids(cells: DataFrame) -> DataFrame:
     proper = facts.where("last = 3 and headed").select(*table)
     ids = cells.where("col = 3 and row > 0 and text <> ''").join(proper, table, "left_semi")
     return ids.select("url", F.col("text").alias("law_id")).distinct()
-
-
-def cleaned_documents(docs: DataFrame, text: str) -> DataFrame:
-    return docs.withColumn(text, clean_text(text))
