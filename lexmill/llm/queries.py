@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import chat, mixing, packing, url_filter
+from lexmill.llm import chat, fingerprint, mixing, packing, pii, url_filter
 
 QUERIES, ORACLES = {}, {}
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
@@ -41,6 +41,16 @@ def op3_source_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query("op6_contextual_pii")
+def op6_contextual_pii(spark: SparkSession, d: str) -> DataFrame:
+    return pii.personal_data(table(spark, d, "documents"))
+
+
+@query("op7_document_fingerprints")
+def op7_document_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprint.against_next(table(spark, d, "documents"))
+
+
 _ESCAPED = "coalesce(text, '')"
 for _plain, _code in chat.CODES:
     _ESCAPED = f"replace({_ESCAPED}, '{_plain}', '{_code}')"
