@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexmill.session import materialise, new_path
+from lexmill.session import materialise
 
 SPACES = "\t\n\x0b\f\r "  # the white space that separates words: code points 9 to 13 and 32
 
@@ -74,19 +75,18 @@ def block_pairs(rows: DataFrame, group: str, sizes: DataFrame, item: str, block:
     `sizes` has (group, n). A group is cut into ceil(n / block) blocks by a hash of `item`; a row of block x goes to every
     pair of blocks that has x, as `own` = 1 for the first of the pair. Blocks of one group are tasks of their own.
     """
-    n = F.ceil(F.col("n") / block).cast("int")
-    placed = rows.join(sizes, group).withColumn("_x", F.pmod(F.xxhash64(item, F.lit(7)), n).cast("int"))
+    n = F.ceil(F.col("_n") / block).cast("int")
+    placed = rows.join(sizes.select(group, F.col("n").alias("_n")), group).withColumn("_x", F.pmod(F.xxhash64(item, F.lit(7)), n).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda y: F.struct(
         F.least("_x", y).alias("b1"), F.greatest(F.col("_x"), y).alias("b2")))
     placed = placed.withColumn("_pair", F.explode(pairs))
     return placed.select(*rows.columns, F.col("_pair.b1").alias("b1"), F.col("_pair.b2").alias("b2"),
-                         (F.col("_x") == F.col("_pair.b1")).alias("own")).drop("n")
+                         (F.col("_x") == F.col("_pair.b1")).alias("own"))
 
 
-def groups(batches, keys: list[str]):
-    """Arrow tables of one key each, from record batches sorted by the keys. A group may span batches."""
-    import numpy as np
-
+def whole_groups(batches, keys: list[str]):
+    """(table, bounds): Arrow tables of whole groups from record batches sorted by `keys`; group i is rows bounds[i] to
+    bounds[i + 1]. Holds one batch and the group that goes on in the next."""
     rest = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -98,14 +98,24 @@ def groups(batches, keys: list[str]):
             values = table.column(k).to_numpy(zero_copy_only=False)
             change[1:] |= values[1:] != values[:-1]
         starts = np.flatnonzero(change)
-        at = 0
-        for s in starts:
-            yield table.slice(at, s - at)
-            at = int(s)
-        rest = table.slice(at)
+        last = int(starts[-1]) if len(starts) else 0
+        if last:
+            yield table.slice(0, last), [0, *starts.tolist()]
+        rest = table.slice(last)
     if rest is not None and rest.num_rows:
-        yield rest
-
-
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    return new_path(spark, name)
+        yield rest, [0, rest.num_rows]
+
+
+def stars(linked: np.ndarray) -> np.ndarray:
+    """For a symmetric boolean matrix: the first row that each row is connected with."""
+    n = len(linked)
+    root = np.full(n, -1)
+    for i in range(n):
+        if root[i] < 0:
+            group, new = np.zeros(n, bool), np.zeros(n, bool)
+            new[i] = True
+            while new.any():
+                group |= new
+                new = linked[new].any(0) & ~group
+            root[group] = i
+    return root

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import chat, fingerprint, mixing, packing, pii, url_filter
+from lexmill.llm import chat, fingerprint, mixing, near_text, near_vectors, packing, pii, url_filter
 
 QUERIES, ORACLES = {}, {}
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
@@ -31,6 +31,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_embedding_near_dedup")
+def op1_embedding_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, d, "embeddings"))
+
+
 @query("op2_best_fit_packing")
 def op2_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), tokenizer_path())
@@ -41,6 +46,11 @@ def op3_source_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query("op5_ngram_jaccard")
+def op5_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return near_text.near_duplicates(table(spark, d, "documents"))
+
+
 @query("op6_contextual_pii")
 def op6_contextual_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.personal_data(table(spark, d, "documents"))
