@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import chat, fingerprint, mixing, near_text, near_vectors, packing, pii, url_filter
+from lexmill.llm import chat, fingerprint, mixing, near_text, near_vectors, packing, pii, suffix_dedup, toxicity, url_filter
 
 QUERIES, ORACLES = {}, {}
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
@@ -46,6 +46,11 @@ def op3_source_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query("op4_suffix_array_dedup")
+def op4_suffix_array_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, d, "documents"))
+
+
 @query("op5_ngram_jaccard")
 def op5_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
     return near_text.near_duplicates(table(spark, d, "documents"))
@@ -92,6 +97,11 @@ def op8_chat_formatting(spark: SparkSession, d: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@query("op9_toxicity_chain")
+def op9_toxicity_chain(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.judge(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 @query("op10_url_filter")
 def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, d, "pages"), RULES)
