@@ -3,9 +3,8 @@
 Sources get targets by weight, none above `most` times its size (the excess goes to the others by weight). Documents of a
 source are dealt to shards of about SHARD words by a seeded hash, a source filling as few shards as its size needs. In each
 shard the seats, BLOCK words each, go to the sources by their highest quotients target / (2 k + 1). A source's documents
-are laid end to end in seeded order and cut into blocks; its quota is that many blocks in a row from a seeded start, going
-round as often as needed. So no source misses its target by more than a block and a half per shard, which is the
-rounding, and no document is taken more than `most` times.
+are laid end to end in seeded order and cut into equal blocks; its quota is that many blocks in a row from a seeded start, going
+round as often as needed. So a source misses its target by rounding alone, about a block per shard, and no document is taken more than `most` times.
 """
 
 from __future__ import annotations
@@ -88,23 +87,24 @@ def mix(docs: DataFrame, key: str = "doc_id", weights: tuple[int, ...] = (5, 2,
     order = stream.orderBy(F.xxhash64(key, F.lit(seed + 1)), key, "size").rowsBetween(Window.unboundedPreceding, 0)
     place = place.withColumns({"_end": F.sum("size").over(order), "_words": F.sum("size").over(stream)})
     place = scratch(place.drop("shards"), "placed")
-    blocks = F.ceil(F.col("_words") / block)
+    blocks = F.ceil(F.col("_words") / block)  # of _words / blocks words each, so none is shorter
     votes = place.groupBy("shard", "source").agg(F.first("_words").alias("_words"), F.first("target").alias("target"),
                                                  F.first("source_size").alias("source_size"))
     votes = votes.select("shard", "source", (blocks * most).cast("long").alias("most"), F.coalesce(
-        F.col("target") * F.col("_words") / F.nullif("source_size", F.lit(0)), F.lit(0.0)).alias("votes"))
+        F.col("target") / F.nullif("source_size", F.lit(0)) * blocks * block, F.lit(0.0)).alias("votes"))
     seats = scratch(apportion(votes, block), "quotas").withColumnsRenamed({"shard": "_shard", "source": "_source"})
     taken = place.join(seats, (F.col("shard") == F.col("_shard")) & F.col("source").eqNullSafe(F.col("_source")))
     taken = taken.withColumns({"_blocks": blocks.cast("long"), "_start": F.col("_end") - F.col("size")})
     rounds = F.when(F.col("_blocks") > 0, F.floor(F.col("seats") / F.col("_blocks"))).otherwise(0).cast("long")
     taken = taken.withColumn("epochs", rounds)
     from_block = F.coalesce(F.pmod(F.xxhash64("shard", "source", F.lit(seed + 2)), F.nullif("_blocks", F.lit(0).cast("long"))), F.lit(0))
-    taken = taken.withColumn("_from", from_block * block)
-    taken = taken.withColumn("_to", F.col("_from") + (F.col("seats") - F.col("epochs") * F.col("_blocks")) * block)
+    part = F.col("seats") - F.col("epochs") * F.col("_blocks")
+    edge = lambda b: F.coalesce(F.floor(b * F.col("_words") / F.nullif("_blocks", F.lit(0).cast("long"))), F.lit(0))
+    taken = taken.withColumns({"_from": edge(from_block), "_to": edge(from_block + part)})
     none = F.lit(0).cast("long")
     first = F.least("size", F.greatest(none, F.col("_from") - F.col("_start")))
     length = F.greatest(none, F.least(F.col("_end"), "_to") - F.greatest("_start", "_from"))
-    wrapped = F.col("_to") - F.col("_blocks") * block
+    wrapped = F.col("_to") - F.col("_words")
     second = F.greatest(none, F.least(F.col("_end"), wrapped) - F.col("_start"))
     taken = taken.withColumns({"first": first, "length": length, "second": second})
     whole = F.col("epochs") * F.col("size")
