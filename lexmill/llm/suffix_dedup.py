@@ -118,7 +118,7 @@ def _by_slot(marks: np.ndarray, n: int):
     slot = _slots(marks, n)
     order = np.lexsort((marks, slot))
     edges = np.flatnonzero(np.diff(slot[order], prepend=-1))
-    for lo, hi in zip(edges, [*edges[1:], len(order)], strict=True):
+    for lo, hi in zip(edges, [*edges[1:], len(order)], strict=False):  # no edges: nothing
         yield int(slot[order[lo]]), order[lo:hi]
 
 
@@ -174,7 +174,7 @@ def _notes(marks: np.ndarray, chunk: np.ndarray) -> pa.Table:
     order = np.argsort(chunk, kind="stable")
     marks, chunk = marks[order], chunk[order]
     edges = np.flatnonzero(np.diff(chunk, prepend=-1 if len(chunk) and chunk[0] != -1 else -2))
-    blobs = [marks[lo:hi].tobytes() for lo, hi in zip(edges, [*edges[1:], len(chunk)], strict=True)]
+    blobs = [marks[lo:hi].tobytes() for lo, hi in zip(edges, [*edges[1:], len(chunk)], strict=False)]
     return pa.table({"chunk": pa.array(chunk[edges], pa.int64()), "marks": pa.array(blobs, pa.binary())})
 
 
@@ -237,6 +237,19 @@ class SuffixIndex:
         self.levels = []
 
 
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First index of each distinct row, and each row's number among them, by 128 bits of hash."""
+    powers = np.array([[pow(int(base), i + 1, 1 << 64) for base in (FIRST, SECOND)] for i in range(rows.shape[1])], np.uint64)
+    x, y = (np.concatenate([(rows[at:at + 4096].astype(np.uint64) + np.uint64(1)) @ powers[:, i] for at in range(0, len(rows), 4096)])
+            for i in (0, 1))
+    order = np.lexsort((y, x))
+    new = np.ones(len(rows), bool)
+    new[1:] = (x[order][1:] != x[order][:-1]) | (y[order][1:] != y[order][:-1])
+    number = np.empty(len(rows), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
 def _noted(texts: pa.Table, notes: pa.Table):
     """The chunk's noted suffixes: per document (data, id, positions, surrounding numbers), the distinct surroundings with their
     marks, and the smallest id of each. The same in every pass."""
@@ -248,7 +261,7 @@ def _noted(texts: pa.Table, notes: pa.Table):
         data = texts.column("text")[i].as_py().encode("utf-8", "surrogatepass")
         at, m = suffixes(data) if len(wanted) else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
         if len(at):
-            keep = np.isin(m, wanted)
+            keep = wanted[np.minimum(np.searchsorted(wanted, m), len(wanted) - 1)] == m
             at, m = at[keep], m[keep]
         docs.append((data, at))
         if len(at):
@@ -257,7 +270,7 @@ def _noted(texts: pa.Table, notes: pa.Table):
         return [(d, a, np.zeros(0, np.int64)) for d, a in docs], ids, np.zeros((0, AROUND + 2), np.uint8), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     rows, marks = np.ascontiguousarray(np.concatenate(around)), np.concatenate(marks)
     owner = np.repeat(np.arange(len(docs)), [len(a) for _, a in docs])
-    _, first, number = np.unique(rows.view(f"V{AROUND + 2}").ravel(), return_index=True, return_inverse=True)
+    first, number = _distinct(rows)
     least = np.full(len(first), NO_KEY, np.int64)
     np.minimum.at(least, number, ids[owner])
     ends = np.cumsum([0, *[len(a) for _, a in docs]])
