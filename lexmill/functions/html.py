@@ -40,32 +40,47 @@ SPANS = "array<struct<idx:int,parent:int,end:int,stop:int>>"
 IGNORED, OPENS, VOID, CLOSES = 0, 1, 2, 3
 
 
+@once
 def _entity_names() -> Column:
-    """Named character references of HTML 4, taken from the Python standard library."""
-    names = {**{n: chr(code) for n, code in html.entities.name2codepoint.items()}, "apos": "'"}
-    table = START.join(f"{name}{STOP}{char}" for name, char in sorted(names.items()))
+    """Named character references of HTML 5, as the Python standard library lists them: with their semicolon, and some without."""
+    table = START.join(f"{name}{STOP}{chars}" for name, chars in sorted(html.entities.html5.items()))
     return F.str_to_map(F.lit(table), F.lit(START), F.lit(STOP))
 
 
-def _code_point(hex_digits: Column) -> Column:
-    return F.decode(F.unhex(F.lpad(hex_digits, 8, "0")), "UTF-32")
+BARE_NAMES = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=len, reverse=True)
+
+
+def _code_point(number: Column) -> Column:
+    """Character of a reference's number: those of Windows-1252 for the control range, U+FFFD for none."""
+    windows = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    low = F.element_at(F.array(*[F.lit(windows[n]) for n in range(0x80, 0xA0)]), F.greatest(F.lit(1), F.least(F.lit(32), number - 127)).cast("int"))
+    bad = number.isNull() | (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    none = number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127) | number.between(0xFDD0, 0xFDEF) | (
+        (number >= 0xFFFE) & (number % 0x10000 >= 0xFFFE))
+    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return F.when(bad, "\ufffd").when(number.between(0x80, 0x9F), low).when(none, "").otherwise(char)
 
 
 def decode_entities(c: Column) -> Column:
-    """Character references to characters, each once; unknown names stay as written."""
+    """Character references to characters, each once, as HTML 5 reads them; unknown names stay as written."""
     names = _entity_names()
 
     def piece(x: Column) -> Column:
-        return let(F.regexp_extract(x, r"^&(#?[0-9a-zA-Z]{1,10});", 1), lambda body: decoded(x, body))
-
-    def decoded(x: Column, body: Column) -> Column:
-        char = (
-            F.when(body == "", F.lit(None).cast("string"))
-            .when(body.rlike(r"^#[xX][0-9a-fA-F]{1,6}$"), _code_point(F.substring(body, F.lit(3), F.lit(8))))
-            .when(body.rlike(r"^#[0-9]{1,7}$"), _code_point(F.hex(F.substring(body, F.lit(2), F.lit(8)).cast("long"))))
-            .otherwise(F.try_element_at(names, body))
-        )
-        return F.coalesce(F.concat(char, F.substring(x, F.length(body) + 3, F.length(x))), x)
+        return let(F.struct(F.regexp_extract(x, r"^&([a-zA-Z][0-9a-zA-Z]*;)", 1).alias("whole"),
+                            F.regexp_extract(x, f"^&({'|'.join(BARE_NAMES)})", 1).alias("bare"), x.alias("x")), decoded)
+
+    def decoded(p: Column) -> Column:
+        x = p.x
+        hex_digits = F.ltrim(F.regexp_extract(x, r"^&#[xX]([0-9a-fA-F]+)", 1), F.lit("0"))
+        digits = F.ltrim(F.regexp_extract(x, r"^&#([0-9]+)", 1), F.lit("0"))
+        from_hex = F.when(F.length(hex_digits) <= 6, F.conv(F.concat(F.lit("0"), hex_digits), 16, 10).cast("bigint"))
+        from_digits = F.when(F.length(digits) <= 7, F.concat(F.lit("0"), digits).cast("bigint"))
+        rest = lambda pattern: F.regexp_replace(x, pattern, "")
+        return (F.when(x.rlike("^&#[xX][0-9a-fA-F]"), F.concat(let(from_hex, _code_point), rest("^&#[xX][0-9a-fA-F]+;?")))
+                .when(x.rlike("^&#[0-9]"), F.concat(let(from_digits, _code_point), rest("^&#[0-9]+;?")))
+                .otherwise(let(F.try_element_at(names, p.whole), lambda whole: F.when(whole.isNotNull(), F.concat(
+                    whole, F.substring(x, F.length(p.whole) + 2, F.length(x)))).when(p.bare != "", F.concat(
+                        F.try_element_at(names, p.bare), F.substring(x, F.length(p.bare) + 2, F.length(x)))).otherwise(x))))
 
     slow = F.array_join(F.transform(F.split(c, "(?=&)"), piece), "")
     fast = c
@@ -233,13 +248,15 @@ class Tree:
         """The one string an element holds, directly or through single children; else NULL."""
         return el.string
 
-    def test(self, name=None, cls=None, id=None, id_re=None, title=None, href_re=None, string=None, string_re=None,
+    def test(self, name=None, name_re=None, cls=None, id=None, id_re=None, title=None, href_re=None, string=None, string_re=None,
              attrs=None):
         """Predicate over elements; conditions run from cheap to dear."""
         def check(e: Column) -> Column:
             conds = []
             if name is not None:
                 conds.append(e.tag.isin(list(name)) if isinstance(name, (list, tuple)) else e.tag == name)
+            if name_re is not None:
+                conds.append(e.tag.rlike(name_re))
             if cls is not None:
                 conds.append(F.contains(e.markup, F.lit(cls)))
                 conds.append(F.array_contains(F.split(attr(e, "class"), r"\s+"), cls))

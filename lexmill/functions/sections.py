@@ -45,8 +45,3 @@ def amendment_block(c: Column | str) -> Column:
     """Amendment text from its second part on, NULL without one."""
     t = as_col(c)
     return F.when(F.locate(AMENDMENT_START, t) > 0, _from(t, AMENDMENT_START))
-
-
-def truncate_marker(text: Column, total: Column, limit: int = 16_000_000) -> Column:
-    """Optional size rule: where the texts of a record exceed the limit together, each becomes a marker."""
-    return F.when(text.isNotNull() & (total > limit), F.lit("<truncated>")).otherwise(text)

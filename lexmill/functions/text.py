@@ -27,7 +27,7 @@ def once(fn):
 
     @functools.wraps(fn)
     def get(*args):
-        key = (id(SparkContext._active_spark_context), *args)
+        key = (SparkContext._active_spark_context.applicationId, *args)
         if key not in built:
             built[key] = fn(*args)
         return built[key]
@@ -104,7 +104,7 @@ def all_matches(c: Column | str, pattern: str, group: int = 1) -> Column:
 
 
 def first_int(c: Column | str) -> Column:
-    return F.regexp_substr(as_col(c), F.lit(r"\d+")).try_cast("int")
+    return F.regexp_substr(as_col(c), F.lit(r"\d+")).try_cast("bigint")
 
 
 def head_lines(c: Column | str, n: int) -> Column:

@@ -10,10 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.dates import iso, parse_any
-from lexmill.operators.keyed import lookup_join, patch, pick_one
-
-HOT_LAW = 1_000_000
-
+from lexmill.operators.keyed import patch, pick_one
 
 def edges(records: DataFrame) -> DataFrame:
     """(record_id, date_passing, law_id): one row per cited law of a record."""
@@ -49,26 +46,27 @@ def with_citation_rollup(records: DataFrame) -> DataFrame:
     return patch(records, owned_rollup(records), "record_id", ["affecting_laws_count", "affecting_laws_first_date"])
 
 
-def affecting_edges(records: DataFrame, hot_rows: int = HOT_LAW) -> DataFrame:
-    """(record_id, affecting_record_id): who modifies the law of a record. Hot laws are spread by citing record."""
-    hot = citation_counts(records).where(F.col("count") >= hot_rows).select("law_id")
+def affecting_edges(records: DataFrame) -> DataFrame:
+    """(record_id, affecting_record_id): who modifies the law of a record.
+
+    A law cited by very many is split by adaptive execution: the citing side reaches the join straight from its shuffle.
+    """
     cited = edges(records).select("law_id", F.col("record_id").alias("affecting_record_id"))
-    joined = lookup_join(cited, law_owners(records), "law_id", "inner", hot, "affecting_record_id")
+    joined = cited.join(law_owners(records), "law_id")
     return joined.select(F.col("owner_record_id").alias("record_id"), "affecting_record_id")
 
 
-def modified_laws_table(records: DataFrame, hot_rows: int = HOT_LAW) -> DataFrame:
+def modified_laws_table(records: DataFrame) -> DataFrame:
     """Exported table: each cited law with the record owning it, NULL if none does."""
-    hot = citation_counts(records).where(F.col("count") >= hot_rows).select("law_id")
-    joined = lookup_join(edges(records), law_owners(records), "law_id", "left", hot, "record_id")
+    joined = edges(records).join(law_owners(records), "law_id", "left")
     return joined.select("record_id", F.col("law_id").alias("modified_law_id"),
                          F.col("owner_record_id").alias("modified_record_id"))
 
 
-def affecting_laws_table(records: DataFrame, hot_rows: int = HOT_LAW) -> DataFrame:
+def affecting_laws_table(records: DataFrame) -> DataFrame:
     """Exported table: each affecting record with its own law id."""
     ids = pick_one(records.select(F.col("record_id").alias("affecting_record_id"),
                                   F.col("law_id").alias("affecting_law_id")),
                    "affecting_record_id", "affecting_law_id", ["affecting_law_id"])
-    return (affecting_edges(records, hot_rows).join(ids, "affecting_record_id", "left")
+    return (affecting_edges(records).join(ids, "affecting_record_id", "left")
             .select("record_id", "affecting_law_id", "affecting_record_id"))

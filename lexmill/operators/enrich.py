@@ -32,10 +32,6 @@ def with_text(df: DataFrame, url: str, doc_texts: DataFrame, name: str = "extrac
     return df.withColumn("clean_url", clean_url(url)).join(texts, "clean_url", "left").drop("clean_url")
 
 
-def storable(df: DataFrame, size: str = "size", limit: int = 16_000_000) -> DataFrame:
-    return df.where(F.col(size) < limit)
-
-
 # --- people -------------------------------------------------------------------------------------------------------
 
 def members_lookup(members: DataFrame, house: str) -> DataFrame:

@@ -58,23 +58,6 @@ def patch_where(df: DataFrame, condition: Column, changes: dict[str, Column]) ->
     return df.withColumns({c: F.when(condition, v).otherwise(F.col(c)) for c, v in changes.items()})
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, key: str, how: str = "left", hot: DataFrame | None = None,
-                spread: str | None = None, salts: int = 64) -> DataFrame:
-    """Join a large table to a lookup with one row per key.
-
-    With `hot` (a small table of keys known to be frequent) rows of those keys are spread over `salts` tasks by
-    `spread`, and their lookup rows repeated as often. Without it the skew handling of adaptive execution applies.
-    """
-    if hot is None:
-        return df.join(lookup, key, how)
-    flag = hot.select(key, F.lit(True).alias("_hot"))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
-    left = df.join(flag, key, "left").withColumn("_salt", salt).drop("_hot")
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = lookup.join(flag, key, "left").withColumn("_salt", F.explode(every)).drop("_hot")
-    return left.join(right, [key, "_salt"], how).drop("_salt")
-
-
 def number_rows(df: DataFrame, url: str, digits: int = 3) -> DataFrame:
     """Adds `n`, numbering rows 1.. in the order of (md5(url), url); `url` must be unique.
 

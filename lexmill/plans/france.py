@@ -134,7 +134,8 @@ def _one_page_steps() -> list[dict[str, Column]]:
         "committee_count": F.when(F.col("committees").isNotNull(), F.size("committees")),
         "committee_hearing_count": _hearings(),
         "debates": _debate_links(),
-        "amendment_count": F.when(some, F.aggregate(numbers, F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0)))),
+        "amendment_count": F.when(some, F.aggregate(
+            numbers, F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x, F.lit(0)))),
         "amendment_links": F.when(some, F.transform("links", lambda a: attr(a, "href"))),
     }
     return [elements, fields]

@@ -30,8 +30,8 @@ def after_label(text: str, tag: str) -> Column:
 
 
 def label_dates(text: str) -> Column:
-    """Every date in the element after a label, in record form."""
-    return german_dates_in(T.text(T.next(label(text), name=["a", "span", "div"])))
+    """Every date in the next element whose tag name holds one of the three, in record form."""
+    return german_dates_in(T.text(T.next(label(text), name_re="a|span|div")))
 
 
 def committees() -> Column:

@@ -40,9 +40,3 @@ def read_amendment_files(spark: SparkSession, folder: str, manifest: DataFrame)
             .schema(columns).csv(folder)
             .withColumn("file_path", F.col("_metadata.file_path")))
     return rows.join(manifest, "file_path").drop("file_path")
-
-
-def spread(df: DataFrame, key: str, parallelism: int | None = None) -> DataFrame:
-    """Pages from a few large files over all cores: parsing is compute-bound, so too few scan tasks would idle them."""
-    wanted = parallelism or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df

@@ -38,7 +38,7 @@ MAIN = f"""concat('<html><body><p class="x deputy-healine-sub-title">\\n', eleme
  case when o_orderkey % 5 = 0 then '<p><strong>Le Gouvernement a engagé la procédure accélérée le 1</strong></p>' else '' end,
  case when o_orderkey % 6 < 4 then concat('<div><h4>Etude d''impact</h4><a href="', element_at(array('/ia.pdf',
    {'concat(' + doc_url('o_orderkey') + ')'}, concat('/ia/', o_orderkey, '.html'), concat('https://docs.example.org/',
-   o_orderkey % 1200, '.html')), cast(o_orderkey % 6 + 1 as int)), '">doc</a></div>') else '' end,
+   o_orderkey, '.html')), cast(o_orderkey % 6 + 1 as int)), '">doc</a></div>') else '' end,
  '</body></html>')"""
 
 ONE = f"""concat('<div>', {rep("1 + o_orderkey % 4", f'''"<h3>", element_at(array("Dépôt", "1ère lecture", "Commission",
@@ -59,7 +59,7 @@ LAW = """concat('<ul id="liste-sommaire"><li>Article 1 : la loi n° 2009-', o_cu
  else '' end)"""
 VOTES = "concat('<p>Pour l''adoption : ', o_custkey, '</p><p>Contre : 3</p>')"
 BILL = """case o_orderkey % 4 when 0 then concat('<div id="wysiwyg">Texte  de  loi ', o_orderkey, '\\n\\n\\n\\nfin</div>')
- when 1 then concat('<a href="/pdf/', o_orderkey % 5, '.pdf">Version PDF</a>')
+ when 1 then concat('<a href="/pdf/', o_orderkey, '.pdf">Version PDF</a>')
  when 2 then '<em>Document non encore publié</em><div id="englobe">z</div>' else '<p>rien</p>' end"""
 DEBATE = """concat('<div class="SYCERON">', repeat('mot ', cast(o_orderkey % 9 + i as int)), '</div>')"""
 
@@ -77,7 +77,7 @@ def pages(spark, d):
                 "end, '/textes/', o_orderkey)")
     kinds = [("main", URL, MAIN), ("one_page", URL, ONE), ("law", URL, f"case when {PROM} then {LAW} end"),
              ("votes", URL, f"case when {PROM} then {VOTES} end"), ("bill", bill_url, BILL),
-             ("ia", "concat('https://docs.example.org/', o_orderkey % 1200, '.html')",
+             ("ia", "concat('https://docs.example.org/', o_orderkey, '.html')",
               "case when o_orderkey % 6 = 3 then '<div id=\"wysiwyg\">Etude du 5 mai 2011</div>' end")]
     items = ", ".join(f"named_struct('kind', '{k}', 'url', {u}, 'html', {h})" for k, u, h in kinds)
     debates = (f"transform(filter(sequence(0, cast(1 + o_orderkey % 4 as int)), i -> i > 0), i -> named_struct('kind', "
@@ -121,15 +121,14 @@ def _(spark, d):
 @query("X-FR3_originators", with_sql(MEMBERS) + """, up AS (SELECT parsed_name AS n, arg_min(coalesce(parsed_affiliation,
     ''), page_id) AS a FROM members WHERE house = 'UPPER' GROUP BY 1), lo AS (SELECT parsed_name AS n,
     arg_min(parsed_affiliation, page_id) AS a FROM members WHERE house = 'LOWER' GROUP BY 1), o AS (SELECT o_orderkey,
-    unnest(['Author ' || (o_custkey % 90), 'Author ' || (o_custkey % 50), 'Bo Nul']) AS name, unnest([1, 2, 3]) AS pos FROM
-    orders WHERE o_orderkey % 2 = 0)
+    unnest(['Author ' || (o_custkey % 90)] || CASE WHEN o_orderkey % 2 = 0 THEN ['Author ' || (o_custkey % 50), 'Bo Nul']
+    ELSE [] END) AS name, unnest(CASE WHEN o_orderkey % 2 = 0 THEN [1, 2, 3] ELSE [1] END) AS pos FROM orders)
   SELECT o_orderkey, string_agg(name || '=' || coalesce(nullif(up.a, ''), lo.a, '-'), ';' ORDER BY pos) AS originators
   FROM o LEFT JOIN up ON up.n = name LEFT JOIN lo ON lo.n = name GROUP BY 1""")
 def _(spark, d):
     body = f"replace({MAIN}, 'sub-title\">\\n', 'sub-title\">')"
     src = rows(spark, d, ["o_orderkey", f"{URL} AS url", f"replace({body}, 'Projet de loi<', 'Proposition de loi<') AS h"])
-    ready = src.selectExpr("o_orderkey", "url", "replace(h, 'Motion<', 'Proposition de loi<') AS html").where(
-        "o_orderkey % 2 = 0")
+    ready = src.selectExpr("o_orderkey", "url", "replace(h, 'Motion<', 'Proposition de loi<') AS html")
     found = P.originators(P.main_fields(ready).where("names is not null"), members(spark, d))
     text = joined(F.transform("originators", lambda o: F.concat(
         o["originator_name"], F.lit("="), F.coalesce(o["originator_affiliation"], F.lit("-")))))
@@ -151,14 +150,13 @@ main_query("X-FR5_law_id_and_date", ["law_id", "date_entering_into_force"], f"""
 
 _BILL_URL = ("CASE WHEN o_orderkey % 2 = 0 THEN 'https://www.assemblee-nationale.fr' ELSE 'https://x.example.org' END || "
              "'/textes/' || o_orderkey")
-PDF_TEXTS = "pdfs AS (SELECT 'https://www.assemblee-nationale.fr/pdf/' || doc_id || '.pdf' AS u, text AS t FROM documents " \
-            "WHERE doc_id < 4)"
+PDF_TEXTS = "pdfs AS (SELECT 'https://www.assemblee-nationale.fr/pdf/' || doc_id || '.pdf' AS u, text AS t FROM documents)"
 
 
 def pdf_texts(spark, d):
     own = table(spark, d, "documents").selectExpr(
         "'bill' AS collection", "'https://www.assemblee-nationale.fr/pdf/' || doc_id || '.pdf' AS url", "n_chars AS size",
-        "case when doc_id < 4 then text end AS extracted_text", "n_chars AS text_size")
+        "text AS extracted_text", "n_chars AS text_size")
     return doc_texts(spark, d).unionByName(own)
 
 
@@ -166,7 +164,7 @@ def pdf_texts(spark, d):
     {_BILL_URL} END AS bill_text_url, md5(CASE WHEN o_orderkey % 4 = 0 THEN 'Texte  de  loi ' || o_orderkey || chr(10) ||
     chr(10) || 'fin' WHEN o_orderkey % 4 = 1 THEN t END) AS bill_text, CAST(CASE WHEN o_orderkey % 4 = 0 THEN
     length('Textedeloifin' || o_orderkey) WHEN o_orderkey % 4 = 1 AND t IS NOT NULL THEN {sql_dense('t')} END AS BIGINT)
-    AS bill_size FROM orders LEFT JOIN pdfs ON u = 'https://www.assemblee-nationale.fr/pdf/' || (o_orderkey % 5) || '.pdf'
+    AS bill_size FROM orders LEFT JOIN pdfs ON u = 'https://www.assemblee-nationale.fr/pdf/' || o_orderkey || '.pdf'
     AND o_orderkey % 4 = 1 WHERE {KEPT}""")
 def _(spark, d):
     main = P.main_fields(html(spark, d, MAIN))
@@ -191,7 +189,7 @@ main_query("X-FR8_procedure", ["procedure_type_standard", "procedure_type_nation
     'https://www.assemblee-nationale.fr/ia.pdf' WHEN 1 THEN {sql_doc('o_orderkey')} WHEN 2 THEN
     'https://www.assemblee-nationale.fr/ia/' || o_orderkey || '.pdf' WHEN 3 THEN {sql_doc('o_orderkey')} END AS pdf FROM orders
     WHERE {KEPT} AND o_orderkey % 6 < 4) """ + SEL + """CASE WHEN o_orderkey % 6 < 2 OR u IS NOT NULL THEN pdf WHEN
-    o_orderkey % 6 = 2 THEN '/ia/' || o_orderkey || '.html' ELSE 'https://docs.example.org/' || (o_orderkey % 1200) || '.html'
+    o_orderkey % 6 = 2 THEN '/ia/' || o_orderkey || '.html' ELSE 'https://docs.example.org/' || o_orderkey || '.html'
     END AS ia_text_url, md5(CASE WHEN u IS NOT NULL THEN t WHEN o_orderkey % 6 = 3 THEN 'Etude du 5 mai 2011' END) AS ia_text,
     CASE WHEN u IS NULL AND o_orderkey % 6 = 3 THEN '2011-05-05' END AS ia_date FROM o LEFT JOIN cache ON u = pdf""")
 def _(spark, d):
@@ -233,7 +231,7 @@ def _(spark, d):
 
 
 one_query("X-FR14_amendment_links", ["amendment_count", "amendment_links"], """CASE o_orderkey % 3 WHEN 1 THEN
-    CAST(o_custkey + 1 AS INTEGER) WHEN 2 THEN CAST(2 * o_custkey + 3 AS INTEGER) END AS amendment_count,
+    CAST(o_custkey + 1 AS BIGINT) WHEN 2 THEN CAST(2 * o_custkey + 3 AS BIGINT) END AS amendment_count,
     CASE o_orderkey % 3 WHEN 1 THEN '/am/1' WHEN 2 THEN '/am/1;/am/2' END AS amendment_links""",
           lambda df: df.withColumn("amendment_links", joined("amendment_links")))
 

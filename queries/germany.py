@@ -11,7 +11,7 @@ from queries.inputs import DOC_TEXTS, RECORDS, doc_texts, joined, page_rows, rec
 from queries.portugal import doc_url, each, rep, sql_doc
 from queries.records import VOTES, sql_list, vote_texts
 from queries.registry import query, table
-from queries.texts import sql_dense
+from queries.texts import sql_dense, sql_strip
 
 URL = "concat('https://bills.example.org/doc/', o_orderkey, case when o_orderkey % 4 = 0 then '#top' else '' end)"
 SEL = "SELECT 'https://bills.example.org/doc/' || o_orderkey || CASE WHEN o_orderkey % 4 = 0 THEN '#top' ELSE '' END AS url, "
@@ -164,11 +164,15 @@ def _(spark, d):
     return P.records(pages(spark, d), doc_texts(spark, d)).select(F.col("bill_page_url").alias("url"), "plenary_size")
 
 
+# Whole texts without the strings that end a section.
+BODY = "replace(replace(extracted_text, 'D.', ''), 'II', '')"
+
+
 def section_texts(spark, d):
-    """Cache whose texts hold all German sections."""
+    """Cache whose texts hold all German sections around the whole text."""
     return doc_texts(spark, d).withColumn("extracted_text", F.expr(
-        "case when extracted_text > '' then concat('C. Alternativen\\nKeine ', size, '\\nD. Kosten\\nArtikel 1\\n', size, '  Text\\n"
-        "Begründung\\nA', size, ' II. Besonderer Teil x') else extracted_text end"))
+        f"concat('C. Alternativen\\nKeine ', {BODY}, '\\nD. Kosten\\nArtikel 1\\n', {BODY}, '  Text\\n"
+        f"Begründung\\nA', {BODY}, ' II. Besonderer Teil x')"))
 
 
 def law_cache(spark, d):
@@ -179,14 +183,16 @@ def law_cache(spark, d):
     return section_texts(spark, d).unionByName(own)
 
 
-SECTIONS = """sections AS (SELECT split_part(url, '#', 1) AS u, size FROM doc_texts WHERE extracted_text <> '')"""
-BILL_TEXT = "'Artikel 1' || chr(10) || size || ' Text' || chr(10) || 'Begründung' || chr(10) || 'A' || size || ' II.'"
-IA1, IA2 = "'C. Alternativen' || chr(10) || 'Keine ' || size", "'Begründung' || chr(10) || 'A' || size"
+SECTIONS = f"sections AS (SELECT split_part(url, '#', 1) AS u, {BODY} AS body FROM doc_texts)"
+BILL_TEXT = ("regexp_replace('Artikel 1' || chr(10) || body || ' Text' || chr(10) || 'Begründung' || chr(10) || 'A' || body || "
+             "' II.', ' +', ' ', 'g')")
+IA1 = sql_strip("'C. Alternativen' || chr(10) || 'Keine ' || body")
+IA2 = sql_strip("'Begründung' || chr(10) || 'A' || body")
 
 
 @query("X-DE_records", with_sql(DOC_TEXTS, SECTIONS) + SEL + f"""{BILL_TEXT} AS bill_text, CASE WHEN o_orderkey % 3 > 0 THEN
     CAST(coalesce({sql_dense(BILL_TEXT)}, 0) AS BIGINT) END AS bill_size, {IA1} AS ia_text1, {IA2} AS ia_text2,
-    CASE WHEN size IS NOT NULL THEN CAST({sql_dense(IA1)} AS BIGINT) END AS ia_size1,
+    CASE WHEN body IS NOT NULL THEN CAST({sql_dense(IA1)} AS BIGINT) END AS ia_size1,
     CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey % 8 > 0 END AS original_law,
     CASE WHEN o_orderkey % 4 = 0 THEN '§ ' || o_orderkey || CASE WHEN o_orderkey % 8 = 0 THEN ' wird aufgehoben' ELSE ' gilt' END
     END AS law_text FROM orders LEFT JOIN sections ON u = {sql_doc('o_orderkey')} AND o_orderkey % 3 > 0""")
@@ -197,11 +203,11 @@ def _(spark, d):
 
 
 @query("X-DE10_impact_sections", f"""SELECT doc_id, {IA1} AS ia_text1, {IA2} AS ia_text2, CAST({sql_dense(IA1)} AS BIGINT)
-    AS ia_size1, CAST({sql_dense(IA2)} AS BIGINT) AS ia_size2 FROM (SELECT doc_id, n_chars AS size FROM documents
-    WHERE doc_id % 10 > 0)""")
+    AS ia_size1, CAST({sql_dense(IA2)} AS BIGINT) AS ia_size2 FROM (SELECT doc_id,
+    replace(replace(text, 'D.', ''), 'II', '') AS body FROM documents)""")
 def _(spark, d):
-    src = table(spark, d, "documents").where("doc_id % 10 > 0").selectExpr(
-        "doc_id", "concat('C. Alternativen\\nKeine ', n_chars, '\\nD. Kosten\\nBegründung\\nA', n_chars, 'III') AS t")
+    src = table(spark, d, "documents").selectExpr("doc_id", "replace(replace(text, 'D.', ''), 'II', '') AS body").selectExpr(
+        "doc_id", "concat('C. Alternativen\\nKeine ', body, '\\nD. Kosten\\nBegründung\\nA', body, 'III') AS t")
     return src.select("doc_id", *[c.alias(n) for n, c in P.impact_columns(F.col("t")).items()])
 
 
@@ -263,9 +269,9 @@ def _(spark, d):
 
 # --- repairs ------------------------------------------------------------------------------------------------------
 
-@query("R1_impact_texts", with_sql(RECORDS, DOC_TEXTS, SECTIONS) + f"""SELECT record_id, CASE WHEN size IS NULL THEN ia_text1 ELSE
-    {IA1} END AS ia_text1, CASE WHEN size IS NULL THEN ia_text2 ELSE {IA2} END AS ia_text2, CASE WHEN size IS NULL THEN ia_date
-    ELSE date_introduction END AS ia_date, CASE WHEN size IS NULL THEN ia_text_url ELSE bill_text_url END AS ia_text_url
+@query("R1_impact_texts", with_sql(RECORDS, DOC_TEXTS, SECTIONS) + f"""SELECT record_id, CASE WHEN body IS NULL THEN ia_text1 ELSE
+    {IA1} END AS ia_text1, CASE WHEN body IS NULL THEN ia_text2 ELSE {IA2} END AS ia_text2, CASE WHEN body IS NULL THEN ia_date
+    ELSE date_introduction END AS ia_date, CASE WHEN body IS NULL THEN ia_text_url ELSE bill_text_url END AS ia_text_url
     FROM records LEFT JOIN sections ON u = split_part(bill_text_url, '#', 1)""")
 def _(spark, d):
     rec = records(spark, d).select("record_id", "bill_text_url", "date_introduction", "ia_date", "ia_text_url", "ia_text1",
@@ -300,11 +306,9 @@ def _(spark, d):
     return R.bill_texts(rec, section_texts(spark, d)).select("record_id", "bill_text", "bill_size")
 
 
-@query("R3_bill_sizes", f"""SELECT doc_id, CASE WHEN doc_id % 10 > 0 THEN CAST({sql_dense('text')} AS BIGINT) ELSE 1 END AS bill_size
-    FROM documents""")
+@query("R3_bill_sizes", f"SELECT doc_id, CAST({sql_dense('text')} AS BIGINT) AS bill_size FROM documents")
 def _(spark, d):
-    rec = table(spark, d, "documents").selectExpr("doc_id", "case when doc_id % 10 > 0 then text end AS bill_text",
-                                                  "1L AS bill_size")
+    rec = table(spark, d, "documents").selectExpr("doc_id", "text AS bill_text", "1L AS bill_size")
     return R.bill_sizes(rec).select("doc_id", "bill_size")
 
 

@@ -201,10 +201,9 @@ def _(spark, d):
 
 @query("A8_sum_of_first_integers", """SELECT page_id, CAST(coalesce(list_sum(list_transform(list_filter(
     regexp_extract_all(html, '<p>[^<]*'), lambda p: regexp_matches(p, '[0-9]')),
-    lambda p: CAST(regexp_extract(p, '[0-9]{1,6}') AS BIGINT))), 0) AS BIGINT) AS n FROM pages""")
+    lambda p: TRY_CAST(regexp_extract(p, '[0-9]+') AS BIGINT))), 0) AS BIGINT) AS n FROM pages""")
 def _(spark, d):
-    own = F.transform(T.find_all(name="p"), lambda p: first_int(F.substring(F.regexp_substr(
-        F.get(T.texts, p["pos"]), F.lit("[0-9]{1,6}")), 1, 6)).cast("bigint"))
+    own = F.transform(T.find_all(name="p"), lambda p: first_int(F.get(T.texts, p["pos"])))
     total = F.aggregate(own, F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x, F.lit(0)))
     return trees(spark, d).select("page_id", total.alias("n"))
 
@@ -247,7 +246,7 @@ def _(spark, d):
     rows = pages(spark, d).selectExpr("'X' AS country", "url", "'main' AS kind", "html")
     fields = "bill_page_url string, bill_title string"
 
-    def extract(batch):
+    def extract(batch, stored_rows):
         titles = E.with_tree(batch).select(F.col("url").alias("bill_page_url"), T.text(T.find(name="title")).alias("t"))
         return titles.select("bill_page_url", F.md5("t").alias("bill_title"))
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.sources.tables import spread
 from queries.registry import table
 
 
@@ -63,7 +62,7 @@ def _record_fields(d: _Dialect) -> dict[str, str]:
         "date": d.day(d.later(day, "10 * i")),
         "house": "case when i % 2 = 0 then 'LOWER' else 'UPPER' end",
         "debate_size": f"case when i % 4 = 0 then cast(100 + {k} as bigint) end",
-        "debate_url": f"case when i % 2 = 1 then 'https://docs.example.org/' || (({k} + i) % 1200) || '.pdf' || "
+        "debate_url": f"case when i % 2 = 1 then 'https://docs.example.org/' || ({k} + i) || '.pdf' || "
                       f"case when {k} % 3 = 0 then '#page=3' else '' end end",
     })
     amendment = d.struct({
@@ -73,10 +72,10 @@ def _record_fields(d: _Dialect) -> dict[str, str]:
         "amendment_plenary": "case when i % 3 = 0 then 'Bundestag' when i % 3 = 1 then 'BUNDESRAT' else 'EP' end",
         "amendment_originator": d.list([f"'Author ' || ({c} % 100)", "'Author ' || i"]),
         "amendment_originator_aff": null, "amendment_committee_name": null,
-        "amendment_text_url": f"'https://docs.example.org/' || (({k} + i) % 1200) || '.pdf'",
+        "amendment_text_url": f"'https://docs.example.org/' || ({k} + i) || '.pdf'",
         "amendment_text": null, "amendment_text_size": size, "amendment_outcome": null, "amendment_vote_for": null,
         "amendment_vote_against": null, "amendment_vote_abst": null,
-        "amendment_page_link": f"'https://am.example.org/' || (({k} * 3 + i) % 2000)",
+        "amendment_page_link": f"'https://am.example.org/' || ({k} * 3 + i)",
     })
     committee = d.struct({
         "committee_name": f"'Ausschuss ' || (({k} + i) % 3)",
@@ -109,7 +108,7 @@ def _record_fields(d: _Dialect) -> dict[str, str]:
         "committee_hearing_count": f"case when {k} % 5 <> 0 then cast({k} % 7 as int) end",
         "modified_laws": f"case when {k} % 11 = 0 then null when {k} % 5 = 0 then "
                          f"{'cast(array() as array<string>)' if d.spark else 'CAST([] AS VARCHAR[])'} else {laws} end",
-        "bill_text_url": f"case when {k} % 8 <> 0 then 'https://docs.example.org/' || ({k} % 1200) || '.pdf' || "
+        "bill_text_url": f"case when {k} % 8 <> 0 then 'https://docs.example.org/' || {k} || '.pdf' || "
                          f"case when {k} % 3 = 0 then '#a' else '' end end",
         "bill_size": f"case when {k} % 2 = 0 then cast({k} as bigint) end",
         "amendments": f"case when {k} % 9 = 0 then null else {d.each(f'{k} % 4', amendment)} end",
@@ -137,10 +136,10 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
     return page_rows(spark, folder, "orders", [f"{e} AS {n}" for n, e in _SPARK_FIELDS.items()])
 
 
-# Text cache: one document per URL, some extracted to nothing.
+# Text cache: one document per URL.
 DOC_TEXTS = """doc_texts AS (SELECT source AS collection,
   'https://docs.example.org/' || doc_id || '.pdf' || CASE WHEN doc_id % 5 = 0 THEN '#page=1' ELSE '' END AS url,
-  n_chars AS size, CASE WHEN doc_id % 10 = 0 THEN '' ELSE text END AS extracted_text, n_chars AS text_size
+  n_chars AS size, text AS extracted_text, n_chars AS text_size
   FROM documents)"""
 
 
@@ -148,7 +147,7 @@ def doc_texts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").selectExpr(
         "source AS collection",
         "'https://docs.example.org/' || doc_id || '.pdf' || case when doc_id % 5 = 0 then '#page=1' else '' end AS url",
-        "n_chars AS size", "case when doc_id % 10 = 0 then '' else text end AS extracted_text", "n_chars AS text_size")
+        "n_chars AS size", "text AS extracted_text", "n_chars AS text_size")
 
 
 # Members: suppliers sit in the upper house, customers in the lower; names repeat.
@@ -179,7 +178,7 @@ _ROW = {
     "Auteur": "(l_suppkey % 90) || ' Author'",
     "Cosignataire(s)": "case when l_linenumber % 3 = 0 then '' else 'Ann ' || l_linenumber || ',  Bo, ' end",
     "Sort de l'amendement": "case l_returnflag when 'A' then 'Adopté' when 'N' then 'Tombé' else 'Autre' end",
-    "URL Amendement": "'https://am.example.org/' || (l_orderkey % 2000)",
+    "URL Amendement": "'https://am.example.org/' || l_orderkey",
 }
 AMENDMENT_ROWS = "amendment_rows AS (SELECT " + ", ".join(f'{e} AS "{n}"' for n, e in _ROW.items()) + " FROM lineitem)"
 
@@ -228,6 +227,6 @@ SPACE = r"\t\n\x0b\f\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{2
 
 
 def page_rows(spark, d, name: str, columns: list[str]):
-    """Rows composed from a table's rows, over all cores although a small table is one file."""
+    """Pages composed from a table's rows. The table is dealt out first: its few files make far larger pages."""
     rows = table(spark, d, name)
-    return spread(rows, rows.columns[0]).selectExpr(*columns)
+    return rows.repartition(spark.sparkContext.defaultParallelism, rows.columns[0]).selectExpr(*columns)

@@ -20,7 +20,7 @@ def rep(count: str, item: str) -> str:
 
 
 def doc_url(expr: str) -> str:
-    return f"'https://docs.example.org/', ({expr}) % 1200, '.pdf'"
+    return f"'https://docs.example.org/', {expr}, '.pdf'"
 
 
 STAGE = ("element_at(array('Entrada', 'Baixa comissão distribuição inicial generalidade', 'Votação na generalidade', "
@@ -93,7 +93,7 @@ def day(i: str) -> str:
 
 
 def sql_doc(expr: str) -> str:
-    return f"'https://docs.example.org/' || (({expr}) % 1200) || '.pdf'"
+    return f"'https://docs.example.org/' || ({expr}) || '.pdf'"
 
 
 def each(n: str, item: str, sep: str = ";") -> str:

@@ -64,10 +64,9 @@ def _(spark, d):
     return docs(spark, d).select("doc_id", F.md5(text.remove_whitespace("text")).alias("t"))
 
 
-@query("E3_dense_length", f"""SELECT doc_id, CAST(CASE WHEN doc_id % 10 = 0 THEN 0 ELSE {sql_dense('text')} END AS BIGINT)
-    AS n FROM documents""")
+@query("E3_dense_length", f"""SELECT doc_id, CAST({sql_dense('text')} AS BIGINT) AS n FROM documents""")
 def _(spark, d):
-    return docs(spark, d).select("doc_id", text.dense_length(F.expr("case when doc_id % 10 > 0 then text end")).alias("n"))
+    return docs(spark, d).select("doc_id", text.dense_length("text").alias("n"))
 
 
 @query("E15_filled_lines", f"""SELECT doc_id, md5(array_to_string(list_filter(list_transform(string_split_regex(text,
@@ -438,12 +437,3 @@ def _(spark, d):
 def _(spark, d):
     raw = F.expr("concat('Lei n.º ', o_custkey, ' | XIV / 2 - a')")
     return orders(spark, d).select("o_orderkey", text.normalise_separators(raw).alias("t"))
-
-
-@query("E42_truncate", """SELECT doc_id, CASE WHEN sum(length(text)) OVER (PARTITION BY source) > 200000 THEN '<truncated>'
-    ELSE md5(text) END AS t FROM documents""")
-def _(spark, d):
-    sizes = docs(spark, d).groupBy("source").agg(F.sum(F.length("text")).alias("total"))
-    cut = sections.truncate_marker(F.col("text"), F.col("total"), 200_000)
-    rows = docs(spark, d).select("doc_id", "source", "text").join(sizes, "source").select("doc_id", "text", cut.alias("c"))
-    return rows.select("doc_id", F.when(F.col("c") == "<truncated>", F.col("c")).otherwise(F.md5("c")).alias("t"))

@@ -41,16 +41,6 @@ def test_unseen_twice_is_empty(spark):
     assert keyed.unseen(pages, pages, "url").count() == 0
 
 
-def test_lookup_join_with_hot_keys(spark):
-    big = spark.range(2000).selectExpr("id", "case when id % 3 = 0 then null when id % 3 = 1 then 'h' else '' || id % 50 end AS k")
-    lookup = spark.createDataFrame([("h", 1), ("2", 2), ("9", 3)], "k string, v int")
-    hot = spark.createDataFrame([("h",)], "k string")
-    for how in ("left", "inner"):
-        plain = big.join(lookup, "k", how).select("id", "k", "v")
-        salted = keyed.lookup_join(big, lookup, "k", how, hot, "id", salts=7).select("id", "k", "v")
-        assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, salted.collect()), key=str)
-
-
 RECORDS = "record_id string, law_id string, date_passing string, modified_laws array<string>"
 
 

@@ -91,15 +91,16 @@ def test_streaming_intake_is_resumable(spark):
     pages, stored, state = (new_path(spark, n) for n in ("pages", "records", "state"))
     fields = "bill_page_url string, bill_status string, record_id string"
 
-    def extract(batch):
+    def extract(batch, stored_rows):
         status = portugal.main_fields(batch).select("url", "bill_status")
-        return assign_record_ids(status, "url", "PT").select(F.col("url").alias("bill_page_url"), "bill_status", "record_id")
+        return assign_record_ids(status, "url", "PT", stored=stored_rows).select(F.col("url").alias("bill_page_url"), "bill_status", "record_id")
 
     def run(rows):
         spark.createDataFrame([("PORTUGAL", u, "main", HEAD) for u in rows], schema.PAGES).write.mode("append").parquet(pages)
         query = intake(spark, pages, stored, state, extract, fields)
         query.awaitTermination(60)
-        return sorted(r["bill_page_url"] for r in spark.read.schema(fields).parquet(stored).collect())
+        return sorted((r["bill_page_url"], r["record_id"]) for r in spark.read.schema(fields).parquet(stored).collect())
 
-    assert run(["a", "b", "a"]) == ["a", "b"]
-    assert run(["b", "c"]) == ["a", "b", "c"]
+    first = run(["a", "b", "a"])
+    assert [u for u, _ in first] == ["a", "b"] and sorted(i for _, i in first) == ["PT00001", "PT00002"]
+    assert run(["b", "c"]) == [*first, ("c", "PT00003")]
