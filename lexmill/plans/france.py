@@ -47,7 +47,7 @@ def _main_elements() -> dict[str, Column]:
         "depot_el": T.find(name="div", id_re="DEPOT$"),
         "impact_el": T.find(name="h4", string_re="Etude d'impact"),
         "fast": T.find(name="strong", string_re="Le Gouvernement a engagé la procédure accélérée").isNotNull(),
-        "origin_type": origin_fr("type_text"),
+        "origin_type": origin_fr(strip("type_text")),
         "names": _originator_names(),
     }
 

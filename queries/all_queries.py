@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["records", "texts", "html", "portugal", "france", "germany"]
+MODULES = ["records", "texts", "html", "portugal", "france", "germany", "runs"]
 
 
 def load() -> None:

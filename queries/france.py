@@ -89,7 +89,12 @@ def pages(spark, d):
 KEPT = "o_orderkey % 3 < 2"
 
 
+FIELDS = []  # (columns, SQL, formatting) of each query below, for the check of whole records
+
+
 def main_query(name: str, columns: list[str], sql: str, post=None):
+    FIELDS.append((columns, sql, post))
+
     @query(name, SEL + sql + f" FROM orders WHERE {KEPT}")
     def _(spark, d):
         out = P.main_fields(html(spark, d, MAIN)).select("url", *columns)
@@ -97,6 +102,8 @@ def main_query(name: str, columns: list[str], sql: str, post=None):
 
 
 def one_query(name: str, columns: list[str], sql: str, post=None):
+    FIELDS.append((columns, sql, post))
+
     @query(name, SEL + sql + " FROM orders")
     def _(spark, d):
         out = P.one_page_fields(html(spark, d, ONE)).select("url", *columns)
@@ -104,7 +111,7 @@ def one_query(name: str, columns: list[str], sql: str, post=None):
 
 
 main_query("X-FR1_type_title_origin", ["bill_title", "origin_type"], """'Titre é ' || o_custkey AS bill_title,
-    CAST(NULL AS VARCHAR) AS origin_type""")
+    CASE o_orderkey % 3 WHEN 0 THEN 'INDIVIDUAL_MP' WHEN 1 THEN 'GOVERNMENT' END AS origin_type""")
 _STATUS = "CASE WHEN o_orderkey % 4 = 0 THEN 'PASS' WHEN o_orderkey % 8 = 1 THEN 'REJECT' WHEN o_orderkey % 8 < 3 THEN " \
           "'WITHDRAWN' ELSE 'ONGOING' END"
 
@@ -126,8 +133,7 @@ def _(spark, d):
   SELECT o_orderkey, string_agg(name || '=' || coalesce(nullif(up.a, ''), lo.a, '-'), ';' ORDER BY pos) AS originators
   FROM o LEFT JOIN up ON up.n = name LEFT JOIN lo ON lo.n = name GROUP BY 1""")
 def _(spark, d):
-    body = f"replace({MAIN}, 'sub-title\">\\n', 'sub-title\">')"
-    src = rows(spark, d, ["o_orderkey", f"{URL} AS url", f"replace({body}, 'Projet de loi<', 'Proposition de loi<') AS h"])
+    src = rows(spark, d, ["o_orderkey", f"{URL} AS url", f"replace({MAIN}, 'Projet de loi<', 'Proposition de loi<') AS h"])
     ready = src.selectExpr("o_orderkey", "url", "replace(h, 'Motion<', 'Proposition de loi<') AS html")
     found = P.originators(P.main_fields(ready).where("names is not null"), members(spark, d))
     text = joined(F.transform("originators", lambda o: F.concat(

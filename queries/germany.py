@@ -70,7 +70,12 @@ def pages(spark, d):
     return mains(spark, d).selectExpr("'GERMANY' AS country", "url", "'main' AS kind", "html")
 
 
+FIELDS = []  # (columns, SQL, formatting) of each query below, for the check of whole records
+
+
 def fields(name: str, columns: list[str], sql: str, post=None):
+    FIELDS.append((columns, sql, post))
+
     @query(name, SEL + sql + " FROM orders")
     def _(spark, d):
         out = P.main_fields(mains(spark, d)).select("url", *columns)

@@ -100,7 +100,12 @@ def each(n: str, item: str, sep: str = ";") -> str:
     return f"array_to_string(list_transform(range(1, CAST({n} AS INTEGER) + 1), lambda i: {item}), '{sep}')"
 
 
+FIELDS = []  # (columns, SQL, formatting) of each query below, for the check of whole records
+
+
 def fields(name: str, columns: list[str], sql: str, post=None):
+    FIELDS.append((columns, sql, post))
+
     @query(name, SEL + sql + " FROM orders")
     def _(spark, d):
         out = P.main_fields(mains(spark, d)).select("url", *columns)

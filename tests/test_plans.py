@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lexmill import schema
 from lexmill.operators.keyed import assign_record_ids
-from lexmill.plans import france, germany, portugal
+from lexmill.plans import collect, france, germany, portugal
 from lexmill.schema import EXPORT_COLUMNS
 from lexmill.session import materialise, new_path
 from lexmill.sources import sinks, tables
@@ -104,3 +104,34 @@ def test_streaming_intake_is_resumable(spark):
     first = run(["a", "b", "a"])
     assert [u for u, _ in first] == ["a", "b"] and sorted(i for _, i in first) == ["PT00001", "PT00002"]
     assert run(["b", "c"]) == [*first, ("c", "PT00003")]
+
+
+def test_a_run_resumes_and_continues_ids(spark):
+    def run(urls, stored):
+        rows = [("PORTUGAL", u, "main", HEAD) for u in urls] + [("PORTUGAL", urls[0], "main", HEAD), ("GERMANY", "x", "main", HEAD)]
+        nothing = spark.createDataFrame([], "law_id string, topic_no int, topic string")
+        out = collect.portuguese(spark.createDataFrame(rows, schema.PAGES), spark.createDataFrame([], schema.DOC_TEXTS), nothing,
+                                 spark.createDataFrame([], "text string"), stored)
+        return collect.materialise(out, "snapshot")
+
+    first = run(["a", "b"], None)
+    assert first.columns == list(schema.RECORD_FIELDS)
+    second = run(["b", "c"], first)
+    ids = {r["bill_page_url"]: r["record_id"] for r in second.collect()}
+    assert {u: i for u, i in ids.items() if u != "c"} == {r["bill_page_url"]: r["record_id"] for r in first.collect()}
+    assert sorted(ids) == ["a", "b", "c"] and ids["c"] == "PT00003"
+
+
+def test_laws_of_a_table_document_reach_their_records(spark):
+    records = spark.createDataFrame([("R1", "u", None, None), ("R2", "u", ["x"], 1), ("R3", None, None, None), ("R4", "v", None, None)],
+                                    "record_id string, modified_laws_pdf_url string, modified_laws array<string>, modified_laws_count int")
+    cells = [("u", 1, 1, 0, c, "FNA" if c == 3 else "h") for c in range(4)] + [("u", 1, 1, 1, 3, "2"), ("u", 1, 1, 2, 3, "1"), ("u", 1, 1, 3, 3, "2")]
+    out = collect.with_modified_laws(records, spark.createDataFrame(cells, schema.TABLE_CELLS)).collect()
+    assert {r["record_id"]: (r["modified_laws"], r["modified_laws_count"]) for r in out} == {
+        "R1": (["1", "2"], 2), "R2": (["x"], 1), "R3": (None, None), "R4": (None, None)}
+
+
+def test_label_dates_stop_at_any_tag_whose_name_holds_the_letters(spark):
+    page = "<label>Verkündung:</label><small>01.02.2003</small><span>04.05.2006</span>"
+    rows = spark.createDataFrame([("u", page)], "url string, html string")
+    assert germany.main_fields(rows).select("date_passing").head()[0] == "2003.02.01"
