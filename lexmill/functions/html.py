@@ -14,6 +14,7 @@ closed end with their parent or the page.
 
 from __future__ import annotations
 
+import bisect
 import html.entities
 
 import pyarrow as pa
@@ -153,6 +154,27 @@ def _pair_tags_udf():
     return spans
 
 
+@once
+def nearest_udf(later: bool):
+    """Place of the nearest later or earlier number in `targets` for each of `anchors`, both ascending; NULL where there is none."""
+    @F.arrow_udf("array<int>")
+    def nearest(anchors: pa.Array, targets: pa.Array) -> pa.Array:
+        rows = []
+        for a, t in zip(anchors.to_pylist(), targets.to_pylist()):
+            at = None if a is None else bisect_all(a, t or [], later)
+            rows.append(at)
+        return pa.array(rows, pa.list_(pa.int32()))
+    return nearest
+
+
+def bisect_all(anchors: list[int], targets: list[int], later: bool) -> list[int | None]:
+    if later:
+        places = [bisect.bisect_right(targets, a) for a in anchors]
+        return [i if i < len(targets) else None for i in places]
+    places = [bisect.bisect_left(targets, a) - 1 for a in anchors]
+    return [i if i >= 0 else None for i in places]
+
+
 def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Adds columns that are computed here, once per row.
 
@@ -168,7 +190,7 @@ def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 def with_tree(df: DataFrame, html: str = "html") -> DataFrame:
     """Table with its page column replaced by `tree`, struct<texts, els>; a NULL page gives a NULL tree.
 
-    texts: array<string>, els: array of struct<pos, idx, tag, markup, parent, end, stop, string>. A second column
+    texts: array<string>, els: array of struct<pos, idx, tag, markup, parent, end, stop>. A second column
     `tree_lines` holds the newlines of each token.
     """
     for step in _tree_steps(html):
@@ -187,8 +209,7 @@ def _tree_steps(html: str) -> list[dict[str, Column]]:
     texts = F.transform(tokens, lambda t: decode_entities(F.get(t, 2)))
     newlines = F.transform(tokens, lambda t: let(F.concat(F.get(t, 0), F.get(t, 2)), lambda x: F.length(x) - F.length(
         F.replace(x, F.lit("\n"), F.lit("")))))
-    full = let(F.struct(texts.alias("texts"), els.alias("els")), lambda b: F.struct(b.texts.alias("texts"), F.transform(
-        b.els, lambda e: e.withField("string", _sole_string(e, b.els, b.texts))).alias("els")))
+    full = F.struct(texts.alias("texts"), els.alias("els"))
     return [{"_tokens": _tokens(F.col(html))}, {"_spans": _pair_tags_udf()(F.transform(tokens, lambda t: F.get(t, 1)))},
             {"tree": F.when(tokens.isNotNull(), full), "tree_lines": newlines}]
 
@@ -246,7 +267,10 @@ class Tree:
 
     def string(self, el: Column) -> Column:
         """The one string an element holds, directly or through single children; else NULL."""
-        return el.string
+        return let(el, self._string)
+
+    def _string(self, e: Column) -> Column:
+        return _sole_string(e, self.els, self.texts)
 
     def test(self, name=None, name_re=None, cls=None, id=None, id_re=None, title=None, href_re=None, string=None, string_re=None,
              attrs=None):
@@ -271,9 +295,9 @@ class Tree:
             for key, value in (attrs or {}).items():
                 conds.append(attr(e, key) == value)
             if string is not None:
-                conds.append(e.string == string)
+                conds.append(self._string(e) == string)
             if string_re is not None:
-                conds.append(e.string.rlike(string_re))
+                conds.append(self._string(e).rlike(string_re))
             out = conds[0]
             for c in conds[1:]:
                 out = out & c

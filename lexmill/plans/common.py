@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.html import computed, with_tree
+from lexmill.functions.html import computed, nearest_udf, with_tree
 from lexmill.functions.urls import clean_url
 from lexmill.operators.enrich import cached_texts
 
@@ -31,6 +31,24 @@ def staged(df: DataFrame, steps: list[dict[str, Column]]) -> DataFrame:
     return df
 
 
+def lookup_steps(name: str, anchors: Column, targets: dict[str, tuple[Column, bool]], build) -> list[dict[str, Column]]:
+    """Steps that make the array column `name` from `anchors`, elements that each need others near them.
+
+    `targets` names arrays of elements and whether the nearest later (else earlier) one is wanted. They are found once per page and
+    walked together with the anchors, so a long page costs in proportion. `build(anchor, position, get)` makes an item, `get(target)` being
+    that anchor's element."""
+    own = f"_{name}"
+    places = {k: f"{own}_{k}_at" for k in targets}
+    number = lambda c: F.transform(F.col(c), lambda e: e.idx)
+
+    def item(a: Column, i: Column) -> Column:
+        return build(a, i, lambda k: F.get(F.col(f"{own}_{k}"), F.get(F.col(places[k]), i)))
+
+    return [{own: anchors, **{f"{own}_{k}": found for k, (found, _) in targets.items()}},
+            {places[k]: nearest_udf(later)(number(own), number(f"{own}_{k}")) for k, (_, later) in targets.items()},
+            {name: F.transform(F.col(own), item)}]
+
+
 def one_per_url(fields: DataFrame) -> DataFrame:
     """One row of fields per URL, combined before the shuffle: copies of a page cost nothing."""
     columns = [c for c in fields.columns if c not in ("url", "page_hash")]

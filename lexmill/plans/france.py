@@ -18,7 +18,7 @@ from lexmill.functions.votes import vote_counts_fr
 from lexmill.operators.enrich import (affiliations, cached_texts, distinct_by_name, record_debate_sizes,
                                       stage_debate_sizes)
 from lexmill.operators.keyed import patch, regroup
-from lexmill.plans.common import attach_texts, one_per_url, pages_of, parsed, staged
+from lexmill.plans.common import attach_texts, lookup_steps, one_per_url, pages_of, parsed, staged
 
 T = Tree()
 HTTP = ("http",)
@@ -81,15 +81,15 @@ def main_fields(pages: DataFrame) -> DataFrame:
     return staged(kept, [_main_elements()]).select("url", "page_hash", *_main_columns())
 
 
-def _stages() -> Column:
-    def one(h: Column) -> Column:
+def _stage_steps() -> list[dict[str, Column]]:
+    def one(h: Column, _: Column, get) -> Column:
         parts = F.transform(F.filter(F.split(T.text(h), "\n"), lambda p: p != ""), strip)
         return let(parts, lambda p: F.struct(
             F.lit(None).cast("int").alias("number"), F.get(p, 0).alias("name"),
-            iso(french_date_in(T.text(T.next(h, name="div")))).alias("date"),
+            iso(french_date_in(T.text(get("date")))).alias("date"),
             house_fr(F.get(p, 1)).alias("house"), F.lit(None).cast("bigint").alias("debate_size"),
             F.lit(None).cast("string").alias("debate_url")))
-    return F.transform(T.find_all(name="h3"), one)
+    return lookup_steps("legislative_stages", T.find_all(name="h3"), {"date": (T.find_all(name="div"), True)}, one)
 
 
 def last_stage_date(stages: Column, part: str) -> Column:
@@ -105,12 +105,13 @@ def _hearings() -> Column:
     return F.when(F.col("has_hearings"), total)
 
 
-def _debate_links() -> Column:
-    def one(a: Column) -> Column:
+def _debate_steps() -> list[dict[str, Column]]:
+    def one(a: Column, _: Column, get) -> Column:
         url = let(attr(a, "href"), lambda u: absolute_url(u, FRENCH_HOST, HTTP))
-        return let(filled_lines(T.text(T.previous(a, name="h3"))), lambda ls: F.struct(
+        return let(filled_lines(T.text(get("head"))), lambda ls: F.struct(
             url.alias("debate_url"), stage_name_fr(F.get(ls, 0)).alias("name"), house_fr(F.get(ls, 1)).alias("house")))
-    return F.transform(T.find_all(name="a", title="Accéder au compte-rendu"), one)
+    links = T.find_all(name="a", title="Accéder au compte-rendu")
+    return lookup_steps("debates", links, {"head": (T.find_all(name="h3"), False)}, one)
 
 
 @once
@@ -118,7 +119,6 @@ def _one_page_steps() -> list[dict[str, Column]]:
     committees = distinct_by_name(
         F.transform(T.find_all(name="span", cls="commission"), lambda s: committee_fr(T.text(s))), "committee_name")
     elements = {
-        "legislative_stages": _stages(),
         "links": T.find_all(name="a", cls="link-examen-amendement"),
         "committees": let(committees, lambda cs: F.when(F.size(cs) > 0, cs)),
         "has_hearings": T.find(name="h6", string_re="Agenda et comptes-rendus des réunions").isNotNull(),
@@ -133,18 +133,17 @@ def _one_page_steps() -> list[dict[str, Column]]:
         "withdrawn": T.find(name="h2", string_re="Retrait").isNotNull(),
         "committee_count": F.when(F.col("committees").isNotNull(), F.size("committees")),
         "committee_hearing_count": _hearings(),
-        "debates": _debate_links(),
         "amendment_count": F.when(some, F.aggregate(
             numbers, F.lit(0).cast("bigint"), lambda a, x: a + F.coalesce(x, F.lit(0)))),
         "amendment_links": F.when(some, F.transform("links", lambda a: attr(a, "href"))),
     }
-    return [elements, fields]
+    return [*_stage_steps(), *_debate_steps(), elements, fields]
 
 
 def one_page_fields(pages: DataFrame) -> DataFrame:
     """Fields of the dossier shown as one page."""
     return staged(parsed(pages), _one_page_steps()).select(
-        "url", "page_hash", "legislative_stages", "committees", *_one_page_steps()[1])
+        "url", "page_hash", "legislative_stages", "committees", "debates", *_one_page_steps()[-1])
 
 
 def law_fields(pages: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from lexmill.functions.text import dense_length, first_match, let, once, strip
 from lexmill.functions.urls import clean_url
 from lexmill.operators.enrich import cached_texts, with_amendment_stage_numbers, with_text
 from lexmill.operators.keyed import regroup
-from lexmill.plans.common import attach_texts, one_per_url, pages_of, parsed, staged
+from lexmill.plans.common import attach_texts, lookup_steps, one_per_url, pages_of, parsed, staged
 from lexmill.schema import AMENDMENT
 
 T = Tree()
@@ -34,23 +34,25 @@ def label_dates(text: str) -> Column:
     return german_dates_in(T.text(T.next(label(text), name_re="a|span|div")))
 
 
-def committees() -> Column:
+def _committee_steps() -> list[dict[str, Column]]:
     """Committees under every committee heading with the date of the enclosing step, equal ones once."""
-    def under(h: Column) -> Column:
+    def under(h: Column, _: Column, get) -> Column:
         day = rearrange(first_match(T.text(T.parent(h, 3)), GERMAN_DATE))
-        return F.transform(T.texts_of(T.find_all(T.next(h, name="ul"), name="li")), lambda n: F.struct(
+        found = F.transform(T.texts_of(T.find_all(get("list"), name="li")), lambda n: F.struct(
             strip(n).alias("committee_name"), F.when(has(n, "(federführend)"), "Lead").alias("committee_role"),
             day.alias("committee_date")))
+        return F.coalesce(found, F.array(), nothing)
     nothing = F.lit(None).cast("array<struct<committee_name:string,committee_role:string,committee_date:string>>")
-    lists = F.transform(T.find_all(name="h4", string="Ausschüsse:"), lambda h: F.coalesce(under(h), F.array(), nothing))
-    return F.array_distinct(F.flatten(lists))
+    heads = T.find_all(name="h4", string="Ausschüsse:")
+    return [*lookup_steps("committee_lists", heads, {"list": (T.find_all(name="ul"), True)}, under),
+            {"committees": F.array_distinct(F.flatten(F.col("committee_lists")))}]
 
 
 def committee_hearings() -> Column:
     return F.size(T.find_all(name="h4", string="Ausschüsse:"))
 
 
-def stages() -> Column:
+def stage_steps() -> list[dict[str, Column]]:
     """Readings in the procedure block (`block_el`), numbered in page order."""
     def reading(h: Column) -> Column:
         def named(t: Column) -> Column:
@@ -61,11 +63,12 @@ def stages() -> Column:
         return (h.tag == "h3") & let(T.text(h), named)
 
     heads = let(F.col("block_el"), lambda b: F.filter(F.slice(T.els, b.idx + 2, b.stop - b.idx - 1), reading))
-    return F.transform(heads, lambda h, i: F.struct(
-        (i + 1).cast("int").alias("number"), strip(T.text(h)).alias("name"),
-        rearrange(T.text(T.previous(h, name="span", string_re=GERMAN_DATE))).alias("date"),
-        house_de(T.text(T.previous(h, name="span", string_re="^BT$|^BR$"))).alias("house"),
-        F.lit(None).cast("bigint").alias("debate_size"), attr(T.next(h, name="a"), "href").alias("debate_url")))
+    near = {"date": (T.find_all(name="span", string_re=GERMAN_DATE), False),
+            "house": (T.find_all(name="span", string_re="^BT$|^BR$"), False), "link": (T.find_all(name="a"), True)}
+    return lookup_steps("legislative_stages", heads, near, lambda h, i, get: F.struct(
+        (i + 1).cast("int").alias("number"), strip(T.text(h)).alias("name"), rearrange(T.text(get("date"))).alias("date"),
+        house_de(T.text(get("house"))).alias("house"), F.lit(None).cast("bigint").alias("debate_size"),
+        attr(get("link"), "href").alias("debate_url")))
 
 
 def _blank_amendment() -> Column:
@@ -103,15 +106,16 @@ def edge_case_amendments() -> Column:
     return F.when(F.col("change_el").isNotNull(), F.array(edge_case_amendment()))
 
 
-def _listed_amendments() -> Column:
-    marks = T.find_all(F.col("block_el"), name="div", string_re="Antrag:")
-    rows = F.transform(marks, lambda m: (
-        _blank_amendment().withField("amendment_page_link", attr(T.next(m, name="a"), "href"))
-        .withField("amendment_stage_name", strip(T.text(T.previous(m, name="h3"))))
-        .withField("amendment_plenary",
-                   house_de(T.text(T.previous(m, name="div", string_re="^Bundestag$|^Bundesrat$"))))
-        .withField("amendment_date", rearrange(T.text(T.previous(m, name="span", string_re=GERMAN_DATE))))))
-    return let(rows, lambda r: F.when(F.size(r) > 0, r))
+def _listed_steps() -> list[dict[str, Column]]:
+    near = {"link": (T.find_all(name="a"), True), "stage": (T.find_all(name="h3"), False),
+            "house": (T.find_all(name="div", string_re="^Bundestag$|^Bundesrat$"), False),
+            "date": (T.find_all(name="span", string_re=GERMAN_DATE), False)}
+    rows = lookup_steps("listed_all", T.find_all(F.col("block_el"), name="div", string_re="Antrag:"), near, lambda m, _, get: (
+        _blank_amendment().withField("amendment_page_link", attr(get("link"), "href"))
+        .withField("amendment_stage_name", strip(T.text(get("stage"))))
+        .withField("amendment_plenary", house_de(T.text(get("house"))))
+        .withField("amendment_date", rearrange(T.text(get("date"))))))
+    return [*rows, {"listed": F.when(F.size("listed_all") > 0, F.col("listed_all"))}]
 
 
 def with_block_elements(df: DataFrame) -> DataFrame:
@@ -148,11 +152,10 @@ def _main_steps() -> list[dict[str, Column]]:
         "last_doc": T.text(T.last(after_label("Wichtige Drucksachen", "ul"), name="li")),
         "initiators": F.transform(T.texts_of(T.find_all(after_label("Initiative:", "ul"), name="li")), strip),
         "plenary_el": after_label("Plenum", "ul"),
-        "committees": committees(), "legislative_stages": F.when(F.col("block_el").isNotNull(), stages()),
-        "edge": edge_case_amendments(), "listed": _listed_amendments(),
+        "edge": edge_case_amendments(),
     }
     amendments = F.coalesce(F.col("edge"), with_amendment_stage_numbers(F.col("listed"), F.col("legislative_stages")))
-    return [elements, {"origin_type": origin_de("origin_text"), "amendments": amendments}]
+    return [*stage_steps(), *_committee_steps(), *_listed_steps(), elements, {"origin_type": origin_de("origin_text"), "amendments": amendments}]
 
 
 @once

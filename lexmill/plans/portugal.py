@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.dates import entry_into_force, iso, portuguese_iso
-from lexmill.functions.html import Tree, attr
+from lexmill.functions.html import Tree, attr, nearest_udf
 from lexmill.functions.labels import (EXPIRED, ONGOING, PASSED, PT_LAW_MENTION, PT_MODIFIED_LAWS, REJECTED,
                                       bill_id_pt, law_id_pt, modified_laws, origin_pt, originator_pt, party, title_pt)
 from lexmill.functions.text import dense_length, let, once, strip
 from lexmill.functions.urls import PORTUGUESE_HOST
 from lexmill.functions.votes import PT_VOTE_MENTION, vote_parties
-from lexmill.plans.common import attach_texts, one_per_url, pages_of, parsed, staged
+from lexmill.plans.common import attach_texts, lookup_steps, one_per_url, pages_of, parsed, staged
 from lexmill.schema import AMENDMENT
 
 # Labels of the pages.
@@ -35,41 +35,41 @@ def _containing(part: str):
     return lambda s: F.contains(s["name"], F.lit(part))
 
 
-def _stages() -> Column:
+def _stage_steps() -> list[dict[str, Column]]:
     spans = T.find_all(name="span", string_re=r"^\d\d\d\d-\d\d-\d\d$")
-    return F.transform(spans, lambda s, i: F.struct(
-        F.lit(None).cast("int").alias("number"), T.text(T.next(s, name="span")).alias("name"),
+    return lookup_steps("legislative_stages", spans, {"name": (T.find_all(name="span"), True)}, lambda s, i, get: F.struct(
+        F.lit(None).cast("int").alias("number"), T.text(get("name")).alias("name"),
         iso(portuguese_iso(T.string(s))).alias("date"), F.lit(None).cast("string").alias("house"),
         F.lit(None).cast("bigint").alias("debate_size"), F.lit(None).cast("string").alias("debate_url")))
 
 
-def _external_hearings() -> Column:
-    found = T.text_nodes("Audição|Audiência")
-    heading = T.test(name="div", cls="Titulo-Cinzento")
+def _hearing_steps() -> list[dict[str, Column]]:
+    """Mentions of hearings whose nearest heading before asks for opinions."""
+    places = nearest_udf(False)(F.transform(F.col("_mentions"), lambda p: p + 1),
+                                F.transform(F.col("_headings"), lambda e: e.pos))
+    asked = F.filter(F.col("_mentions"), lambda p, i: strip(T.text(F.get(F.col("_headings"), F.get(
+        F.col("_heading_at"), i)))) == "Pedidos parecer a")
+    return [{"_mentions": T.text_nodes("Audição|Audiência"), "_headings": T.find_all(name="div", cls="Titulo-Cinzento")},
+            {"_heading_at": places},
+            {"committee_hearing_count_external": F.when(F.size("_mentions") > 0, F.size(asked))}]
 
-    def asked(p: Column) -> Column:
-        before = F.try_element_at(F.filter(T.els, lambda e: (e.pos <= p) & heading(e)), F.lit(-1))
-        return strip(T.text(before)) == "Pedidos parecer a"
 
-    return let(found, lambda f: F.when(F.size(f) > 0, F.size(F.filter(f, asked))))
-
-
-def _amendments() -> Column:
+def _amendment_steps() -> list[dict[str, Column]]:
     """Amendments named on the page. All share the vote in committee, which is looked up once from the page start."""
-    labels = T.find_all(name="span", string="Admissão Proposta de Alteração")
     empty = F.from_json(F.lit("{}"), AMENDMENT)
 
-    def one(label: Column) -> Column:
-        origin = let(party(T.text(T.next(label, name="span"))), lambda o: F.when(o.isNotNull(), F.array(o)))
-        link = T.next(label, name="a", href_re=r"\.pdf")
+    def one(label: Column, _: Column, get) -> Column:
+        origin = let(party(T.text(get("origin"))), lambda o: F.when(o.isNotNull(), F.array(o)))
         return (empty.withField("amendment_originator", origin)
-                .withField("amendment_text_url", attr(link, "href"))
+                .withField("amendment_text_url", attr(get("link"), "href"))
                 .withField("amendment_outcome", F.when(F.col("special_passed").isNotNull(), F.lit("APPROVED")))
                 .withField("amendment_vote_for", F.col("special_votes.vote_for"))
                 .withField("amendment_vote_against", F.col("special_votes.vote_against"))
                 .withField("amendment_vote_abst", F.col("special_votes.vote_abst")))
 
-    return let(labels, lambda ls: F.when(F.size(ls) > 0, F.transform(ls, one)))
+    labels = T.find_all(name="span", string="Admissão Proposta de Alteração")
+    return lookup_steps("named_amendments", labels, {"origin": (T.find_all(name="span"), True),
+                                                     "link": (T.find_all(name="a", href_re=r"\.pdf"), True)}, one)
 
 
 @once
@@ -85,7 +85,6 @@ def _main_steps() -> list[dict[str, Column]]:
         "special_el": T.find(name="span", string="Votação na especialidade"),
         "rejected_el": T.last(name="b", string="Rejeitado"),
         "expired_el": T.find(name="span", string="Iniciativa Caducada"),
-        "legislative_stages": _stages(),
     }
     special_div = T.next(F.col("special_el"), name="span", string_re="alteração")
     stages = F.col("legislative_stages")
@@ -118,8 +117,7 @@ def _main_steps() -> list[dict[str, Column]]:
         "date_introduction": stage_date(stages, _named("Entrada")),
         "date_committee": F.coalesce(stage_date(stages, _containing("comissão distribuição")),
                                      stage_date(stages, _containing("comissão"))),
-        "committee_hearing_count_external": _external_hearings(),
-        "amendments": _amendments(),
+        "amendments": F.when(F.size("named_amendments") > 0, F.col("named_amendments")),
         "final_vote_for": votes.vote_for, "final_vote_against": votes.vote_against, "final_vote_abst": votes.vote_abst,
         "ia_dummy": F.col("impact_link").isNotNull(),
         "ia_text_url": attr(F.col("impact_link"), "href"),
@@ -129,7 +127,7 @@ def _main_steps() -> list[dict[str, Column]]:
         "law_page_url": F.concat(F.lit(PORTUGUESE_HOST), attr(
             T.next(F.col("published_el"), name="a", href_re="DetalheDiplomaAprovado.aspx"), "href")),
     }
-    return [elements, around, fields]
+    return [*_stage_steps(), elements, around, *_hearing_steps(), *_amendment_steps(), fields]
 
 
 def main_fields(pages: DataFrame) -> DataFrame:

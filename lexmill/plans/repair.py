@@ -12,18 +12,18 @@ from lexmill.functions.urls import clean_url, strip_search_params
 from lexmill.operators.enrich import merge_amendment_pages, with_amendment_stage_numbers, with_text
 from lexmill.operators.keyed import keep_first, patch, patch_where
 from lexmill.plans import germany
-from lexmill.plans.common import one_per_url, parsed
+from lexmill.plans.common import one_per_url, parsed, staged
 
 
 def _due(records: DataFrame, condition) -> DataFrame:
     return records.where(condition).select("record_id", F.col("bill_page_url").alias("url"))
 
 
-def _from_pages(records: DataFrame, condition, pages: DataFrame, columns: dict) -> DataFrame:
+def _from_pages(records: DataFrame, condition, pages: DataFrame, columns: dict, steps: list | None = None) -> DataFrame:
     """Patch from the records' own pages; pages without a due record are dropped before they are parsed."""
     due = _due(records, condition)
     wanted = pages.select("url", "html").join(due.select("url"), "url", "left_semi")
-    fields = one_per_url(germany.with_block_elements(parsed(wanted)).select(
+    fields = one_per_url(staged(germany.with_block_elements(parsed(wanted)), steps or []).select(
         "url", "page_hash", *[c.alias(n) for n, c in columns.items()]))
     return due.join(fields, "url")
 
@@ -95,7 +95,7 @@ def bill_status(records: DataFrame, pages: DataFrame) -> DataFrame:
 
 def stages(records: DataFrame, pages: DataFrame, more_than: int = 10) -> DataFrame:
     changes = _from_pages(records, F.col("stages_count") > more_than, pages, {
-        "legislative_stages": F.when(F.col("block_el").isNotNull(), germany.stages())})
+        "legislative_stages": F.col("legislative_stages")}, germany.stage_steps())
     counted = changes.withColumn("stages_count", F.when(
         F.col("legislative_stages").isNotNull(), F.size("legislative_stages")))
     return patch(records, counted, "record_id", ["legislative_stages", "stages_count"])

@@ -1,5 +1,7 @@
 """Country plans on mini pages, the export and the streaming intake."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +137,17 @@ def test_label_dates_stop_at_any_tag_whose_name_holds_the_letters(spark):
     page = "<label>Verkündung:</label><small>01.02.2003</small><span>04.05.2006</span>"
     rows = spark.createDataFrame([("u", page)], "url string, html string")
     assert germany.main_fields(rows).select("date_passing").head()[0] == "2003.02.01"
+
+
+@pytest.mark.parametrize("n", [4000, 16000])
+def test_long_pages_are_read_in_proportion(spark, n):
+    html = "".join(f"<h3>Dépôt\nAssemblée nationale {i}</h3><a title='Accéder au compte-rendu' href='/d/{i}'>c</a>" for i in range(n // 2))
+    rows = spark.createDataFrame([("u", html)], "url string, html string")
+    france.one_page_fields(rows.limit(0)).count()
+    start = time.time()
+    found = france.one_page_fields(rows).select("debates", "stages_count").head()
+    took = time.time() - start
+    assert found["stages_count"] == n // 2 and [d["debate_url"][-len(str(i)) - 1:] for i, d in enumerate(found["debates"])] == [
+        f"/{i}" for i in range(n // 2)]
+    assert took < 4 + n / 1000  # the page was quadratic: four times the elements took ten times as long
+    print(n, took)
