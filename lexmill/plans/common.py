@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.html import computed, nearest_udf, with_tree
+from lexmill.functions.text import dense_length
 from lexmill.functions.urls import clean_url
 from lexmill.operators.enrich import cached_texts
 
@@ -57,13 +58,14 @@ def one_per_url(fields: DataFrame) -> DataFrame:
 
 
 def attach_texts(df: DataFrame, key: str, doc_texts: DataFrame, single: dict[str, Column],
-                 many: dict[str, Column] | None = None) -> DataFrame:
+                 many: dict[str, Column] | None = None, sizes: dict[str, Column] | None = None) -> DataFrame:
     """Cached texts for several URL columns of a table in one join and one grouping.
 
-    `single` maps a new column to a URL, `many` to an array of URLs (giving an array of texts in the same order). Every
-    row sends one request per URL and its own fields once; `key` is unique.
+    `single` maps a new column to a URL, `many` to an array of URLs (giving an array of texts in the same order), `sizes` to an
+    array of URLs of which only the texts' lengths without white space are wanted, summed: those are measured on the cache, and the
+    texts stay there. NULL where no text is found. Every row sends one request per URL and its own fields once; `key` is unique.
     """
-    many = many or {}
+    many, sizes = many or {}, sizes or {}
     base = F.struct(*df.columns)
     nothing = F.lit(None).cast(df.select(base.alias("b")).schema["b"].dataType)
 
@@ -73,16 +75,25 @@ def attach_texts(df: DataFrame, key: str, doc_texts: DataFrame, single: dict[str
 
     alone = [request(name, F.lit(0), url, nothing) for name, url in single.items()]
     asked = [F.array(request("", F.lit(0), F.concat(F.lit("#own "), F.col(key)), base), *alone)]
-    for name, urls in many.items():
+    for name, urls in {**many, **sizes}.items():
         items = F.transform(urls, lambda u, i: request(name, i, u, nothing))
         asked.append(F.coalesce(items, F.filter(asked[0], lambda _: F.lit(False))))
     rows = df.select(F.col(key), F.inline(F.concat(*asked)))
     spread = F.when(F.col("clean_url").isNull() | (F.col("clean_url") == ""), F.concat(F.lit("#none "), F.col(key)))
     keyed = rows.withColumn("clean_url", F.coalesce(spread, "clean_url"))
-    found = keyed.join(cached_texts(doc_texts), "clean_url", "left")
+    sized = F.col("role").isin(*sizes) if sizes else F.lit(False)
+    found = _requests(keyed, sized, cached_texts(doc_texts))
     aggs = [F.max_by("own", F.col("own").isNotNull()).alias("own")]
     aggs += [F.max(F.when(F.col("role") == n, F.col("extracted_text"))).alias(n) for n in single]
     for name in many:
         item = F.when(F.col("role") == name, F.struct("pos", F.col("extracted_text").alias("t")))
         aggs.append(F.transform(F.array_sort(F.collect_list(item)), lambda x: x.t).alias(name))
-    return found.groupBy(key).agg(*aggs).select("own.*", *single, *many)
+    aggs += [F.sum(F.when(F.col("role") == n, F.col("size"))).alias(n) for n in sizes]
+    return found.groupBy(key).agg(*aggs).select("own.*", *single, *many, *sizes)
+
+
+def _requests(keyed: DataFrame, sized: Column, cache: DataFrame) -> DataFrame:
+    """Requests with the text, or, for those of sizes, with its size."""
+    measured = cache.select("clean_url", F.lit(None).cast("string").alias("extracted_text"), dense_length("extracted_text").alias("size"))
+    whole = cache.withColumn("size", F.lit(None).cast("bigint"))
+    return keyed.where(~sized).join(whole, "clean_url", "left").unionByName(keyed.where(sized).join(measured, "clean_url", "left"))

@@ -267,8 +267,8 @@ def records(pages: DataFrame, doc_texts: DataFrame) -> DataFrame:
     """One record per bill page, with sections of the cached document texts."""
     main = one_per_url(main_fields(pages_of(pages, "GERMANY", "main")))
     full = attach_texts(main, "url", doc_texts, {"full_text": F.col("bill_text_url"), "law_full": F.col("law_text_url")},
-                        {"plenary_texts": F.col("plenary_links")})
-    size = F.aggregate(F.transform("plenary_texts", dense_length), F.lit(0).cast("bigint"), lambda a, x: a + x)
+                        sizes={"plenary_length": F.col("plenary_links")})
+    size = F.coalesce("plenary_length", F.lit(0).cast("bigint"))
     has_bill = F.col("bill_text_url").isNotNull()
     impact = {n: F.when(has_bill, c) for n, c in impact_columns(F.col("full_text")).items()}
     bill = {n: F.when(has_bill, c) for n, c in bill_text_columns(F.col("full_text")).items()}
@@ -279,4 +279,4 @@ def records(pages: DataFrame, doc_texts: DataFrame) -> DataFrame:
     return step.withColumns({
         "ia_text_url": F.when(some, F.col("bill_page_url")),
         "ia_size1": F.when(some, F.col("ia_size1")), "ia_size2": F.when(some, F.col("ia_size2")),
-    }).drop("url", "plenary_links", "plenary_texts", "full_text", "law_full")
+    }).drop("url", "plenary_links", "plenary_length", "full_text", "law_full")

@@ -172,20 +172,20 @@ def records(pages: DataFrame, doc_texts: DataFrame) -> DataFrame:
     law = one_per_url(law_fields(pages_of(pages, "PORTUGAL", "law"))).withColumn("has_law", F.lit(True))
     both = main.join(law, "url", "left").withColumn("has_law", F.coalesce("has_law", F.lit(False)))
     full = attach_texts(both, "url", doc_texts, {
-        "report_text": F.col("report_url"), "bill_text": F.col("bill_text_url"), "ia_text": F.col("ia_text_url"),
+        "bill_text": F.col("bill_text_url"), "ia_text": F.col("ia_text_url"),
         "law_text": F.col("law_text_url")},
-        {"amendment_texts": F.transform("amendments", lambda a: a["amendment_text_url"])})
+        {"amendment_texts": F.transform("amendments", lambda a: a["amendment_text_url"])},
+        {"committees_depth": F.array("report_url")})
     amendments = let(F.col("amendment_texts"), lambda texts: F.transform("amendments", lambda a, i: a.withField(
         "amendment_text", F.get(texts, i)).withField(
         "amendment_text_size", F.when(F.get(texts, i).isNotNull(), dense_length(F.get(texts, i))))))
     return law_variables(full).withColumns({
         "amendments": amendments,
         "amendment_count": F.when(F.size("amendments") > 0, F.size("amendments")),
-        "committees_depth": F.when(F.col("report_text").isNotNull(), dense_length("report_text")),
         "bill_size": F.when(F.col("bill_text_url").isNotNull(), dense_length("bill_text")),
         "ia_size": F.when(F.col("ia_text_url").isNotNull(), dense_length("ia_text")),
         "bill_page_url": F.col("url"), "country": F.lit("PORTUGAL"),
-    }).drop("url", "amendment_texts", "report_text", "report_url", "law_page_url", "has_law")
+    }).drop("url", "amendment_texts", "report_url", "law_page_url", "has_law")
 
 
 def topic_laws(pages: DataFrame) -> DataFrame:
