@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexmill.session import materialise
+from lexmill.session import materialise, new_path
 
 SPACES = "\t\n\x0b\f\r "  # the white space that separates words: code points 9 to 13 and 32
 
@@ -18,6 +20,21 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, name)
 
 
+def bucketed(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """`rows` as a table in the shared folder, bucketed by `column` as they lie, without a shuffle: grouping by the column later
+    finds each group's rows in one file's place. Fit for columns of which a task has few values."""
+    spark = rows.sparkSession
+    table, path = f"{name}_{uuid.uuid4().hex}", new_path(spark, name)
+    rows.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(partitions(spark), column).saveAsTable(table)
+    return spark.table(table)
+
+
+def chunk_of(row: str, size: int) -> Column:
+    """Number of the chunk of `size` rows that a row of monotonically increasing id `row` is in; chunks don't cross partitions."""
+    within = F.col(row).bitwiseAND(F.lit((1 << 33) - 1))
+    return (F.shiftright(row, 33) * (1 << 33) + F.floor(within / size)).cast("long")
+
+
 def drop_scratch(spark: SparkSession, df: DataFrame) -> None:
     """Deletes the files of a scratch table that nothing reads any more."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
@@ -69,18 +86,18 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return leaves.unionByName(edge.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def block_pairs(rows: DataFrame, group: str, sizes: DataFrame, item: str, block: int) -> DataFrame:
+def block_pairs(rows: DataFrame, group: str, size: str, item: str, block: int) -> DataFrame:
     """Copies of `rows` such that every pair of a group meets in just one (group, b1, b2), each at most 2 * `block` rows.
 
-    `sizes` has (group, n). A group is cut into ceil(n / block) blocks by a hash of `item`; a row of block x goes to every
-    pair of blocks that has x, as `own` = 1 for the first of the pair. Blocks of one group are tasks of their own.
+    `size` is the column with the group's number of rows. A group is cut into ceil(size / block) blocks by a hash of `item`; a row of
+    block x goes to every pair of blocks that has x, as `own` for the first of the pair. Pairs of blocks are tasks of their own.
     """
-    n = F.ceil(F.col("_n") / block).cast("int")
-    placed = rows.join(sizes.select(group, F.col("n").alias("_n")), group).withColumn("_x", F.pmod(F.xxhash64(item, F.lit(7)), n).cast("int"))
+    n = F.ceil(F.col(size) / block).cast("int")
+    placed = rows.withColumn("_x", F.pmod(F.xxhash64(item, F.lit(7)), n).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), n - 1), lambda y: F.struct(
         F.least("_x", y).alias("b1"), F.greatest(F.col("_x"), y).alias("b2")))
     placed = placed.withColumn("_pair", F.explode(pairs))
-    return placed.select(*rows.columns, F.col("_pair.b1").alias("b1"), F.col("_pair.b2").alias("b2"),
+    return placed.select(*[c for c in rows.columns if c != size], F.col("_pair.b1").alias("b1"), F.col("_pair.b2").alias("b2"),
                          (F.col("_x") == F.col("_pair.b1")).alias("own"))
 
 

@@ -7,7 +7,8 @@ bits; texts below SHINGLE words have one shingle of all their words, texts witho
 3. In each bucket the pairs' MinHash values are compared STEP at a time, and a pair is dropped as soon as the posterior
    probability that its similarity reaches THRESHOLD (uniform prior) falls below TOLERANCE. Survivors join into clusters.
 4. Within a cluster the pairs that pass the same pruning are verified by their whole sets; links are counted and joined.
-Pairs stay inside tasks: large buckets and clusters are cut into blocks whose pairs are tasks of their own, and a task returns
+Texts and signatures are written bucketed by chunks of rows as they lie, so that later steps read those they need where they are:
+neither is shuffled as a whole. Pairs stay inside tasks: large buckets and clusters are cut into blocks whose pairs are tasks of their own, and a task returns
 a row per class that has a link, never a row per pair.
 """
 
@@ -18,11 +19,12 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import block_pairs, components, partitions, scratch, stars, whole_groups
+from lexmill.llm.common import block_pairs, bucketed, chunk_of, components, partitions, scratch, stars, whole_groups
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5  # a pair at THRESHOLD misses all bands with probability (1 - 0.8 ** 5) ** 25 = 5e-5
@@ -30,6 +32,7 @@ HASHES = BANDS * ROWS
 STEP, TOLERANCE = 25, 1e-5
 BLOCK, VERIFY_BLOCK, COLUMNS = 512, 128, 8192
 CACHED_WORDS = 500_000
+CHUNK = 1000
 _seeds = np.random.default_rng(20)
 A, B = (_seeds.integers(0, 1 << 32, HASHES, dtype=np.uint32) for _ in range(2))
 A |= np.uint32(1)
@@ -119,8 +122,13 @@ def _overlaps(a: list[np.ndarray], b: list[np.ndarray], i: np.ndarray, j: np.nda
     return total[np.searchsorted(use_a, i), np.searchsorted(use_b, j)].astype(np.int64)
 
 
-def _signed(docs: DataFrame, kept: list[str], with_sets: bool) -> DataFrame:
-    """`kept` columns with the signature and either the digest of the shingle set or the set, for rows with words."""
+def _sign(texts: pa.Array, words: dict) -> tuple[list[np.ndarray], list]:
+    sets = [shingles(t.as_py() or "", words) for t in texts]
+    return sets, [min_hashes(s).tobytes() if len(s) else None for s in sets]
+
+
+def _signed(docs: DataFrame, kept: list[str]) -> DataFrame:
+    """`kept` columns with the signature and the digest of the shingle set, null for texts without words."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(kept).schema)
 
     def work(batches):
@@ -128,45 +136,68 @@ def _signed(docs: DataFrame, kept: list[str], with_sets: bool) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                sets = [shingles(t.as_py() or "", words) for t in part.column(0)]
-                some = [len(s) > 0 for s in sets]
-                sign = [min_hashes(s).tobytes() if x else None for s, x in zip(sets, some, strict=True)]
-                last = [s.tobytes() if with_sets else xxhash.xxh3_128_digest(s.tobytes()) if x else None
-                        for s, x in zip(sets, some, strict=True)]
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(sign, pa.binary()), pa.array(last, pa.binary())],
-                                                 names=[*kept, "signature", "shingles" if with_sets else "digest"])
+                sets, sign = _sign(part.column(0), words)
+                digest = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(sign, pa.binary()), pa.array(digest, pa.binary())],
+                                                 names=[*kept, "signature", "digest"])
+
+    return docs.select("text", *kept).mapInArrow(work, f"{fields}, signature binary, digest binary")
+
 
-    return docs.select("text", *kept).mapInArrow(work, f"{fields}, signature binary, {'shingles' if with_sets else 'digest'} binary")
+def _members(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """(cluster, size, uid, n, signature, shingles) of the members (chunk, uid, cluster, size, n): each chunk reads its own texts again."""
+    def work(a, b):
+        at = pc.index_in(b.column("uid"), a.column("uid").combine_chunks())
+        sets, sign = _sign(a.column("text").take(at), _Hashes())
+        return pa.table([*[b.column(c) for c in ("cluster", "size", "uid", "n")], pa.array(sign, pa.binary()),
+                         pa.array([s.tobytes() for s in sets], pa.binary())], names=["cluster", "size", "uid", "n", "signature", "shingles"])
 
+    return texts.select("chunk", "uid", "text").groupBy("chunk").cogroup(members.groupBy("chunk")).applyInArrow(
+        work, "cluster long, size long, uid long, n long, signature binary, shingles binary")
 
-def _buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, uid) of the band buckets that two classes or more share, one bucket per set of classes."""
+
+def _chunk() -> Column:
+    return chunk_of("uid", CHUNK).alias("chunk")
+
+
+def _bands(signed: DataFrame, heads: DataFrame) -> DataFrame:
+    """(bucket, uid): the band buckets of each class, from the signature of its head."""
     mixed = np.array([pow(0xD6E8FEB86659FD93, i + 1, 1 << 64) for i in range(ROWS)], np.uint64)
 
-    def work(batches):
-        for batch in batches:
-            if batch.num_rows:
-                sign = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS)
-                keys = _mix((sign.astype(np.uint64) * mixed).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * POWERS[0])
-                uid = np.repeat(batch.column(0).to_numpy(), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(uid)], names=["bucket", "uid"])
+    def work(a, b):
+        mine = a.filter(pc.is_in(a.column("uid"), b.column("uid").combine_chunks()))
+        sign = np.frombuffer(b"".join(mine.column("signature").to_pylist()), np.uint32).reshape(-1, BANDS, ROWS)
+        keys = _mix((sign.astype(np.uint64) * mixed).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * POWERS[0])
+        return pa.table({"bucket": pa.array(keys.ravel().view(np.int64)), "uid": pa.array(np.repeat(mine.column("uid").to_numpy(), BANDS))})
+
+    return signed.select("chunk", "uid", "signature").groupBy("chunk").cogroup(heads.select(_chunk(), "uid").groupBy("chunk")).applyInArrow(
+        work, "bucket long, uid long")
+
+
+def _buckets(signed: DataFrame, heads: DataFrame) -> DataFrame:
+    """(bucket, size, uid, signature) of the buckets that two classes or more share, one bucket per set of classes."""
+    rows = scratch(_bands(signed, heads), "bands")
+    buckets = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("uid")).alias("x"),
+                                         F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("y")).where("size > 1")
+    chosen = scratch(buckets.groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "size"), "buckets")
+    asked = rows.join(chosen, "bucket").withColumn("chunk", _chunk())
 
-    rows = scratch(classes.select("uid", "signature").mapInArrow(work, "bucket long, uid long"), "bands")
-    buckets = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("uid")).alias("x"),
-                                         F.bit_xor(F.xxhash64("uid", F.lit(1))).alias("y")).where("n > 1")
-    chosen = scratch(buckets.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "n"), "buckets")
-    return rows.join(chosen.select("bucket"), "bucket"), chosen
+    def work(a, b):
+        at = pc.index_in(b.column("uid"), a.column("uid").combine_chunks())
+        return pa.table([b.column("bucket"), b.column("size"), b.column("uid"), a.column("signature").take(at)],
+                        names=["bucket", "size", "uid", "signature"])
+
+    return signed.select("chunk", "uid", "signature").groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(
+        work, "bucket long, size long, uid long, signature binary")
 
 
 def _spread(rows: DataFrame, group: str) -> DataFrame:
     return rows.repartition(partitions(rows.sparkSession), group, "b1", "b2").sortWithinPartitions(group, "b1", "b2")
 
 
-def _candidate_links(classes: DataFrame) -> DataFrame:
+def _candidate_links(signed: DataFrame, heads: DataFrame) -> DataFrame:
     """(a, b): each class that survives the pruning with another in some bucket, and the least class it is connected with there."""
-    rows, sizes = _buckets(classes)
-    rows = rows.join(classes.select("uid", "signature"), "uid")
-    rows = _spread(block_pairs(rows, "bucket", sizes, "uid", BLOCK), "bucket")
+    rows = _spread(block_pairs(_buckets(signed, heads), "bucket", "size", "uid", BLOCK), "bucket")
 
     def work(batches):
         for table, bounds in whole_groups(batches, ["bucket", "b1", "b2"]):
@@ -196,9 +227,9 @@ def least_reached(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return nodes, nodes[stars(linked)]
 
 
-def _verified(members: DataFrame, sizes: DataFrame) -> DataFrame:
+def _verified(members: DataFrame) -> DataFrame:
     """(a, links, b) per class with a link: documents linked with, within one pair of blocks, and the least class reached there."""
-    rows = _spread(block_pairs(members, "cluster", sizes, "uid", VERIFY_BLOCK), "cluster")
+    rows = _spread(block_pairs(members, "cluster", "size", "uid", VERIFY_BLOCK), "cluster")
 
     def work(batches):
         for table, bounds in whole_groups(batches, ["cluster", "b1", "b2"]):
@@ -232,16 +263,16 @@ def _verified(members: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _labelled(docs: DataFrame, key: str) -> DataFrame:
-    """`docs` (text, key, uid) to (uid, key, n_links, component (uid), component_key)."""
-    signed = scratch(_signed(docs, ["uid", key], False), "signed")
+    """`docs` (text, key, uid, chunk), bucketed, to (uid, key, n_links, kept, component_id)."""
+    signed = bucketed(_signed(docs, ["chunk", "uid", key]), "chunk", "signed")
     classes = signed.where("digest IS NOT NULL").groupBy("digest").agg(
         F.min("uid").alias("uid"), F.count("*").alias("n"), F.min_by("uid", F.struct(F.col(key).isNull(), key, "uid")).alias("head"))
     classes = scratch(classes, "classes")
-    heads = scratch(classes.select("uid", "n").join(signed.select("uid", "signature"), "uid"), "heads")
-    clusters = scratch(components(_candidate_links(heads)).withColumnsRenamed({"id": "uid", "component": "cluster"}), "clusters")
-    sizes = scratch(clusters.groupBy("cluster").agg(F.count("*").alias("n")), "sizes")
-    texts = docs.select("uid", "text").join(clusters, "uid").join(heads.select("uid", "n"), "uid")
-    found = scratch(_verified(_signed(texts, ["cluster", "uid", "n"], True), sizes), "found")
+    heads = classes.select("uid", "n")
+    clusters = scratch(components(_candidate_links(signed, heads)).withColumnsRenamed({"id": "uid", "component": "cluster"}), "clusters")
+    sizes = scratch(clusters.groupBy("cluster").agg(F.count("*").alias("size")), "sizes")
+    members = clusters.join(sizes, "cluster").join(heads, "uid").select(_chunk(), "uid", "cluster", "size", "n")
+    found = scratch(_verified(_members(docs, members)), "found")
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
     joined = components(found.select("a", "b")).withColumnRenamed("id", "a")
     each = classes.join(links.withColumnRenamed("a", "uid"), "uid", "left").join(joined.withColumnRenamed("a", "uid"), "uid", "left")
@@ -265,13 +296,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     shingles: they link with nothing and stay. Repeated rows link with each other like any copies; null keys are larger than others. An
     empty table gives no rows; other columns are not read.
     """
-    rows = scratch(docs.select("text", key).withColumn("uid", F.monotonically_increasing_id()), "texts")
-    return _labelled(rows, key).select(key, "n_links", "component_id", "kept")
+    return _labelled(_chunked(docs.select("text", key)), key).select(key, "n_links", "component_id", "kept")
+
+
+def _chunked(docs: DataFrame) -> DataFrame:
+    rows = docs.withColumn("uid", F.monotonically_increasing_id())
+    return bucketed(rows.withColumn("chunk", chunk_of("uid", CHUNK)), "chunk", "texts")
 
 
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of `docs` without all but one of each component, with all their columns."""
-    rows = scratch(docs.withColumn("_uid", F.monotonically_increasing_id()), "texts")
-    marks = _labelled(rows.select("text", key, F.col("_uid").alias("uid")), key)
-    gone = scratch(marks.where("NOT kept").select(F.col("uid").alias("_uid")), "copies")
-    return rows.join(gone, "_uid", "left_anti").drop("_uid")
+    plain = [f"_c{i}" for i in range(len(docs.columns))]
+    own = dict(zip(docs.columns, plain, strict=True))
+    rows = _chunked(docs.select(*[F.col(c).alias(p) for c, p in own.items()]))
+    marks = _labelled(rows.withColumnsRenamed({own["text"]: "text", own[key]: "key"}).select("chunk", "uid", "text", "key"), "key")
+    gone = marks.where("NOT kept").select(chunk_of("uid", CHUNK).alias("chunk"), "uid")
+
+    def keep(a, b):
+        return a.filter(pc.invert(pc.is_in(a.column("uid"), b.column("uid").combine_chunks()))).select(plain)
+
+    fields = ", ".join(f"{own[f.name]} {f.dataType.simpleString()}" for f in docs.schema)
+    out = rows.groupBy("chunk").cogroup(gone.groupBy("chunk")).applyInArrow(keep, fields)
+    return out.withColumnsRenamed({p: c for c, p in own.items()})

@@ -95,7 +95,7 @@ def _postings(classes: DataFrame, reference: dict[int, np.ndarray]) -> DataFrame
 
 def _links(postings: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
     """(a, links, b): per class with a link in a pair of blocks, the vectors it is linked with and the least class reached."""
-    rows = block_pairs(postings, "list", sizes, "uid", BLOCK)
+    rows = block_pairs(postings.join(sizes, "list"), "list", "size", "uid", BLOCK)
     rows = rows.repartition(partitions(rows.sparkSession), "list", "b1", "b2").sortWithinPartitions("list", "b1", "b2")
 
     def work(batches):
@@ -150,7 +150,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", threshold: float = THR
     whole = scratch(classes.select("uid", "n").join(rows.select("uid", "label", "embedding"), "uid"), "vectors")
     total = whole.count()
     postings = scratch(_postings(whole, pivots(whole, n_pivots(total))), "postings")
-    sizes = scratch(postings.groupBy("list").agg(F.count("*").alias("n")).where("n > 1"), "lists")
+    sizes = scratch(postings.groupBy("list").agg(F.count("*").alias("size")).where("size > 1"), "lists")
     found = scratch(_links(postings, sizes, threshold), "found")
     links = found.groupBy(F.col("a").alias("uid")).agg(F.sum("links").alias("links"))
     joined = components(found.select("a", "b")).withColumnRenamed("id", "uid")

@@ -31,7 +31,27 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@query("op1_embedding_near_dedup")
+_REACHED = """reach(id, least) AS (SELECT id, id FROM rows UNION SELECT e.b, r.least FROM reach r JOIN links e ON e.a = r.id),
+  least AS (SELECT id, min(least) AS least FROM reach GROUP BY 1), n AS (SELECT a AS id, count(*) AS n FROM links GROUP BY 1)"""
+_OP1_SQL = f"""WITH RECURSIVE rows AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label FROM embeddings),
+  fine AS (SELECT * FROM rows WHERE label IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+  links AS (SELECT x.id AS a, y.id AS b FROM fine x JOIN fine y ON x.label = y.label AND len(x.v) = len(y.v) AND x.id <> y.id
+    WHERE list_cosine_similarity(x.v, y.v) >= 0.98), {_REACHED}
+SELECT rows.id AS vec_id, coalesce(n.n, 0) AS n_links, least.least AS component_id, least.least = rows.id AS kept
+FROM rows JOIN least USING (id) LEFT JOIN n USING (id)"""
+_OP5_SQL = rf"""WITH RECURSIVE rows AS (SELECT doc_id AS id, list_filter(string_split_regex(coalesce(text, ''), '[\x09-\x0D\x20]+'),
+    lambda x: x <> '') AS w FROM documents),
+  shingles AS (SELECT DISTINCT id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i
+    FROM rows WHERE len(w) > 0)),
+  sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY 1),
+  common AS (SELECT x.id AS a, y.id AS b, count(*) AS shared FROM shingles x JOIN shingles y USING (s) WHERE x.id <> y.id GROUP BY 1, 2),
+  links AS (SELECT a, b FROM common JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b WHERE shared / (x.n + y.n - shared) >= 0.8), {_REACHED}
+SELECT rows.id AS doc_id, coalesce(n.n, 0) AS n_links, least.least AS component_id, least.least = rows.id AS kept
+FROM rows JOIN least USING (id) LEFT JOIN n USING (id)"""
+
+
+@query("op1_embedding_near_dedup", _OP1_SQL)
 def op1_embedding_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, d, "embeddings"))
 
@@ -51,7 +71,7 @@ def op4_suffix_array_dedup(spark: SparkSession, d: str) -> DataFrame:
     return suffix_dedup.without_repeats(table(spark, d, "documents"))
 
 
-@query("op5_ngram_jaccard")
+@query("op5_ngram_jaccard", _OP5_SQL)
 def op5_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
     return near_text.near_duplicates(table(spark, d, "documents"))
 

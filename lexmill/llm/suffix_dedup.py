@@ -20,15 +20,13 @@ Spans are told apart by 128 bits of hash, marks by 56 (an accident there costs w
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import drop_scratch, partitions, scratch
-from lexmill.session import new_path
+from lexmill.llm.common import bucketed, chunk_of, drop_scratch, partitions, scratch
 
 SPAN, MARK = 50, 24
 SIDE = SPAN - MARK  # bytes around a mark that spans with it can reach
@@ -90,23 +88,14 @@ def _surroundings(data: bytes, at: np.ndarray) -> np.ndarray:
 
 def _texts(docs: DataFrame, key: str) -> DataFrame:
     """(chunk, id, batch, text) bucketed by chunk; `id` is the key, the largest number for null."""
-    spark = docs.sparkSession
     # Batches are even shares of the keys by quantiles; where they are cut does not change results.
     cuts = docs.select(F.col(key).cast("long").alias("k")).stat.approxQuantile("k", [i / BATCHES for i in range(1, BATCHES)], 0.01)
     batch = sum((F.coalesce(F.col("id") > int(c), F.lit(True)).cast("int") for c in cuts), F.lit(0))
     row = F.monotonically_increasing_id()
     rows = docs.select(F.col(key).alias("key"), F.coalesce("text", F.lit("")).alias("text"),
                        F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("id"), row.alias("_row"))
-    chunk = F.shiftright("_row", 33) * (1 << 33) + F.floor(F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) / CHUNK)
-    rows = rows.select(chunk.cast("long").alias("chunk"), "key", "id", batch.alias("batch"), "text")
-    return _bucketed(rows, "chunk", partitions(spark), "texts")
-
-
-def _bucketed(rows: DataFrame, column: str, n: int, name: str) -> DataFrame:
-    spark = rows.sparkSession
-    table, path = f"{name}_{uuid.uuid4().hex}", new_path(spark, name)
-    rows.write.format("parquet").option("path", path).option("compression", "zstd").bucketBy(n, column).saveAsTable(table)
-    return spark.table(table)
+    rows = rows.select(chunk_of("_row", CHUNK).alias("chunk"), "key", "id", batch.alias("batch"), "text")
+    return bucketed(rows, "chunk", "texts")
 
 
 def _slots(marks: np.ndarray, n: int) -> np.ndarray:
@@ -149,7 +138,7 @@ def _array(texts: DataFrame, n: int) -> DataFrame:
         return _level_row(table.column("slot")[0].as_py(), m, chunk)
 
     rows = texts.select("chunk", "text").mapInArrow(marks, "slot long, chunk long, marks binary")
-    return _bucketed(rows.groupBy("slot").applyInArrow(gather, LEVEL), "slot", partitions(texts.sparkSession), "level")
+    return bucketed(rows.groupBy("slot").applyInArrow(gather, LEVEL), "slot", "level")
 
 
 LEVEL = "slot long, marks binary, chunks binary"
@@ -209,7 +198,7 @@ def _merged(a: DataFrame, b: DataFrame) -> DataFrame:
         return _level_row(slot, np.concatenate([m, k]), np.concatenate([c, d]))
 
     rows = a.groupBy("slot").cogroup(b.groupBy("slot")).applyInArrow(merge, LEVEL)
-    return _bucketed(rows, "slot", partitions(a.sparkSession), "level")
+    return bucketed(rows, "slot", "level")
 
 
 class SuffixIndex:
