@@ -71,7 +71,8 @@ def fit_linear(rows: np.ndarray, columns: np.ndarray, n: int, width: int, dense:
     use &= (np.abs(z) >= MIN_Z) & (with_any >= MIN_DOCS)
     scale = np.where(use, np.log((with_pos + 1) / (pos + 2)) - np.log((with_any - with_pos + 1) / (neg + 2)), 0.0)
     at = use[columns]
-    rows, columns = rows[at], columns[at]
+    rows, columns = rows[at], (np.cumsum(use) - 1)[columns[at]]
+    scale, width = scale[use], int(use.sum())
     value = scale[columns]
 
     def forward(w, d, c):
@@ -90,7 +91,9 @@ def fit_linear(rows: np.ndarray, columns: np.ndarray, n: int, width: int, dense:
         ahead = tuple(p + t / (t + 3) * (p - q) for p, q in zip(now, last, strict=True))
         g = back(weight * (_sigmoid(forward(*ahead)) - y) / n)
         last, now = now, tuple(p - (h + RIDGE * p * (i < 2)) / most for i, (p, h) in enumerate(zip(ahead, g, strict=True)))
-    return now[0] * scale, now[1], now[2]
+    weights = np.zeros(len(use))
+    weights[use] = now[0] * scale
+    return weights, now[1], now[2]
 
 
 def _logit(p: np.ndarray) -> np.ndarray:
