@@ -1,7 +1,8 @@
 """Embedding near-dedup by a pivot-permutation index.
 
-Pivots are reference vectors, spread by farthest-first choice over a bounded sample (SAMPLE vectors, the smallest hashes). Every
-vector is described by its NEAREST pivots in order of distance. Vectors at a small angle see the pivots in nearly the same order, so
+Pivots are reference vectors, spread by farthest-first choice over a bounded sample (SAMPLE vectors, the smallest hashes), and
+no two of them have a cosine above APART: a group of near copies holds one at most, for the order of pivots inside a group would be
+noise. Where few vectors of the sample are so far apart, there are few pivots and long lists. Every vector is described by its NEAREST pivots in order of distance. Vectors at a small angle see the pivots in nearly the same order, so
 candidates are pairs that share SHARED of them. They are retrieved through inverted pivot lists: two sets with SHARED in common
 share one within their first NEAREST - SHARED + 1 pivots by number, so only those postings are kept, and a pair is
 looked at in the list of its first common pivot alone. Every candidate is verified by cosine in double precision.
@@ -25,6 +26,7 @@ from lexmill.llm.near_text import least_reached
 THRESHOLD = 0.98
 SAMPLE, MOST_PIVOTS = 4096, 4096
 NEAREST, SHARED = 10, 4
+APART = 0.7
 BLOCK = 1024
 
 
@@ -41,11 +43,11 @@ def n_pivots(n: int) -> int:
 
 
 def spread_out(sample: np.ndarray, n: int) -> np.ndarray:
-    """Up to n rows of `sample`, each the farthest from those before it."""
+    """Up to n rows of `sample`, each the farthest from those before it, as long as that one's cosine with them is APART at most."""
     chosen, nearest = [0], sample @ sample[0]
     while len(chosen) < min(n, len(sample)):
         i = int(nearest.argmin())
-        if nearest[i] > 1 - 1e-9:
+        if nearest[i] > APART:
             break
         chosen.append(i)
         nearest = np.maximum(nearest, sample @ sample[i])

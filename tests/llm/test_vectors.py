@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from lexmill.llm import near_vectors
 
@@ -73,5 +74,21 @@ def test_a_group_larger_than_a_block_and_repeated_rows(spark, monkeypatch):
     assert {k: v[:2] for k, v in run(spark, rows).items()} == brute(rows)
 
 
+@pytest.mark.parametrize("size", [3, 64])
+def test_a_third_of_the_rows_in_one_group_and_the_whole_sample_for_pivots(spark, monkeypatch, size):
+    monkeypatch.setattr(near_vectors, "n_pivots", lambda n: near_vectors.MOST_PIVOTS)
+    r = np.random.default_rng(5)
+    base, noise = r.normal(size=(2, 1, size)), r.normal(size=(200, size))
+    base /= np.linalg.norm(base, axis=-1, keepdims=True)
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    vectors = np.concatenate([base[0] + 0.125 * noise, r.normal(size=(400, size))])
+    rows = [(i, np.float32(v).tolist(), 0) for i, v in enumerate(vectors)]
+    want, got = brute(rows), run(spark, rows)
+    total = sum(want[k][0] for k in range(200))
+    assert total >= 10_000
+    assert sum(got[k][0] for k in range(200)) >= 0.999 * total
+    assert all(got[k][0] <= want[k][0] for k in got)
+
+
 def test_an_empty_table(spark):
     assert run(spark, []) == {}
