@@ -1,15 +1,18 @@
 """Personal data: fixed forms first, then forms that their contexts reveal.
 
 Base matches of four kinds are the seeds. Every other token that looks like an identifier (an `@`, or DIGITS digits or more) is a
-candidate. Both have contexts: the two words before, and the word before with the word after. A context that mostly
+candidate. Both have contexts: the two words before, and the word before with the word after. A context that
 holds instances known to be of one kind is a pattern of that kind; an instance that trusted patterns hold becomes
-known; so the graph of contexts and instances is scored in ROUNDS rounds, as joins and sums over distinct (instance,
-context) edges. A candidate whose score reaches TRUST is a span of that kind.
+known; so the graph of contexts and instances is scored in rounds, as joins and sums over distinct (instance,
+context) edges, until a round changes nothing. A candidate whose score reaches TRUST is a span of that kind.
 
-    confidence(context, kind) = sum of its instances' scores of the kind / (its instances + 1)
+    confidence(context, kind) = own / (own + others + unlike + LIGHT * (1 + sqrt(unseen)))
     score(instance, kind)     = 1 - product over trusted contexts of (1 - confidence); 1 for seeds
 
-A context is trusted from TRUST on and with SUPPORT known instances, so contexts that hold all sorts of things say nothing.
+`own` and `others` are the sums of its instances' scores of the kind and of other kinds. Instances that are not known speak against a
+kind in full where their form does (`unlike`: `@` or not, or fewer than SHORT digits, as years and counts have). All others are
+`unseen`: what the search is for, so they weigh lightly, and the lighter the more is known. A context is trusted from TRUST
+on and with SUPPORT known instances, so contexts that hold all sorts of things say nothing. Scores never fall from round to round.
 """
 
 from __future__ import annotations
@@ -25,7 +28,9 @@ from pyspark.sql import functions as F
 from lexmill.llm.common import scratch
 
 KINDS = ["email", "ip", "card", "phone"]
-TRUST, SUPPORT, ROUNDS, DIGITS = 0.8, 3.0, 3, 4
+TRUST, SUPPORT, DIGITS = 0.8, 3.0, 4
+LIGHT, SHORT = 0.25, 6
+FORMS = ["mail", "short", "long"]
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 # A number starts where no digit stands before it: a run of digits that fails once fails from each of its digits.
@@ -102,6 +107,10 @@ def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, i
     return out
 
 
+def form(token: str) -> str:
+    return "mail" if "@" in token else "short" if len(_only_digits(token)) < SHORT else "long"
+
+
 def _mark(*parts: str) -> int:
     return xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -119,12 +128,12 @@ def _scan(docs: DataFrame) -> DataFrame:
     kept = [c for c in docs.columns if c != "text"]
     span = pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())])
     seen = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("instance", pa.int64()),
-                      ("contexts", pa.list_(pa.int64()))])
+                      ("form", pa.string()), ("contexts", pa.list_(pa.int64()))])
 
     def one(text: str) -> tuple[list, list]:
         base = base_spans(text)
         marks = [(s, e, k) for s, k, e in base] + [(s, e, None) for s, e in candidates(text, base)]
-        found = [(s, e, k, _mark(text[s:e].lower()), contexts(text, s, e)) for s, e, k in marks]
+        found = [(s, e, k, _mark(text[s:e].lower()), form(text[s:e]), contexts(text, s, e)) for s, e, k in marks]
         return base, found
 
     def work(batches):
@@ -132,30 +141,37 @@ def _scan(docs: DataFrame) -> DataFrame:
             rows = [one(t.as_py() or "") for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array([[dict(start=s, kind=k, end=e) for s, k, e in r[0]] for r in rows], pa.list_(span)),
-                 pa.array([[dict(zip(("start", "end", "kind", "instance", "contexts"), f, strict=True)) for f in r[1]] for r in rows],
+                 pa.array([[dict(zip(("start", "end", "kind", "instance", "form", "contexts"), f, strict=True)) for f in r[1]] for r in rows],
                           pa.list_(seen))], names=[*kept, "base", "found"])
 
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(kept).schema)
     return docs.select("text", *kept).mapInArrow(
         work, f"{fields}base array<struct<start: long, kind: string, `end`: long>>, found array<struct<start: long, "
-              "`end`: long, kind: string, instance: long, contexts: array<long>>>")
-
-
-def bootstrap(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(instance, kind, score) of all instances known or learnt, from occurrences (instance, kind or null, contexts)."""
-    edges = scratch(found.select("instance", F.explode("contexts").alias("context")).distinct(), "edges")
-    size = scratch(edges.groupBy("context").agg(F.count("*").alias("n")), "sizes")
-    seeds = scratch(found.where("kind IS NOT NULL").select("instance", "kind").distinct().withColumn("score", F.lit(1.0)), "seeds")
-    known = seeds
-    for _ in range(rounds):
-        weight = edges.join(known, "instance").groupBy("context", "kind").agg(F.sum("score").alias("weight"))
-        trusted = weight.where(F.col("weight") >= SUPPORT).join(size, "context").withColumn(
-            "confidence", F.col("weight") / (F.col("n") + 1)).where(F.col("confidence") >= TRUST)
+              "`end`: long, kind: string, instance: long, form: string, contexts: array<long>>>")
+
+
+def bootstrap(found: DataFrame) -> DataFrame:
+    """(instance, kind, score) of all instances known or learnt, from occurrences (instance, form, kind or null, contexts)."""
+    edges = scratch(found.select("instance", "form", F.explode("contexts").alias("context")).distinct(), "edges")
+    known = scratch(found.where("kind IS NOT NULL").select("instance", "kind").distinct().withColumn("score", F.lit(1.0)), "seeds")
+    last = None
+    while (size := known.agg(F.count("*"), F.sum(F.col("score").cast("decimal(38,3)"))).head()) != last:
+        last = size
+        weight = edges.join(known, "instance").groupBy("context", "kind").agg(F.sum("score").alias("own"))
+        weight = scratch(weight, "weights")
+        at = weight.groupBy("context").agg(F.sum("own").alias("all"), F.max("own").alias("most")).where(F.col("most") >= SUPPORT)
+        new = edges.join(at.select("context"), "context").join(known.select("instance").distinct(), "instance", "left_anti")
+        new = new.groupBy("context").agg(*[F.count_if(F.col("form") == f).alias(f) for f in FORMS])
+        unseen = {f: F.coalesce(f, F.lit(0)) for f in FORMS}
+        mail = F.col("kind") == "email"
+        unlike = F.when(mail, unseen["short"] + unseen["long"]).otherwise(unseen["short"] + unseen["mail"])
+        like = F.when(mail, unseen["mail"]).otherwise(unseen["long"])
+        trusted = weight.where(F.col("own") >= SUPPORT).join(at, "context").join(new, "context", "left").withColumn(
+            "confidence", F.col("own") / (F.col("all") + unlike + LIGHT * (1 + F.sqrt(like)))).where(F.col("confidence") >= TRUST)
         trusted = scratch(trusted.select("context", "kind", "confidence"), "patterns")
         learnt = edges.join(trusted, "context").groupBy("instance", "kind").agg(
-            F.round(1 - F.exp(F.sum(F.log(1 - F.col("confidence")))), 9).alias("score"))
-        known = seeds.unionByName(learnt).groupBy("instance", "kind").agg(F.max("score").alias("score"))
-        known = scratch(known, "instances")
+            F.round(1 - F.exp(F.sum(F.log(1 - F.col("confidence")))), 3).alias("score"))
+        known = scratch(known.unionByName(learnt).groupBy("instance", "kind").agg(F.max("score").alias("score")), "instances")
     return known
 
 

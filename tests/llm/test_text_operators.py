@@ -145,6 +145,31 @@ def test_contexts_reveal_what_the_forms_miss(documents):
     assert sorted((x.spans, x.n_email) for x in twice) == [("email:0:6", 1), ("email:0:6", 1), ("email:2:8", 1)]
 
 
+@pytest.mark.parametrize(("seeds", "unseen"), [(3, 1), (3, 3), (7, 1), (40, 40), (60, 200)])
+def test_contexts_of_which_many_instances_are_unseen(documents, seeds, unseen):
+    r = random.Random(seeds)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    rows = [(i, f"{word()} my phone +1 (555) {100 + i}-{r.randrange(1000, 9999)} {word()}") for i in range(seeds)]
+    rows += [(1000 + i, f"{word()} my phone 555-{1000 + i}-77 {word()}") for i in range(unseen)]
+    rows += [(2000 + i, f"{word()} in the +1 (444) {100 + i}-{r.randrange(1000, 9999)} {word()}") for i in range(4)]
+    rows += [(3000 + i, f"{word()} in the {1900 + i} {word()}") for i in range(8)]  # years: no pattern
+    rows += [(4000 + i, f"{word()} send to +1 (333) {100 + i}-{r.randrange(1000, 9999)} {word()}") for i in range(4)]
+    rows += [(5000 + i, f"{word()} send to {word()}{i}@example.org {word()}") for i in range(4)] + [(6000, "so send to 333-1234-77 now")]
+    got = {x.doc_id: x.spans for x in pii.personal_data(documents(rows)).collect()}
+    assert all(got[1000 + i] == "phone:15:26" for i in range(unseen))
+    assert all(got[3000 + i] == "" for i in range(8)) and got[6000] == ""
+
+
+def test_contexts_are_followed_until_nothing_new_is_learnt(documents):
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    rows = [(i, f"{word()} ask hop0 +1 (555) {100 + i}-{r.randrange(1000, 9999)} {word()}") for i in range(4)]
+    for hop in range(6):  # each context leads to numbers that the next one holds as well
+        rows += [(100 * (hop + 1) + 10 * k + i, f"{word()} ask hop{hop + k} 555-{hop}{i}34-77 {word()}") for k in range(2) for i in range(4)]
+    got = {x.doc_id: x.spans for x in pii.personal_data(documents(rows)).collect()}
+    assert all(got[k] == "phone:15:26" for k, _ in rows if k >= 100)
+
+
 # --- fingerprints -------------------------------------------------------------------------------------------------
 
 
