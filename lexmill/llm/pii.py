@@ -1,7 +1,7 @@
 """Personal data: fixed forms first, then forms that their contexts reveal.
 
-Base matches of four kinds are the seeds. Every other token that looks like an identifier (an `@`, or DIGITS digits or more) is a
-candidate. Both have contexts: the two words before, and the word before with the word after. A context that
+Base matches of four kinds are the seeds. Every other token or run of digit groups that looks like an identifier (an `@`, or DIGITS
+digits or more) is a candidate. Both have contexts: the two words before, and the word before with the word after. A context that
 holds instances known to be of one kind is a pattern of that kind; an instance that trusted patterns hold becomes
 known; so the graph of contexts and instances is scored in rounds, as joins and sums over distinct (instance,
 context) edges, until a round changes nothing. A candidate whose score reaches TRUST is a span of that kind.
@@ -38,7 +38,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOOKS, TOKEN, STRIP = re.compile(r"[0-9@]"), re.compile(r"\S*"), ".,;:!?()[]{}<>\"'`"
-WORDS = re.compile(r"\S+")
+WORDS, NUMBER = re.compile(r"\S+"), re.compile(r"[0-9().+-]+")
 NEAR = 120  # characters before and after that contexts are read from; longer words are read as far as that
 
 
@@ -85,8 +85,21 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, int]]:
-    """Tokens that look like identifiers and touch no base span."""
+    """What looks like an identifier and touches no base span: tokens with `@` or digits, and as one the maximal runs of tokens of digits
+    and separators that are joined by a single space, or by a dash between two. A stop or comma ends a run."""
     out, done, i = [], 0, 0
+    run: tuple[int, int, int] | None = None  # start, end, where its last token ends
+
+    def close() -> None:
+        if run:
+            start, end, _ = run
+            inside = text[start:end]
+            more = inside.count(")") - inside.count("(")
+            start -= more > 0 and text[start - 1:start] == "("
+            end += more < 0 and text[end:end + 1] == ")"
+            if "@" in inside or len(_only_digits(inside)) >= DIGITS:
+                out.append((start, end))
+
     hit = LOOKS.search(text)
     while hit:
         left = max(text.rfind(c, done, hit.start()) for c in " \n\t\r\x0b\x0c") + 1 or done
@@ -99,11 +112,22 @@ def candidates(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, i
         j = i
         while j < len(base) and base[j][2] <= start:
             j += 1
-        clear = j >= len(base) or base[j][0] >= end
-        if clear and start < end and ("@" in token or len(_only_digits(token)) >= DIGITS):
-            out.append((start, end))
+        if start < end and (j >= len(base) or base[j][0] >= end):
+            number = NUMBER.fullmatch(text, start, end) is not None
+            if run and number and text[left:start] in ("", "(") and text[run[2]:left] in (" ", " - "):
+                run = run[0], end, right
+            else:
+                close()
+                run = start, end, right
+            if not number or text[end:right] not in ("", ")"):
+                close()
+                run = None
+        else:
+            close()
+            run = None
         done = right
         hit = LOOKS.search(text, right)
+    close()
     return out
 
 

@@ -160,6 +160,35 @@ def test_contexts_of_which_many_instances_are_unseen(documents, seeds, unseen):
     assert all(got[3000 + i] == "" for i in range(8)) and got[6000] == ""
 
 
+SPACED = ["555 123 4567", "0171 234 567", "555 123 456", "(555) 123-4567", "(555)123-4567", "555 - 123 - 4567", "555.123 4567", "+1 555 123",
+          "555 (123) 4567", "555 123 (4567)", "4111 1111 1111 1112", "4111-1111 11111112", "12 34", "555-1234-77"]
+
+
+@pytest.mark.parametrize("number", SPACED)
+def test_numbers_in_groups_are_whole_candidates(number):
+    for head, tail in (("my phone ", " now"), ("my phone ", ", now"), ("my phone: ", ". 2 x"), ("a\n", "\n7"), ("", "")):
+        text = f"{head}{number}{tail}"
+        at = len(head)
+        assert pii.candidates(text, pii.base_spans(text)) == [(at, at + len(number))]
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("id ab1234 5678 x", ["ab1234", "5678"]), ("1234, 5678", ["1234", "5678"]), ("in 1999. 2000 x", ["1999", "2000"]),
+    ("1234  5678\n9012", ["1234", "5678", "9012"]), ("10.0.0.1 5551234", ["5551234"]), ("me @home 1234 5678", ["@home", "1234 5678"]),
+    ("(1234) [5678]", ["1234", "5678"]), ("see (555 1234) x", ["555 1234"]), ("1 2 3", [])])
+def test_where_candidates_end(text, want):
+    assert [text[s:e] for s, e in pii.candidates(text, pii.base_spans(text))] == want
+
+
+def test_contexts_reveal_spaced_numbers(documents):
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    rows = [(i, f"{word()} my phone +1 (555) {100 + i}-{r.randrange(1000, 9999)} {word()}") for i in range(10)]
+    rows += [(100 + i, f"{word()} my phone {x} {word()}") for i, x in enumerate(SPACED) if len(x) > 5]
+    got = {x.doc_id: x.spans for x in pii.personal_data(documents(rows)).collect()}
+    assert all(got[100 + i] == f"phone:15:{15 + len(x)}" for i, x in enumerate(SPACED) if len(x) > 5)
+
+
 def test_contexts_are_followed_until_nothing_new_is_learnt(documents):
     r = random.Random(6)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
