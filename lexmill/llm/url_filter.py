@@ -3,8 +3,8 @@
 Accepted and rejected URLs each give counts of character sequences of one to ORDER + 1. A character's probability after its
 context blends the counts of all context lengths (Witten-Bell: a context passes on as much weight as it has distinct
 successors), so the order varies with what has been seen. The score is the mean logarithm of the two models' ratio over the
-URL's characters and its end. URLs of one fold in HELD_OUT are kept out of the counts; a logistic curve fitted on their
-scores turns a score into a probability.
+URL's characters and its end. A logistic curve turns a score into a probability; it is fitted on the URLs of one fold in
+HELD_OUT, scored by models that count the other folds. The models that judge count all URLs that the rules decide.
 
 Counts cover all rows and grow with them: they stay tables, and each level joins the one below by its suffix. Only the
 histogram of held-out scores (2 * 100 * CLIP + 1 bins) reaches the driver.
@@ -96,6 +96,12 @@ def calibrate(held_out: DataFrame, steps: int = 30) -> tuple[float, float]:
     return slope, offset
 
 
+def scores(urls: DataFrame, models: DataFrame) -> DataFrame:
+    """(uid, score) per row of `urls` (uid, url), all of whose grams are in `models`."""
+    scored = _grams(urls.select("uid", "url")).select("uid", "gram").join(models, "gram")
+    return scored.groupBy("uid").agg(F.round(F.avg("ratio"), 9).alias("score"))
+
+
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], key: str = "page_id") -> DataFrame:
     """(key, host, path, rule, verdict, score, p_accept), one row per row of `pages` (key, url).
 
@@ -110,12 +116,14 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], key: str = "page_
     urls = scratch(urls.withColumn("uid", F.monotonically_increasing_id()), "urls")
     accepted, rejected = (F.when(F.col("said") == v, F.col("n")).otherwise(0) for v in ("allow", "block"))
     held = F.pmod(F.xxhash64("url"), F.lit(HELD_OUT)) == 0
-    train = urls.select("url", *[F.when(held, 0).otherwise(c).alias(m) for m, c in
-                                 (("accepted", accepted), ("rejected", rejected))])
-    scored = _grams(urls.select("uid", "url")).select("uid", "gram").join(language_models(train), "gram")
-    scored = scored.groupBy("uid").agg(F.round(F.avg("ratio"), 9).alias("score"))
-    scored = scratch(urls.join(scored, "uid"), "scored")
-    slope, offset = calibrate(scored.where(held).select("score", accepted.alias("accepted"), rejected.alias("rejected")))
+    ruled = urls.where("said IS NOT NULL").select("uid", "url", "n", "said")
+    train = ruled.select("url", *[F.when(held, 0).otherwise(c).alias(m) for m, c in
+                                  (("accepted", accepted), ("rejected", rejected))])
+    apart = scratch(scores(ruled.where(held), language_models(train)), "held_out")
+    apart = ruled.join(apart, "uid")
+    slope, offset = calibrate(apart.select("score", accepted.alias("accepted"), rejected.alias("rejected")))
+    models = language_models(urls.select("url", accepted.alias("accepted"), rejected.alias("rejected")))
+    scored = scratch(urls.join(scores(urls, models), "uid"), "scored")
     p = F.round(1 / (1 + F.exp(-(F.col("score") * slope + offset))), 9)
     verdict = F.coalesce("said", F.when(p >= 0.5, "allow").otherwise("block"))
     judged = scored.select(F.col("url").alias("_url"), "host", "path", "rule", verdict.alias("verdict"), "score",

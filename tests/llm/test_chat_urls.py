@@ -109,6 +109,23 @@ def test_models_against_brute_force_and_on_unseen_urls(spark):
         assert model[g] == pytest.approx(math.log(blend(train, g, 1) / blend(train, g, 2)), abs=1e-9)
 
 
+def test_models_that_judge_count_all_ruled_urls(spark):
+    r = random.Random(4)
+    word = lambda a: "".join(r.choice(a) for _ in range(6))
+    urls = [f"http://{word('abcd')}.org/" for _ in range(30)] + [f"http://{word('wxyz')}.com/de/" for _ in range(30)] + \
+        [f"http://{word('abwx')}.net/" for _ in range(6)]
+    train = [(u, int(i < 30), int(30 <= i < 60)) for i, u in enumerate(urls)]
+    held = spark.createDataFrame(train, "url string, a int, b int").selectExpr(f"pmod(xxhash64(url), {url_filter.HELD_OUT}) = 0 AS held").collect()
+    assert 0 < sum(x.held for x in held[:60]) < 60
+    out = judged(spark, urls)
+    ratio = {}
+    for i in range(50, 66):
+        for g in grams(urls[i]):
+            ratio[g] = ratio[g] if g in ratio else math.log(blend(train, g, 1) / blend(train, g, 2))
+        each = [ratio[g] for g in grams(urls[i])]
+        assert out[i].score == pytest.approx(sum(each) / len(each), abs=1e-8)
+
+
 def grams(url):
     s = "\x02" * 4 + url + "\x03"
     return [s[i:i + 5] for i in range(len(s) - 4)]
