@@ -57,15 +57,16 @@ def field_paths(schema: T.DataType, at: str = "") -> list[str]:
 
 
 def json_paths(value: Column) -> Column:
-    """Field paths of the JSON object in a variant column: two levels, as deep as any layout goes. Elements of an array are
-    read through the first one."""
+    """Field paths of the JSON object in a variant column: two levels, as deep as any layout goes. An array has the
+    fields of all its elements."""
     def keys(v: Column) -> Column:
         return F.map_keys(F.try_variant_get(v, "$", "map<string, variant>"))
 
     def below(k: Column, v: Column) -> Column:
-        first = F.element_at(F.filter(F.try_variant_get(v, "$", "array<variant>"), lambda e: e.isNotNull()), 1)
+        items = F.try_variant_get(v, "$", "array<variant>")
+        names = F.flatten(F.transform(items, lambda e: F.coalesce(keys(e), F.array().cast("array<string>"))))
         return F.when(F.schema_of_variant(v).startswith("ARRAY<OBJECT"),
-                      F.transform(keys(first), lambda x: F.concat(k, F.lit("[]."), x))).otherwise(F.array(k))
+                      F.transform(F.array_distinct(names), lambda x: F.concat(k, F.lit("[]."), x))).otherwise(F.array(k))
 
     top = F.map_entries(F.try_variant_get(value, "$", "map<string, variant>"))
     return F.array_sort(F.array_distinct(F.flatten(F.transform(top, lambda e: below(e["key"], e["value"])))))

@@ -61,6 +61,15 @@ def test_layouts_of_json_values(spark):
     assert got == {i: want for i, (_, want) in enumerate(LAYOUTS)} | {90: None, 91: None}
 
 
+def test_arrays_of_mixed_elements(spark):
+    user, other = {"role": "user", "content": "q"}, {"role": "assistant", "text": "a"}
+    values = [{"messages": [user, other]}, {"messages": [other, user]}, {"messages": [user, user | {"name": "n"}]}, {"messages": [user | {"name": "n"}, user]},
+              {"messages": [user, {"content": "b"}]}, {"messages": [{"content": "b"}, user]}, {"messages": [user, "text"]}]
+    rows = spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate(values)], "i int, j string")
+    got = {r.i: r.turns and [(t.role, t.text) for t in r.turns] for r in rows.select("i", chat.json_turns(F.col("j")).alias("turns")).collect()}
+    assert got == {0: None, 1: None, 2: None, 3: None, 4: [("user", "q"), ("user", "b")], 5: [("user", "b"), ("user", "q")], 6: None}
+
+
 def test_layouts_of_tables(spark):
     frame = spark.createDataFrame([(7, [("human", "q"), ("gpt", "a")])], "conv_id int, conversations array<struct<from: string, value: string>>")
     assert chat.table_turns(frame).head().turns == [("user", "q"), ("assistant", "a")]
