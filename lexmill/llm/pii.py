@@ -229,15 +229,15 @@ def personal_data(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def scrubbed(docs: DataFrame) -> DataFrame:
-    """`docs` with each span replaced by its kind in brackets, overlapping ones by the first; `n_chars`, if there, is the new
-    text's. Null text stays null. All columns and rows stay."""
+    """`docs` with each span replaced by its kind in brackets, of one that begins inside others the part that reaches
+    beyond them; `n_chars`, if there, is the new text's. Null text stays null. All columns and rows stay."""
     rows = scratch(docs.withColumn("uid", F.monotonically_increasing_id()), "documents")
     spans = _spans(rows.select("text", "uid")).where(F.size("spans") > 0).select(F.col("uid").alias("_uid"), F.col("spans").alias("_spans"))
     joined = rows.join(scratch(spans, "spans"), F.col("uid") == F.col("_uid"), "left")
     cut = F.aggregate("_spans", F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")),
-                      lambda acc, s: F.when(s["start"] < acc["at"], acc).otherwise(F.struct(
+                      lambda acc, s: F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
                           s["end"].alias("at"), F.concat(acc["out"], F.array(
-                              F.substr("text", (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")),
+                              F.substr("text", (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int")),
                               F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))).alias("out"))),
                       lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr("text", (acc["at"] + 1).cast("int"))))
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut)

@@ -199,6 +199,17 @@ def test_contexts_are_followed_until_nothing_new_is_learnt(documents):
     assert all(got[k] == "phone:15:26" for k, _ in rows if k >= 100)
 
 
+def test_all_of_overlapping_spans_is_replaced(documents):
+    rows = [(1, "+1 555 123 4567bob@x.com"), (2, "see +1 555 123 4567bob@x.com, +1 555 123 4567."), (3, "4111111111111111.1.1.1 x"), (4, "+4111111111111111 x"),
+            (5, "a@b.cd")]
+    got = {x.doc_id: (x.text, x.n_chars) for x in pii.scrubbed(documents(rows)).collect()}
+    want = {1: "[PHONE][EMAIL]", 2: "see [PHONE][EMAIL], [PHONE].", 5: "[EMAIL]"}
+    assert {k: got[k] for k in want} == {k: (t, len(t)) for k, t in want.items()}
+    for k, text in rows:
+        left = set(range(len(text))) - {i for s, _, e in pii.base_spans(text) for i in range(s, e)}
+        assert re.sub(r"\[(PHONE|EMAIL|IP|CARD)\]", "", got[k][0]) == "".join(text[i] for i in sorted(left))
+
+
 # --- fingerprints -------------------------------------------------------------------------------------------------
 
 
