@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from lexmill.session import materialise, new_path
 
 SPACES = "\t\n\x0b\f\r "  # the white space that separates words: code points 9 to 13 and 32
+FEW = 50_000  # rows of a small table that may be broadcast, once counted
 
 
 def scratch(df: DataFrame, name: str) -> DataFrame:
@@ -29,6 +30,11 @@ def bucketed(rows: DataFrame, column: str, name: str) -> DataFrame:
     return spark.table(table)
 
 
+def few(table: DataFrame) -> DataFrame:
+    """A written table, to be broadcast where its rows are counted to be few; Spark chooses beyond."""
+    return F.broadcast(table) if table.count() <= FEW else table
+
+
 def chunk_of(row: str, size: int) -> Column:
     """Number of the chunk of `size` rows that a row of monotonically increasing id `row` is in; chunks don't cross partitions."""
     within = F.col(row).bitwiseAND(F.lit((1 << 33) - 1))
@@ -61,6 +67,22 @@ def numbered(df: DataFrame, order: list, name: str = "rank") -> DataFrame:
             .withColumn(name, F.col("_before") + within).drop("_part", "_before", "_at"))
 
 
+def numbered_within(df: DataFrame, group: str, order: list, name: str = "rank") -> DataFrame:
+    """Rows numbered from 0 within each `group` in `order`, rows that are equal there in the order they come. The sort is by ranges of
+    group and order together, so a group of any size is spread over tasks. Offsets have a row per group and partition it is in; they are
+    broadcast where they are counted to be few."""
+    spark = df.sparkSession
+    df = df.withColumn("_come", F.monotonically_increasing_id())
+    placed = df.repartitionByRange(partitions(spark), group, *order, "_come").sortWithinPartitions(group, *order, "_come")
+    placed = scratch(placed.drop("_come").withColumn("_at", F.monotonically_increasing_id()), "sorted")
+    part = F.shiftright("_at", 33)
+    counts = placed.groupBy(group, part.alias("_part")).agg(F.count("*").alias("_n"), F.min("_at").alias("_least"))
+    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(group, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_least")).alias("_shift"))
+    return (placed.withColumn("_part", part).join(few(scratch(offsets, "offsets")), [group, "_part"])
+            .withColumn(name, F.col("_at") + F.col("_shift")).drop("_part", "_shift", "_at"))
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(id, component) for each node of `edges` (a, b): component is the smallest node reachable.
 

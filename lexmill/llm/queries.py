@@ -5,26 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.llm import audit_queries  # noqa: F401 - registers its queries
 from lexmill.llm import chat, fingerprint, mixing, near_text, near_vectors, packing, pii, suffix_dedup, toxicity, url_filter
+from lexmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401 - read by the entry
 
-QUERIES, ORACLES = {}, {}
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
          ("block", "com/de/")]
 
 
-def query(name: str, sql: str | None = None):
-    def add(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return add
-
-
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
 def tokenizer_path() -> str:
     import public_tokenizers
 
