@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,13 @@ def bucketed(rows: DataFrame, column: str, name: str) -> DataFrame:
     return spark.table(table)
 
 
+def aside(docs: DataFrame, used: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """(`docs` with the columns that are not in `used` named by position, what gives a result all columns of `docs` under their names
+    again). So an operator's own columns meet no others, whatever those are called."""
+    inner = [c if c in used else f"_c{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*inner), lambda out: out.select(*[F.col(i).alias(c) for i, c in zip(inner, docs.columns, strict=True)])
+
+
 def few(table: DataFrame) -> DataFrame:
     """A written table, to be broadcast where its rows are counted to be few; Spark chooses beyond."""
     return F.broadcast(table) if table.count() <= FEW else table

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexmill.llm.common import numbered, scratch
+from lexmill.llm.common import aside, numbered, scratch
 
 BLOCK = 32
 SHARD = 1 << 20
@@ -67,15 +67,15 @@ def apportion(votes: DataFrame, block: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, key: str = "doc_id", weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2,
-        seed: int = 17, block: int = BLOCK, shard_words: int = SHARD) -> DataFrame:
+        seed: int = 17, block: int = BLOCK, shard_words: int = SHARD, also: tuple[str, ...] = ()) -> DataFrame:
     """(key, source, size, source_size, target, taken, epochs, first, length, second) per row of `docs` (key, text, source).
 
     `taken` words are `epochs` whole rounds of the document, `length` words from word `first` on (0-based) and, where the range of
     blocks goes round to the document's start, `second` words from word 0. Null text has size 0 and takes nothing; null
     is a source of its own, last in order; equal rows are taken each for itself; an empty table gives no rows. Equal inputs and
-    seeds give equal results, as nothing depends on where rows lie. Other columns of `docs` are not read.
+    seeds give equal results, as nothing depends on where rows lie. Columns named in `also` go along; others are not read.
     """
-    sizes = scratch(docs.select(key, "source", n_words(F.col("text")).alias("size")), "sizes")
+    sizes = scratch(docs.select(key, "source", n_words(F.col("text")).alias("size"), *also), "sizes")
     goal = scratch(targets(sizes, list(weights), share, most), "targets")
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("int")
     own = F.pmod(F.xxhash64(key, F.lit(seed)), F.col("shards"))
@@ -108,20 +108,22 @@ def mix(docs: DataFrame, key: str = "doc_id", weights: tuple[int, ...] = (5, 2,
     second = F.greatest(none, F.least(F.col("_end"), wrapped) - F.col("_start"))
     taken = taken.withColumns({"first": first, "length": length, "second": second})
     whole = F.col("epochs") * F.col("size")
-    return taken.select(key, "source", "size", "source_size", "target",
+    return taken.select(*also, key, "source", "size", "source_size", "target",
                         (whole + F.col("length") + F.col("second")).alias("taken"), "epochs", "first", "length", "second")
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` as the mix takes them: each whole round is a copy, a part is a row with those words and the white
-    space before them. Rows keep all their columns; `n_chars`, if there is one, is that of the new text. Documents of which
-    nothing is taken go, as do those without words. Documents are matched by (doc_id, source, size); equal ones are interchangeable."""
-    match = ["doc_id", "source", "_size", "_copy"]
-    same = Window.partitionBy("doc_id", "source", "_size").orderBy(F.xxhash64("text"))
-    rows = docs.withColumn("_size", n_words(F.col("text"))).withColumn("_copy", F.row_number().over(same))
-    taken = mix(docs, **options).where("taken > 0").withColumnRenamed("size", "_size")
-    taken = taken.withColumn("_copy", F.row_number().over(
-        Window.partitionBy("doc_id", "source", "_size").orderBy(F.col("taken").desc())))
+    space before them. Rows keep all their columns, whatever these are called; `n_chars`, if there is one, is that of the new text.
+    Documents of which nothing is taken go, as do those without words (null and empty texts). A row is told by (doc_id, source, size, hash of the
+    text); rows equal in these are interchangeable, and each is taken for itself. An empty table gives no rows."""
+    plain, back = aside(docs, ["doc_id", "source", "text", "n_chars"])
+    plain = plain.withColumn("_hash", F.xxhash64("text"))
+    match = ["doc_id", "source", "_size", "_hash", "_copy"]
+    same = Window.partitionBy(*match[:-1])
+    rows = plain.withColumn("_size", n_words(F.col("text"))).withColumn("_copy", F.row_number().over(same.orderBy("_hash")))
+    taken = mix(plain, also=("_hash",), **options).where("taken > 0").withColumnRenamed("size", "_size")
+    taken = taken.withColumn("_copy", F.row_number().over(same.orderBy(F.col("taken").desc())))
     taken = taken.select(*[F.col(c).alias(f"m{c}") for c in match], "epochs", "first", "length", "second")
     joined = rows.join(taken, [F.col(c).eqNullSafe(F.col(f"m{c}")) for c in match])
     words = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")  # each word with the white space before it
@@ -130,7 +132,5 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     copies = F.when(F.col("epochs") > 0, F.array_repeat("text", F.col("epochs").cast("int"))).otherwise(F.array().cast("array<string>"))
     texts = F.concat(copies, *[F.when(n > 0, F.array(part(at, n))).otherwise(F.array().cast("array<string>")) for at, n in (
         (F.col("first"), F.col("length")), (F.lit(0), F.col("second")))])
-    out = joined.withColumn("_text", F.explode(texts))
-    fields = [F.col("_text").alias("text") if c == "text" else F.length("_text").cast("long").alias(c) if c == "n_chars" else
-              F.col(c) for c in docs.columns]
-    return out.select(*fields)
+    out = joined.withColumn("_text", F.explode(texts)).withColumn("text", F.col("_text"))
+    return back(out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out)

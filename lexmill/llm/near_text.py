@@ -305,7 +305,8 @@ def _chunked(docs: DataFrame) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of `docs` without all but one of each component, with all their columns."""
+    """The rows of `docs` without all but one of each component, with all their columns, whatever these are called. Null and empty texts stay; of
+    ties the smallest key stays, of rows with one key any single one; an empty table gives no rows."""
     plain = [f"_c{i}" for i in range(len(docs.columns))]
     own = dict(zip(docs.columns, plain, strict=True))
     rows = _chunked(docs.select(*[F.col(c).alias(p) for c, p in own.items()]))

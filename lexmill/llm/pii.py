@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import scratch
+from lexmill.llm.common import aside, scratch
 
 KINDS = ["email", "ip", "card", "phone"]
 TRUST, SUPPORT, DIGITS = 0.8, 3.0, 4
@@ -39,7 +39,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOOKS, TOKEN, STRIP = re.compile(r"[0-9@]"), re.compile(r"\S*"), ".,;:!?()[]{}<>\"'`"
 WORDS, NUMBER = re.compile(r"\S+"), re.compile(r"[0-9().+-]+")
-NEAR = 120  # characters before and after that contexts are read from; longer words are read as far as that
+NEAR = 120  # characters before and after that contexts are looked for first, and twice as many each time they don't suffice
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -139,11 +139,21 @@ def _mark(*parts: str) -> int:
     return xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def _around(text: str, start: int, end: int) -> tuple[list[str], list[str]]:
+    """The last two words before `start` and the first one after `end`, whole however long they are."""
+    before, after, n = [], [], NEAR
+    while len(before) < 3 and n < 2 * max(NEAR, start):
+        before, n = WORDS.findall(text, max(0, start - n), start), 2 * n
+    n = NEAR
+    while len(after) < 2 and n < 2 * max(NEAR, len(text) - end):
+        after, n = WORDS.findall(text, end, end + n), 2 * n
+    return before[-2:], after[:1]
+
+
 def contexts(text: str, start: int, end: int) -> list[int]:
     """The two words before, and the word before with the word after, in lower case, as hashes. None at a text's start."""
-    before = WORDS.findall(text[max(0, start - NEAR):start].lower())
-    after = WORDS.findall(text[end:end + NEAR].lower())
-    out = [_mark("two", *before[-2:])] if len(before) > 1 else []
+    before, after = ([w.lower() for w in words] for words in _around(text, start, end))
+    out = [_mark("two", *before)] if len(before) > 1 else []
     return out + [_mark("one", before[-1], after[0])] if before and after else out
 
 
@@ -230,8 +240,10 @@ def personal_data(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def scrubbed(docs: DataFrame) -> DataFrame:
     """`docs` with each span replaced by its kind in brackets, of one that begins inside others the part that reaches
-    beyond them; `n_chars`, if there, is the new text's. Null text stays null. All columns and rows stay."""
-    rows = scratch(docs.withColumn("uid", F.monotonically_increasing_id()), "documents")
+    beyond them; `n_chars`, if there, is the new text's. Null text stays null, empty text empty. All columns, whatever their names, and all rows
+    stay; equal texts are changed alike; an empty table gives no rows."""
+    plain, back = aside(docs, ["text", "n_chars"])
+    rows = scratch(plain.withColumn("uid", F.monotonically_increasing_id()), "documents")
     spans = _spans(rows.select("text", "uid")).where(F.size("spans") > 0).select(F.col("uid").alias("_uid"), F.col("spans").alias("_spans"))
     joined = rows.join(scratch(spans, "spans"), F.col("uid") == F.col("_uid"), "left")
     cut = F.aggregate("_spans", F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out")),
@@ -240,10 +252,8 @@ def scrubbed(docs: DataFrame) -> DataFrame:
                               F.substr("text", (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int")),
                               F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))).alias("out"))),
                       lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr("text", (acc["at"] + 1).cast("int"))))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut)
-    out = joined.withColumn("text", text)
-    out = out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
-    return out.select(*docs.columns)
+    out = joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut))
+    return back(out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out)
 
 
 def span_text(text: str, spans: str) -> list[str]:

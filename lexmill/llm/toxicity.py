@@ -7,7 +7,7 @@ categories (FOLDS folds), as it will meet them on new texts; in use it sees thos
 Features are the words of the whole text, in lower case without marks at their ends, and their beginnings of PREFIXES characters.
 Those that occur in MIN_DOCS sampled texts and whose rates in the two classes differ by MIN_Z standard errors are kept, scaled by
 the logarithm of the rates' ratio, and weighted by logistic regression. The fit runs in one task, over the sample alone; scoring is one
-pass without a shuffle, the model (at most MOST_FEATURES features a category) going along.
+pass without a shuffle, the model (no more features than the bounded sample has) going along.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import scratch
+from lexmill.llm.common import aside, scratch
 
 PER_CLASS, FOLDS, SEED = 4000, 3, 5
-MIN_DOCS, MIN_Z, MOST_FEATURES = 5, 4.5, 50_000
+MIN_DOCS, MIN_Z = 5, 4.5
 PREFIXES = (4, 5, 6)
 STEPS, RIDGE = 300, 1e-3
 CACHED_WORDS = 500_000
@@ -65,10 +65,7 @@ def fit_linear(rows: np.ndarray, columns: np.ndarray, n: int, width: int, dense:
     with_any = np.bincount(columns, minlength=width)
     a, b, both = with_pos / pos, (with_any - with_pos) / neg, with_any / n
     z = (a - b) / np.sqrt(np.maximum(both * (1 - both), 1 / n) * (1 / pos + 1 / neg))
-    order = np.argsort(-np.abs(z), kind="stable")[:MOST_FEATURES]
-    use = np.zeros(width, bool)
-    use[order] = True
-    use &= (np.abs(z) >= MIN_Z) & (with_any >= MIN_DOCS)
+    use = (np.abs(z) >= MIN_Z) & (with_any >= MIN_DOCS)
     scale = np.where(use, np.log((with_pos + 1) / (pos + 2)) - np.log((with_any - with_pos + 1) / (neg + 2)), 0.0)
     at = use[columns]
     rows, columns = rows[at], (np.cumsum(use) - 1)[columns[at]]
@@ -221,6 +218,8 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of `docs` that the chain does not reject, with all their columns."""
-    model = train(docs, labels, CATEGORIES, key)
-    return score(docs, model, "toxic").where("NOT rejected").select(*docs.columns)
+    """The rows of `docs` that the chain does not reject, with all their columns, whatever these are called. Null and empty texts are judged
+    by the intercepts; equal texts share their fate; an empty table gives no rows; without both classes among the labels all rows stay."""
+    plain, back = aside(docs, [key, "text"])
+    model = train(plain, labels, CATEGORIES, key)
+    return back(score(plain, model, "toxic").where("NOT rejected"))
