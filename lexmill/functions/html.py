@@ -183,7 +183,7 @@ def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """
     if not columns:
         return df
-    always = F.monotonically_increasing_id() >= 0
+    always = F.spark_partition_id() >= 0
     return df.withColumns({name: F.when(always, column) for name, column in columns.items()})
 
 

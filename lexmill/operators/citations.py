@@ -41,9 +41,15 @@ def owned_rollup(records: DataFrame) -> DataFrame:
                     "affecting_laws_first_date"))
 
 
+def citation_changes(records: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Both rollup columns of the owners of cited laws, as a patch."""
+    return owned_rollup(records), ["affecting_laws_count", "affecting_laws_first_date"]
+
+
 def with_citation_rollup(records: DataFrame) -> DataFrame:
     """Records with both rollup columns set on the owners of cited laws."""
-    return patch(records, owned_rollup(records), "record_id", ["affecting_laws_count", "affecting_laws_first_date"])
+    changes, columns = citation_changes(records)
+    return patch(records, changes, "record_id", columns)
 
 
 def affecting_edges(records: DataFrame) -> DataFrame:

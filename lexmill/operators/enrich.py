@@ -12,17 +12,17 @@ from lexmill.functions.text import (all_matches, dense_length, let, normalise_se
 from lexmill.functions.urls import clean_url, part_after
 from lexmill.functions.votes import vote_counts_de
 from lexmill.operators.keyed import patch, pick_one, regroup
+from lexmill.sources.text_cache import TextCache, one_per_clean_url
 
 # --- texts by URL -------------------------------------------------------------------------------------------------
 
-def cached_texts(doc_texts: DataFrame) -> DataFrame:
-    """Text cache as a lookup: one row per cleaned URL, the smallest url first; empty texts count as missing."""
-    texts = doc_texts.select(clean_url("url").alias("clean_url"), F.col("url").alias("_url"),
-                             F.nullif("extracted_text", F.lit("")).alias("extracted_text"))
-    return pick_one(texts, "clean_url", "_url", ["extracted_text"])
+def cached_texts(doc_texts: DataFrame | TextCache) -> DataFrame:
+    """Text cache as a lookup: one row per cleaned URL, the smallest url first; empty texts count as missing. A stored cache is that already,
+    and its texts are not shuffled."""
+    return doc_texts.texts() if isinstance(doc_texts, TextCache) else one_per_clean_url(doc_texts)
 
 
-def with_text(df: DataFrame, url: str, doc_texts: DataFrame, name: str = "extracted_text",
+def with_text(df: DataFrame, url: str, doc_texts: DataFrame | TextCache, name: str = "extracted_text",
               derived: dict[str, Column] | None = None) -> DataFrame:
     """Adds the cached text of a URL column, NULL where there is none.
 
@@ -173,11 +173,15 @@ def with_votes(records: DataFrame, vote_texts: DataFrame) -> DataFrame:
     return patch(records, votes.select("record_id", *as_text), "record_id", VOTE_FIELDS)
 
 
-def with_topics(records: DataFrame, topics: DataFrame) -> DataFrame:
-    """`topics(law_id, topic_no, topic)`: the last topic naming a law becomes the type of its bill."""
+def topic_changes(records: DataFrame, topics: DataFrame) -> tuple[DataFrame, list[str]]:
+    """`topics(law_id, topic_no, topic)`: the last topic naming a law becomes the type of its bill; as a patch."""
     last = topics.groupBy("law_id").agg(F.max_by("topic", "topic_no").alias("bill_type"))
-    owned = last.join(_owner(records, "law_id"), "law_id").select("record_id", "bill_type")
-    return patch(records, owned, "record_id", ["bill_type"])
+    return last.join(_owner(records, "law_id"), "law_id").select("record_id", "bill_type"), ["bill_type"]
+
+
+def with_topics(records: DataFrame, topics: DataFrame) -> DataFrame:
+    changes, columns = topic_changes(records, topics)
+    return patch(records, changes, "record_id", columns)
 
 
 def mentions(texts: DataFrame, column: str) -> DataFrame:
@@ -188,10 +192,14 @@ def mentions(texts: DataFrame, column: str) -> DataFrame:
     return found.groupBy("bill_id").agg(F.count(F.lit(1)).alias("count"))
 
 
-def with_hearing_counts(records: DataFrame, meeting_texts: DataFrame, column: str) -> DataFrame:
+def hearing_changes(records: DataFrame, meeting_texts: DataFrame, column: str) -> tuple[DataFrame, list[str]]:
     owned = mentions(meeting_texts, column).join(_owner(records, "bill_id"), "bill_id")
-    return patch(records, owned.select("record_id", F.col("count").cast("int").alias("committee_hearing_count")),
-                 "record_id", ["committee_hearing_count"])
+    return owned.select("record_id", F.col("count").cast("int").alias("committee_hearing_count")), ["committee_hearing_count"]
+
+
+def with_hearing_counts(records: DataFrame, meeting_texts: DataFrame, column: str) -> DataFrame:
+    changes, columns = hearing_changes(records, meeting_texts, column)
+    return patch(records, changes, "record_id", columns)
 
 
 def by_url_suffix(links: DataFrame, documents: DataFrame, delimiter: str = "Fich=") -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def keep_first(df: DataFrame, key: str | list[str], order: str) -> DataFrame:
@@ -40,19 +41,42 @@ def work_list(df: DataFrame, have: str, missing: str) -> DataFrame:
     return df.where(F.col(have).isNotNull() & F.col(missing).isNull())
 
 
-def patch(df: DataFrame, changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def patch(df: DataFrame, changes: DataFrame, key: str, columns: list[str], hits: bool = False) -> DataFrame:
     """New snapshot with some columns of matching rows replaced; `changes` has one row per key.
 
-    A change to NULL is a change, hence the hit marker instead of `coalesce`.
+    A change to NULL is a change, hence the hit marker instead of `coalesce`. With `hits`, `changes` says so for each column (`_hit_<column>`), as
+    those of `fuse` do.
     """
-    marked = changes.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    marks = [F.col(f"_hit_{c}") for c in columns] if hits else [F.lit(True).alias(f"_hit_{c}") for c in columns]
+    marked = changes.select(key, *marks, *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = df.join(marked, key, "left")
-    out = [F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
+    out = [F.when(F.col(f"_hit_{c}"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
            for c in df.columns]
-    added = [F.col(f"_new_{c}").alias(c) for c in columns if c not in df.columns]
+    added = [F.when(F.col(f"_hit_{c}"), F.col(f"_new_{c}")).alias(c) for c in columns if c not in df.columns]
     return joined.select(*out, *added)
 
 
+def fuse(changes: list[tuple[DataFrame, list[str]]], key: str) -> tuple[DataFrame, list[str]]:
+    """Several patches as one, for one join in place of one each: (a row per key with its changed columns and `_hit_<column>`, all columns).
+    Patches must not read what others write; where two change a column of a row, the later one wins."""
+    types = {}
+    for df, columns in changes:
+        types |= {c: df.schema[c].dataType for c in columns}
+    columns, every = list(types), None
+    for n, (df, own) in enumerate(changes):
+        part = df.select(key, *[(F.struct(F.lit(n).alias("n"), F.col(c).cast(types[c]).alias("v")) if c in own else F.lit(None).cast(
+            T.StructType([T.StructField("n", T.IntegerType(), False), T.StructField("v", types[c])]))).alias(c) for c in columns])
+        every = part if every is None else every.unionByName(part)
+    last = every.groupBy(key).agg(*[F.max_by(c, f"{c}.n").alias(c) for c in columns])
+    return last.select(key, *[F.col(f"{c}.v").alias(c) for c in columns], *[F.col(c).isNotNull().alias(f"_hit_{c}") for c in columns]), columns
+
+
+def patch_all(df: DataFrame, changes: list[tuple[DataFrame, list[str]]], key: str) -> DataFrame:
+    """New snapshot after several patches, by one join."""
+    fused, columns = fuse(changes, key)
+    return patch(df, fused, key, columns, hits=True)
+
+
 def patch_where(df: DataFrame, condition: Column, changes: dict[str, Column]) -> DataFrame:
     """Patch whose new values come from the row itself: no join."""
     return df.withColumns({c: F.when(condition, v).otherwise(F.col(c)) for c, v in changes.items()})
@@ -76,7 +100,7 @@ def number_rows(df: DataFrame, url: str, digits: int = 3) -> DataFrame:
 
 
 def assign_record_ids(df: DataFrame, url: str, prefix: str, stored: int = 0) -> DataFrame:
-    """Ids continuing after the stored rows: prefix and at least five digits."""
+    """Ids continuing after the number `stored`: prefix and at least five digits."""
     numbered = number_rows(df, url)
     return numbered.withColumn("record_id", F.format_string(prefix + "%05d", F.col("n") + stored)).drop("n")
 

@@ -14,11 +14,13 @@ from lexmill.functions.html import Tree, attr
 from lexmill.functions.text import strip
 from lexmill.functions.urls import absolute_url
 from lexmill.operators import enrich
-from lexmill.operators.citations import with_citation_rollup
+from lexmill.operators.citations import citation_changes, with_citation_rollup
 from lexmill.operators.flatten import project
-from lexmill.operators.keyed import assign_record_ids, patch, regroup, unseen
+from lexmill.operators.idrange import IdRanges, high_water
+from lexmill.operators.keyed import assign_record_ids, patch, patch_all, regroup, unseen
 from lexmill.plans import france, germany, portugal, repair
 from lexmill.plans.common import one_per_url, pages_of, parsed
+from lexmill.plans.metrics import Counts, absent, observed
 from lexmill.schema import AMENDMENT, RECORD_FIELDS
 from lexmill.session import materialise
 
@@ -40,11 +42,17 @@ def new_pages(pages: DataFrame, stored: DataFrame) -> DataFrame:
     return unseen(pages.where(main), stored.select(F.col("bill_page_url").alias("url")), "url").unionByName(pages.where(~main))
 
 
-def numbered(found: DataFrame, stored: DataFrame, country: str) -> DataFrame:
-    """New records in the fixed columns, with ids that go on after those stored for the country."""
+def numbered(found: DataFrame, stored: DataFrame, country: str, ids: IdRanges | None = None, batch: str = "", counts: Counts | None = None) -> DataFrame:
+    """New records in the fixed columns, with ids above those stored for the country. With `ids` their range is reserved for `batch`, so that
+    ids of deleted records don't come back and batches at the same time don't meet."""
     plain = project(found, [c for c in RECORD_FIELDS if c != "record_id"], RECORD_FIELDS)
     plain = plain.select([F.col(c).cast(RECORD_FIELDS[c]).alias(c) for c in plain.columns])
-    return materialise(assign_record_ids(plain, "bill_page_url", PREFIXES[country], stored.count()).select(*RECORD_FIELDS), "records")
+    last = high_water(stored, PREFIXES[country])
+    if ids is not None or counts is not None:  # what is counted is run once
+        plain = materialise(observed(counts, "records", plain, absent("bill_id", "bill_text", "law_id")), "records")
+    if ids is not None:
+        last = ids.reserve(PREFIXES[country], batch, plain.count(), last) - 1
+    return materialise(assign_record_ids(plain, "bill_page_url", PREFIXES[country], last).select(*RECORD_FIELDS), "records")
 
 
 def with_modified_laws(records: DataFrame, cells: DataFrame) -> DataFrame:
@@ -97,31 +105,36 @@ def with_file_amendments(records: DataFrame, rows: DataFrame, members: DataFrame
     return patch(records, packed.withColumn("amendment_count", F.size("amendments")), "record_id", ["amendments", "amendment_count"])
 
 
-def portuguese(pages: DataFrame, doc_texts: DataFrame, topics: DataFrame, meetings: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Extraction with refilled amendments, citations, topics as bill types, mentions in meetings.
+def portuguese(pages: DataFrame, doc_texts: DataFrame, topics: DataFrame, meetings: DataFrame, stored: DataFrame | None = None,
+               ids: IdRanges | None = None, batch: str = "", counts: Counts | None = None) -> DataFrame:
+    """Extraction with refilled amendments, law pages that come after their bill's, citations, topics as bill types, mentions in meetings.
 
-    `topics(law_id, topic_no, topic)`, `meetings(text)`."""
+    `topics(law_id, topic_no, topic)`, `meetings(text)`. The last three don't read what each other writes: they are one patch."""
     stored = _stored(pages, stored, "PORTUGAL")
-    found = numbered(portugal.records(new_pages(pages, stored), doc_texts), stored, "PORTUGAL")
-    records = with_citation_rollup(stored.unionByName(found))
-    return enrich.with_hearing_counts(enrich.with_topics(records, topics), meetings, "text")
+    found = numbered(portugal.records(new_pages(pages, stored), doc_texts, counts), stored, "PORTUGAL", ids, batch, counts)
+    late = portugal.late_laws(stored, pages, doc_texts)
+    records = patch(stored, late, "record_id", portugal.LAW_COLUMNS).unionByName(found)
+    changes = [citation_changes(records), enrich.topic_changes(records, topics), enrich.hearing_changes(records, meetings, "text")]
+    return patch_all(records, changes, "record_id").select(*records.columns)
 
 
-def french(pages: DataFrame, doc_texts: DataFrame, members: DataFrame, amendment_rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+def french(pages: DataFrame, doc_texts: DataFrame, members: DataFrame, amendment_rows: DataFrame, stored: DataFrame | None = None,
+           ids: IdRanges | None = None, batch: str = "", counts: Counts | None = None) -> DataFrame:
     """Extraction, amendments from list pages (kinds `amendments`, `amendment`), then from files (pages of kind `amendment_page`),
     citations."""
     stored = _stored(pages, stored, "FRANCE")
-    found = numbered(france.records(new_pages(pages, stored), doc_texts, members), stored, "FRANCE")
+    found = numbered(france.records(new_pages(pages, stored), doc_texts, members, counts), stored, "FRANCE", ids, batch, counts)
     records = with_page_amendments(stored.unionByName(found), pages_of(pages, "FRANCE", "amendments"), pages_of(pages, "FRANCE", "amendment"))
     links = amendment_page_links(pages_of(pages, "FRANCE", "amendment_page"))
     return with_citation_rollup(with_file_amendments(materialise(records, "records"), amendment_rows, members, doc_texts, links))
 
 
-def german(pages: DataFrame, doc_texts: DataFrame, cells: DataFrame, vote_texts: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+def german(pages: DataFrame, doc_texts: DataFrame, cells: DataFrame, vote_texts: DataFrame, stored: DataFrame | None = None,
+           ids: IdRanges | None = None, batch: str = "", counts: Counts | None = None) -> DataFrame:
     """Extraction, laws from table documents, citations, amendment pages (kind `amendment`) with texts and houses, votes, debate
     sizes of stages."""
     stored = _stored(pages, stored, "GERMANY")
-    found = numbered(germany.records(new_pages(pages, stored), doc_texts), stored, "GERMANY")
+    found = numbered(germany.records(new_pages(pages, stored), doc_texts, counts), stored, "GERMANY", ids, batch, counts)
     records = with_citation_rollup(with_modified_laws(stored.unionByName(found), cells))
     own_pages = germany.amendment_page_fields(pages_of(pages, "GERMANY", "amendment"))
     records = enrich.merge_amendment_pages(records, own_pages, germany.AMENDMENT_PAGE_FIELDS)

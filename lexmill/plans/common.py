@@ -13,6 +13,7 @@ from lexmill.functions.html import computed, nearest_udf, with_tree
 from lexmill.functions.text import dense_length
 from lexmill.functions.urls import clean_url
 from lexmill.operators.enrich import cached_texts
+from lexmill.sources.text_cache import TextCache
 
 
 def pages_of(pages: DataFrame, country: str, kind: str) -> DataFrame:
@@ -57,15 +58,17 @@ def one_per_url(fields: DataFrame) -> DataFrame:
     return fields.groupBy("url").agg(row).select("url", "row.*")
 
 
-def attach_texts(df: DataFrame, key: str, doc_texts: DataFrame, single: dict[str, Column],
-                 many: dict[str, Column] | None = None, sizes: dict[str, Column] | None = None) -> DataFrame:
+def attach_texts(df: DataFrame, key: str, doc_texts: DataFrame | TextCache, single: dict[str, Column],
+                 many: dict[str, Column] | None = None, sizes: dict[str, Column] | None = None,
+                 parts: dict[str, tuple[Column, dict[str, Column]]] | None = None) -> DataFrame:
     """Cached texts for several URL columns of a table in one join and one grouping.
 
     `single` maps a new column to a URL, `many` to an array of URLs (giving an array of texts in the same order), `sizes` to an
     array of URLs of which only the texts' lengths without white space are wanted, summed: those are measured on the cache, and the
-    texts stay there. NULL where no text is found. Every row sends one request per URL and its own fields once; `key` is unique.
+    texts stay there. `parts` has a URL by name, with new columns that are read from its `extracted_text`: they leave the cache, the text does
+    not. NULL where no text is found. Every row sends one request per URL and its own fields once; `key` is unique.
     """
-    many, sizes = many or {}, sizes or {}
+    many, sizes, parts = many or {}, sizes or {}, parts or {}
     base = F.struct(*df.columns)
     nothing = F.lit(None).cast(df.select(base.alias("b")).schema["b"].dataType)
 
@@ -73,7 +76,7 @@ def attach_texts(df: DataFrame, key: str, doc_texts: DataFrame, single: dict[str
         return F.struct(F.lit(role).alias("role"), pos.cast("int").alias("pos"), clean_url(url).alias("clean_url"),
                         own.alias("own"))
 
-    alone = [request(name, F.lit(0), url, nothing) for name, url in single.items()]
+    alone = [request(name, F.lit(0), url, nothing) for name, url in [*single.items(), *((n, u) for n, (u, _) in parts.items())]]
     asked = [F.array(request("", F.lit(0), F.concat(F.lit("#own "), F.col(key)), base), *alone)]
     for name, urls in {**many, **sizes}.items():
         items = F.transform(urls, lambda u, i: request(name, i, u, nothing))
@@ -81,19 +84,27 @@ def attach_texts(df: DataFrame, key: str, doc_texts: DataFrame, single: dict[str
     rows = df.select(F.col(key), F.inline(F.concat(*asked)))
     spread = F.when(F.col("clean_url").isNull() | (F.col("clean_url") == ""), F.concat(F.lit("#none "), F.col(key)))
     keyed = rows.withColumn("clean_url", F.coalesce(spread, "clean_url"))
-    sized = F.col("role").isin(*sizes) if sizes else F.lit(False)
-    found = _requests(keyed, sized, cached_texts(doc_texts))
+    role = F.col("role")
+    found = _requests(keyed, role.isin(*sizes) if sizes else F.lit(False), cached_texts(doc_texts))
+    leaving = {}
+    for name, (_, columns) in parts.items():
+        leaving |= {c: F.when((role == name) & F.col("extracted_text").isNotNull(), value) for c, value in columns.items()}
+    # What is read from a text is fixed here, below the grouping's shuffle, and a text goes on only where it is asked for.
+    wanted = F.when(role.isin(*single, *many), F.col("extracted_text")) if single or many else F.lit(None).cast("string")
+    found = computed(found, leaving).withColumn("extracted_text", wanted)
     aggs = [F.max_by("own", F.col("own").isNotNull()).alias("own")]
-    aggs += [F.max(F.when(F.col("role") == n, F.col("extracted_text"))).alias(n) for n in single]
+    aggs += [F.max(F.when(role == n, F.col("extracted_text"))).alias(n) for n in single]
     for name in many:
-        item = F.when(F.col("role") == name, F.struct("pos", F.col("extracted_text").alias("t")))
+        item = F.when(role == name, F.struct("pos", F.col("extracted_text").alias("t")))
         aggs.append(F.transform(F.array_sort(F.collect_list(item)), lambda x: x.t).alias(name))
-    aggs += [F.sum(F.when(F.col("role") == n, F.col("size"))).alias(n) for n in sizes]
-    return found.groupBy(key).agg(*aggs).select("own.*", *single, *many, *sizes)
+    aggs += [F.sum(F.when(role == n, F.col("size"))).alias(n) for n in sizes]
+    read = [c for _, columns in parts.values() for c in columns]
+    aggs += [F.max(c).alias(c) for c in read]
+    return found.groupBy(key).agg(*aggs).select("own.*", *single, *many, *sizes, *read)
 
 
 def _requests(keyed: DataFrame, sized: Column, cache: DataFrame) -> DataFrame:
-    """Requests with the text, or, for those of sizes, with its size."""
+    """Requests with the text, or, for those of sizes, with its size, measured once per document."""
     measured = cache.select("clean_url", F.lit(None).cast("string").alias("extracted_text"), dense_length("extracted_text").alias("size"))
     whole = cache.withColumn("size", F.lit(None).cast("bigint"))
     return keyed.where(~sized).join(whole, "clean_url", "left").unionByName(keyed.where(sized).join(measured, "clean_url", "left"))

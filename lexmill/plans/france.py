@@ -19,6 +19,7 @@ from lexmill.operators.enrich import (affiliations, cached_texts, distinct_by_na
                                       stage_debate_sizes)
 from lexmill.operators.keyed import patch, regroup
 from lexmill.plans.common import attach_texts, lookup_steps, one_per_url, pages_of, parsed, staged
+from lexmill.plans.metrics import Counts, absent, observed
 
 T = Tree()
 HTTP = ("http",)
@@ -256,9 +257,12 @@ def status() -> Column:
             .when(F.col("withdrawn"), WITHDRAWN).otherwise(ONGOING))
 
 
-def records(pages: DataFrame, doc_texts: DataFrame, members: DataFrame) -> DataFrame:
+COUNTED = ["bill_title", "origin_type", "date_introduction"]  # fields whose absence a run counts
+
+
+def records(pages: DataFrame, doc_texts: DataFrame, members: DataFrame, counts: Counts | None = None) -> DataFrame:
     """One record per dossier from its main, one-page, law and votes pages."""
-    main = one_per_url(main_fields(pages_of(pages, "FRANCE", "main")))
+    main = one_per_url(observed(counts, "pages", main_fields(pages_of(pages, "FRANCE", "main")), absent(*COUNTED)))
     one_page = one_per_url(one_page_fields(pages_of(pages, "FRANCE", "one_page")))
     law = one_per_url(law_fields(pages_of(pages, "FRANCE", "law")))
     votes = one_per_url(vote_fields(pages_of(pages, "FRANCE", "votes")))

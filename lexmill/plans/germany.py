@@ -16,6 +16,7 @@ from lexmill.functions.urls import clean_url
 from lexmill.operators.enrich import cached_texts, with_amendment_stage_numbers, with_text
 from lexmill.operators.keyed import regroup
 from lexmill.plans.common import attach_texts, lookup_steps, one_per_url, pages_of, parsed, staged
+from lexmill.plans.metrics import Counts, absent, observed
 from lexmill.schema import AMENDMENT
 
 T = Tree()
@@ -263,20 +264,24 @@ def with_stage_debate_sizes(records_: DataFrame, doc_texts: DataFrame, key: str
             .withColumn("legislative_stages", F.coalesce("_stages", "legislative_stages")).drop("_stages"))
 
 
-def records(pages: DataFrame, doc_texts: DataFrame) -> DataFrame:
-    """One record per bill page, with sections of the cached document texts."""
-    main = one_per_url(main_fields(pages_of(pages, "GERMANY", "main")))
-    full = attach_texts(main, "url", doc_texts, {"full_text": F.col("bill_text_url"), "law_full": F.col("law_text_url")},
-                        sizes={"plenary_length": F.col("plenary_links")})
-    size = F.coalesce("plenary_length", F.lit(0).cast("bigint"))
+COUNTED = ["bill_id", "bill_title", "origin_type", "date_introduction", "bill_text_url"]  # fields whose absence a run counts
+
+
+def records(pages: DataFrame, doc_texts: DataFrame, counts: Counts | None = None) -> DataFrame:
+    """One record per bill page, with sections of the cached document texts; the whole texts stay in the cache."""
+    main = one_per_url(observed(counts, "pages", main_fields(pages_of(pages, "GERMANY", "main")), absent(*COUNTED)))
+    text = F.col("extracted_text")
+    bill = {**impact_columns(text), **bill_text_columns(text)}
+    full = attach_texts(main, "url", doc_texts, {}, sizes={"plenary_length": F.col("plenary_links")},
+                        parts={"bill": (F.col("bill_text_url"), bill), "law": (F.col("law_text_url"), law_columns(text))})
+    size, none = F.coalesce("plenary_length", F.lit(0).cast("bigint")), F.lit(0).cast("bigint")
     has_bill = F.col("bill_text_url").isNotNull()
-    impact = {n: F.when(has_bill, c) for n, c in impact_columns(F.col("full_text")).items()}
-    bill = {n: F.when(has_bill, c) for n, c in bill_text_columns(F.col("full_text")).items()}
-    law = {n: F.when(F.col("law_full").isNotNull(), c) for n, c in law_columns(F.col("law_full")).items()}
-    step = full.withColumns({**impact, **bill, **law, "plenary_size": F.when(F.col("plenary_links").isNotNull(), size),
+    # A size of a text that is not there is 0, as of a section that is not.
+    sizes = {c: F.when(has_bill, F.coalesce(c, none)) for c in ("bill_size", "ia_size1", "ia_size2")}
+    step = full.withColumns({**sizes, "plenary_size": F.when(F.col("plenary_links").isNotNull(), size),
                              "bill_page_url": F.col("url"), "country": F.lit("GERMANY")})
     some = F.col("ia_text1").isNotNull() | F.col("ia_text2").isNotNull()
     return step.withColumns({
         "ia_text_url": F.when(some, F.col("bill_page_url")),
         "ia_size1": F.when(some, F.col("ia_size1")), "ia_size2": F.when(some, F.col("ia_size2")),
-    }).drop("url", "plenary_links", "plenary_length", "full_text", "law_full")
+    }).drop("url", "plenary_links", "plenary_length")

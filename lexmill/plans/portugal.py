@@ -12,7 +12,9 @@ from lexmill.functions.labels import (EXPIRED, ONGOING, PASSED, PT_LAW_MENTION,
 from lexmill.functions.text import dense_length, let, once, strip
 from lexmill.functions.urls import PORTUGUESE_HOST
 from lexmill.functions.votes import PT_VOTE_MENTION, vote_parties
+from lexmill.operators.enrich import with_text
 from lexmill.plans.common import attach_texts, lookup_steps, one_per_url, pages_of, parsed, staged
+from lexmill.plans.metrics import Counts, absent, observed
 from lexmill.schema import AMENDMENT
 
 # Labels of the pages.
@@ -166,9 +168,12 @@ def law_variables(df: DataFrame) -> DataFrame:
     })
 
 
-def records(pages: DataFrame, doc_texts: DataFrame) -> DataFrame:
+COUNTED = ["bill_id", "bill_title", "origin_type", "date_introduction", "bill_text_url"]  # fields whose absence a run counts
+
+
+def records(pages: DataFrame, doc_texts: DataFrame, counts: Counts | None = None) -> DataFrame:
     """One record per bill page, with texts from the cache and the law page stored for its URL (kind `law`)."""
-    main = one_per_url(main_fields(pages_of(pages, "PORTUGAL", "main")))
+    main = one_per_url(observed(counts, "pages", main_fields(pages_of(pages, "PORTUGAL", "main")), absent(*COUNTED)))
     law = one_per_url(law_fields(pages_of(pages, "PORTUGAL", "law"))).withColumn("has_law", F.lit(True))
     both = main.join(law, "url", "left").withColumn("has_law", F.coalesce("has_law", F.lit(False)))
     full = attach_texts(both, "url", doc_texts, {
@@ -188,6 +193,22 @@ def records(pages: DataFrame, doc_texts: DataFrame) -> DataFrame:
     }).drop("url", "amendment_texts", "report_url", "law_page_url", "has_law")
 
 
+LAW_COLUMNS = ["law_id", "law_text_url", "law_text", "law_size", "modified_laws", "modified_laws_count", "original_law",
+               "date_entering_into_force", "bill_status"]
+
+
+def with_law(records_: DataFrame, laws: DataFrame, doc_texts: DataFrame) -> DataFrame:
+    """(record_id, LAW_COLUMNS): what law pages bring to stored records that have no law yet. `laws(url, law_id, law_text_url)`, one per URL; a
+    page may come long after its bill's."""
+    due = records_.where("law_id is null").select("record_id", F.col("bill_page_url").alias("url"), "date_passing", "bill_status")
+    found = due.join(laws, "url").withColumn("has_law", F.lit(True))
+    return law_variables(with_text(found, "law_text_url", doc_texts, "law_text")).select("record_id", *LAW_COLUMNS)
+
+
+def late_laws(records_: DataFrame, pages: DataFrame, doc_texts: DataFrame) -> DataFrame:
+    return with_law(records_, one_per_url(law_fields(pages_of(pages, "PORTUGAL", "law"))), doc_texts)
+
+
 def topic_laws(pages: DataFrame) -> DataFrame:
     """(law_id, topic_no, topic) from topic pages `(topic_no, topic, html)`."""
     links = T.find_all(name="a", string_re=PT_LAW_MENTION)

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["records", "texts", "html", "portugal", "france", "germany", "runs"]
+MODULES = ["records", "texts", "html", "portugal", "france", "germany", "runs", "upkeep"]
 
 
 def load() -> None:

@@ -268,17 +268,18 @@ def _(spark, d):
 AM_ID = "concat(l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey)"
 
 
-@query("X-FR16_amendment_pages", """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
+@query("X-FR16_amendment_pages", """WITH am AS (SELECT *, l_partkey + l_suppkey AS k FROM lineitem)
+    SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
     AS amendment_id, strftime(l_shipdate, '%Y-%m-%d') AS amendment_date, CASE l_returnflag WHEN 'A' THEN 'ACCEPTED' WHEN 'N'
-    THEN 'INADMISSIBLE' END AS amendment_outcome, CASE WHEN l_partkey % 2 = 0 THEN 'Lecture ' || (l_partkey % 4) END
-    AS amendment_stage_name, CASE WHEN l_partkey % 2 = 0 THEN 'Lois' END AS amendment_committee_name,
-    CASE WHEN l_partkey % 2 = 0 THEN 'Ann ' || l_partkey || ';Bo' END AS amendment_originator,
-    CASE WHEN l_partkey % 2 = 0 THEN 'Exposé' || chr(10) || 'Motif ' || l_partkey END AS amendment_text,
-    CASE WHEN l_partkey % 2 = 0 THEN CAST(length('ExposéMotif' || l_partkey) AS BIGINT) END AS amendment_text_size
-    FROM lineitem""")
+    THEN 'INADMISSIBLE' END AS amendment_outcome, 'Lecture ' || (p_partkey % 4) AS amendment_stage_name,
+    CASE WHEN p_partkey IS NOT NULL THEN 'Lois' END AS amendment_committee_name,
+    'Ann ' || p_partkey || ';Bo' AS amendment_originator, 'Exposé' || chr(10) || 'Motif ' || p_partkey AS amendment_text,
+    CAST(length('ExposéMotif' || p_partkey) AS BIGINT) AS amendment_text_size
+    FROM am LEFT JOIN part ON p_partkey = k""")
 def _(spark, d):
+    # A row links to the page of part key plus supplier key, which for the last parts is none.
     lists = rows(spark, d, ["l_orderkey AS url", f"""concat('<table><tbody id="tbody-amendements-list"><tr data-href="/d/',
-      l_partkey, '"><td>1</td><td> ', {AM_ID}, '\\n</td><td/><td/><td/><td>', case l_returnflag when 'A' then 'Adopté'
+      l_partkey + l_suppkey, '"><td>1</td><td> ', {AM_ID}, '\n</td><td/><td/><td/><td>', case l_returnflag when 'A' then 'Adopté'
       when 'N' then 'Irrecevable' else 'Autre' end, '</td><td></td><td>', {fr_day('l_shipdate')},
       '</td></tr></tbody></table>') AS html"""], "lineitem")
     details = rows(spark, d, ["concat('https://www.assemblee-nationale.fr/d/', p_partkey) AS url", """concat(
@@ -286,7 +287,7 @@ def _(spark, d):
       p_partkey % 4, '</span><p><b>Examiné par</b><span>Lois</span></p></div><div class="acteur-list-embed"><ul><li> Ann ',
       p_partkey, '</li><li>Bo </li></ul></div><div><div class="amendement-section-body">eins</div></div>',
       '<section><h4>Exposé</h4>\\n<div class="b amendement-section-body">Motif ', p_partkey, '</div></section>') AS html""",
-      "p_partkey"], "part").where("p_partkey % 2 = 0")
+      "p_partkey"], "part")
     return P.page_amendments(lists, details.select("url", "html")).select(
         "amendment_id", "amendment_date", "amendment_outcome", "amendment_stage_name", "amendment_committee_name",
         joined("amendment_originator").alias("amendment_originator"), "amendment_text", "amendment_text_size")
