@@ -295,7 +295,7 @@ _TR = """concat('<tr data-href="/d/', r_regionkey, '"><td>1</td><td> L', r_regio
     'https://www.assemblee-nationale.fr/v/' || o_orderkey || '.pdf' AS x FROM amendment_rows JOIN own ON title = replace(bill_title, 'Projet', 'Titre é')
     JOIN orders ON "URL Amendement" = 'https://am.example.org/' || o_orderkey) GROUP BY 1)
   SELECT record_id, bill_title, origin_type, '' || coalesce(n, amendment_count) AS amendment_count, '' || stages_count AS stages_count,
-    CASE WHEN amendment_count IS NOT NULL THEN (SELECT x FROM listed) ELSE got.x END AS t_amendments, {_sorted('originators')} AS t_originators
+    CASE WHEN amendment_count IS NOT NULL THEN (SELECT x FROM listed) ELSE got.x END AS t_amendments
   FROM rec LEFT JOIN got USING (record_id)""")
 def _(spark, d):
     """With list pages, the pages of their amendments, and the own pages of amendments from files."""
@@ -317,12 +317,8 @@ def _(spark, d):
     read = {n: sinks.read_table(spark, p, EXPORT_COLUMNS[n]) for n, p in paths.items()}
     amendment = F.concat_ws("/", *[F.coalesce(c, F.lit("-")) for c in (
         "amendment_id", "amendment_outcome", "amendment_committee_name", "amendment_text_url")])
-    said = {"amendments": amendment, "originators": F.concat_ws("=", "originator_name", "originator_affiliation")}
-    out = read["bill_main_table"].select("record_id", *_FR_MAIN)
-    for name, value in said.items():
-        out = out.join(read[name].groupBy("record_id").agg(F.array_join(F.array_sort(F.collect_list(value)), ";").alias(f"t_{name}")),
-                       "record_id", "left")
-    return out
+    items = read["amendments"].groupBy("record_id").agg(F.array_join(F.array_sort(F.collect_list(amendment)), ";").alias("t_amendments"))
+    return read["bill_main_table"].select("record_id", *_FR_MAIN).join(items, "record_id", "left")
 
 
 # --- counts of a run ----------------------------------------------------------------------------------------------
