@@ -56,5 +56,5 @@ def test_an_empty_corpus(spark, documents):
 def test_entry_registers_each_operator_once():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13 and "pipeline" in names
     assert os.path.basename(corpus_pipeline.__file__) == "corpus_pipeline.py" and 4 <= len(corpus_pipeline.STAGES) <= 5
