@@ -120,10 +120,11 @@ def portuguese(pages: DataFrame, doc_texts: DataFrame, topics: DataFrame, meetin
 
 def french(pages: DataFrame, doc_texts: DataFrame, members: DataFrame, amendment_rows: DataFrame, stored: DataFrame | None = None,
            ids: IdRanges | None = None, batch: str = "", counts: Counts | None = None) -> DataFrame:
-    """Extraction, amendments from list pages (kinds `amendments`, `amendment`), then from files (pages of kind `amendment_page`),
+    """Extraction, law and vote pages that come after their dossier, amendments from list pages (kinds `amendments`, `amendment`), then from files (pages of kind `amendment_page`),
     citations."""
     stored = _stored(pages, stored, "FRANCE")
     found = numbered(france.records(new_pages(pages, stored), doc_texts, members, counts), stored, "FRANCE", ids, batch, counts)
+    stored = patch_all(stored, france.late_pages(stored, pages), "record_id").select(*stored.columns)
     records = with_page_amendments(stored.unionByName(found), pages_of(pages, "FRANCE", "amendments"), pages_of(pages, "FRANCE", "amendment"))
     links = amendment_page_links(pages_of(pages, "FRANCE", "amendment_page"))
     return with_citation_rollup(with_file_amendments(materialise(records, "records"), amendment_rows, members, doc_texts, links))

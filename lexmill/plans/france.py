@@ -173,6 +173,20 @@ def vote_fields(pages: DataFrame) -> DataFrame:
         "url", "page_hash", *[c.cast("string").alias(n) for n, c in vote_counts_fr("t").items()])
 
 
+LAW_COLUMNS = ["law_text", "law_text_footer", "law_size", "modified_laws", "modified_laws_count", "original_law"]
+VOTE_COLUMNS = ["final_vote_for", "final_vote_against", "final_vote_abst"]
+
+
+def late_pages(records_: DataFrame, pages: DataFrame) -> list[tuple[DataFrame, list[str]]]:
+    """What law and vote pages that were stored after their dossier bring to records without them, as two patches."""
+    def late(fields: DataFrame, lacking: str, columns: list[str]) -> tuple[DataFrame, list[str]]:
+        due = records_.where(lacking).select("record_id", F.col("bill_page_url").alias("url"))
+        return due.join(one_per_url(fields), "url").select("record_id", *columns), columns
+
+    return [late(law_fields(pages_of(pages, "FRANCE", "law")), "law_text is null", LAW_COLUMNS),
+            late(vote_fields(pages_of(pages, "FRANCE", "votes")), " and ".join(f"{c} is null" for c in VOTE_COLUMNS), VOTE_COLUMNS)]
+
+
 def bill_text_fields(pages: DataFrame) -> DataFrame:
     """Text of the page a bill text link leads to, or the link to its PDF."""
     link = F.coalesce(T.find(name="a", string_re="Version PDF"), T.find(name="a", href_re=".pdf"))

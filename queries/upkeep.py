@@ -205,6 +205,21 @@ def _(spark, d):
         "original_law")
 
 
+@query("FR_run_late_pages", with_sql(_rec("FR", france.SEL, france.FIELDS, where=f"WHERE {france.KEPT}")) + f"""
+  SELECT record_id, url, CASE WHEN prom THEN '2009-' || k END AS modified_laws, CASE WHEN prom THEN 1 END AS modified_laws_count, CASE WHEN prom THEN
+    false END AS original_law, CASE WHEN prom THEN '' || k END AS final_vote_for, CASE WHEN prom THEN '3' END AS final_vote_against
+  FROM (SELECT record_id, url, o_custkey AS k, {france.PROM} AS prom FROM rec JOIN orders ON CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) =
+    o_orderkey)""")
+def _(spark, d):
+    """A run over dossiers without their law and vote pages, then one over everything."""
+    pages, texts, people = france.pages(spark, d), france.pdf_texts(spark, d), members(spark, d)
+    rows = amendment_rows(spark, d).where("false")
+    first = materialise(collect.french(pages.where("kind not in ('law', 'votes')"), texts, people, rows), "records")
+    return collect.french(pages, texts, people, rows, first).select(
+        "record_id", F.col("bill_page_url").alias("url"), joined("modified_laws").alias("modified_laws"), "modified_laws_count", "original_law",
+        "final_vote_for", "final_vote_against")
+
+
 # --- exports of runs ----------------------------------------------------------------------------------------------
 
 def _sorted(sql: str) -> str:
