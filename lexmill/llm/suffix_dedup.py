@@ -32,6 +32,7 @@ SPAN, MARK = 50, 24
 SIDE = SPAN - MARK  # bytes around a mark that spans with it can reach
 AROUND = SPAN + SIDE
 CHUNK, BATCHES = 1000, 4
+BLOCK = 1024  # surroundings hashed at a time
 FIRST, SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 NO_KEY = (1 << 63) - 1
 MARK_BITS = np.uint64(8)  # dropped of 64
@@ -226,15 +227,30 @@ class SuffixIndex:
         self.levels = []
 
 
+def _order(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, new): an order in which equal pairs lie together, and where a pair begins. One sort does unless two pairs share just x."""
+    order = np.argsort(x)
+    apart, other = x[order][1:] != x[order][:-1], y[order][1:] != y[order][:-1]
+    if (other & ~apart).any():
+        order = np.lexsort((y, x))
+        apart, other = x[order][1:] != x[order][:-1], y[order][1:] != y[order][:-1]
+    new = np.ones(len(x), bool)
+    new[1:] = apart | other
+    return order, new
+
+
 def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First index of each distinct row, and each row's number among them, by 128 bits of hash."""
-    powers = np.array([[pow(int(base), i + 1, 1 << 64) for base in (FIRST, SECOND)] for i in range(rows.shape[1])], np.uint64)
-    x, y = (np.concatenate([(rows[at:at + 4096].astype(np.uint64) + np.uint64(1)) @ powers[:, i] for at in range(0, len(rows), 4096)])
-            for i in (0, 1))
-    order = np.lexsort((y, x))
-    new = np.ones(len(rows), bool)
-    new[1:] = (x[order][1:] != x[order][:-1]) | (y[order][1:] != y[order][:-1])
-    number = np.empty(len(rows), np.int64)
+    """First index of each distinct row, and each row's number among them, by 128 bits of hash over words of eight bytes."""
+    n, width = rows.shape
+    padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
+    padded[:, :width] = rows
+    words = padded.view(np.uint64)
+    x, y = np.zeros(n, np.uint64), np.full(n, SECOND, np.uint64)
+    for k in range(words.shape[1]):
+        word = words[:, k]
+        x, y = _mix((x ^ word) * FIRST + SECOND), _mix((y + word) * SECOND ^ (y >> np.uint64(32)))
+    order, new = _order(x, y)
+    number = np.empty(n, np.int64)
     number[order] = np.cumsum(new) - 1
     return order[new], number
 
@@ -282,25 +298,39 @@ def _ask(texts: DataFrame, notes: DataFrame, n: int) -> DataFrame:
         ask, "slot long, chunk long, numbers binary, ids binary, around binary")
 
 
+def _masks(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each surrounding and its document's id, which of its spans start in a document with a smaller id, as bits.
+
+    Equal surroundings, which chunks send each for itself, are taken once, with their smallest id: whoever has a larger one finds all the
+    spans in that document. So spans are told apart for distinct surroundings only."""
+    first, number = _distinct(rows)  # one row per distinct surrounding; any of them will do
+    least_id = np.full(len(first), NO_KEY, np.int64)
+    np.minimum.at(least_id, number, ids)
+    own = rows[first]
+    left, right = own[:, -2].astype(int)[:, None], own[:, -1].astype(int)[:, None]
+    offset = np.arange(SIDE + 1)
+    there = (offset >= SIDE - left) & (offset <= right)  # spans inside the document
+    row, at = np.nonzero(there)
+    x, y = (np.concatenate([_rolled(own[b:b + BLOCK, :AROUND], SPAN, base)[there[b:b + BLOCK]] for b in range(0, len(own), BLOCK)] or [
+        np.zeros(0, np.uint64)]) for base in (FIRST, SECOND))  # in blocks that stay in a core's cache
+    order, new = _order(x, y)
+    row, at = row[order], at[order]
+    starts = np.flatnonzero(new)
+    least = np.minimum.reduceat(least_id[row], starts)[np.cumsum(new) - 1] if len(starts) else least_id[row]
+    hit = least < least_id[row]
+    some = np.zeros(len(own), np.uint32)
+    np.bitwise_or.at(some, row[hit], np.uint32(1) << at[hit].astype(np.uint32))
+    every = there.astype(np.uint32) @ (np.uint32(1) << offset.astype(np.uint32))
+    return np.where(ids > least_id[number], every[number], some[number]).astype(np.uint32)
+
+
 def _answer(asked: DataFrame) -> DataFrame:
     """(chunk, numbers, masks): which of the spans about each surrounding start in a document with a smaller id."""
     def answer(table):
         numbers = [np.frombuffer(b, np.uint32) for b in table.column("numbers").to_pylist()]
         ids = np.concatenate([np.frombuffer(b, np.int64) for b in table.column("ids").to_pylist()])
         rows = np.frombuffer(b"".join(table.column("around").to_pylist()), np.uint8).reshape(-1, AROUND + 2)
-        left, right = rows[:, -2].astype(int)[:, None], rows[:, -1].astype(int)[:, None]
-        offset = np.arange(SIDE + 1)
-        there = (offset >= SIDE - left) & (offset <= right)  # spans inside the document
-        row, at = np.nonzero(there)
-        x, y = (_rolled(rows[:, :AROUND], SPAN, base)[there] for base in (FIRST, SECOND))
-        order = np.lexsort((ids[row], y, x))
-        x, y, row, at = x[order], y[order], row[order], at[order]
-        new = np.ones(len(x), bool)
-        new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-        least = ids[row[new]][np.cumsum(new) - 1]
-        hit = least < ids[row]
-        masks = np.zeros(len(rows), np.uint32)
-        np.bitwise_or.at(masks, row[hit], (np.uint32(1) << at[hit].astype(np.uint32)))
+        masks = _masks(rows, ids)
         ends = np.cumsum([0, *map(len, numbers)])
         some = [masks[ends[i]:ends[i + 1]] for i in range(len(numbers))]
         return pa.table({"chunk": table.column("chunk"), "numbers": pa.array([k[s > 0].tobytes() for k, s in zip(numbers, some, strict=True)], pa.binary()),
