@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import scratch
+from lexmill.llm.common import partitions, scratch
 
 ORDER = 4
 HELD_OUT = 5
@@ -113,6 +113,8 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], key: str = "page_
     urls = pages.groupBy("url").agg(F.count("*").alias("n")).withColumns({"host": host, "path": path})
     rule, said = rule_columns(F.col("host"), F.col("path"), rules)
     urls = urls.withColumns({"rule": rule, "said": said})
+    # Dealt out before they are written: few distinct URLs would else lie in one file, and all their characters in one task.
+    urls = urls.repartition(partitions(pages.sparkSession), "url")
     urls = scratch(urls.withColumn("uid", F.monotonically_increasing_id()), "urls")
     accepted, rejected = (F.when(F.col("said") == v, F.col("n")).otherwise(0) for v in ("allow", "block"))
     held = F.pmod(F.xxhash64("url"), F.lit(HELD_OUT)) == 0
