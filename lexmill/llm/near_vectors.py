@@ -1,11 +1,13 @@
 """Embedding near-dedup by a pivot-permutation index.
 
 Pivots are reference vectors, spread by farthest-first choice over a bounded sample (SAMPLE vectors, the smallest hashes), and
-no two of them have a cosine above APART: a group of near copies holds one at most, for the order of pivots inside a group would be
-noise. Where few vectors of the sample are so far apart, there are few pivots and long lists. Every vector is described by its NEAREST pivots in order of distance. Vectors at a small angle see the pivots in nearly the same order, so
-candidates are pairs that share SHARED of them. They are retrieved through inverted pivot lists: two sets with SHARED in common
-share one within their first NEAREST - SHARED + 1 pivots by number, so only those postings are kept, and a pair is
-looked at in the list of its first common pivot alone. Every candidate is verified by cosine in double precision.
+no two of them are nearer than twice the angle of a link: a group of near copies holds one at most, for the order of pivots inside a
+group would be noise. Every vector is described by its nearest pivots in order of distance, as seen from the sample's mean: embeddings of one
+model often share a direction, and what they share tells no two apart. Vectors at a small angle see the pivots in nearly the same
+order, so candidates are pairs that share some of them. How many are nearest and shared is the first of RULES that all but MISSED of
+trial pairs meet, made from sampled vectors and copies turned by the angle of a link. Candidates are retrieved through inverted pivot
+lists: two sets of `nearest` with `shared` in common share one within their first nearest - shared + 1 pivots by number, so only
+those postings are kept, and a pair is looked at in the list of its first common pivot alone. Every candidate is verified by cosine of the vectors themselves in double precision.
 
 Lists are cut into blocks whose pairs are tasks of their own, and a task returns a row per vector that has a link there: a list
 of any length, or a group of copies of any size, is spread out, and no row per pair is written.
@@ -14,6 +16,7 @@ of any length, or a group of copies of any size, is spread out, and no row per p
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +28,20 @@ from lexmill.llm.near_text import least_reached
 
 THRESHOLD = 0.98
 SAMPLE, MOST_PIVOTS = 4096, 4096
-NEAREST, SHARED = 10, 4
-APART = 0.7
+RULES = [(10, 4), (16, 6), (16, 5), (16, 4), (16, 3), (16, 2), (16, 1)]  # (nearest, shared), the fewest postings and candidates first
+TRIALS, MISSED = 1024, 0.005
 BLOCK = 1024
 
 
+class Index(NamedTuple):
+    """What is fitted on the sample for one dimension: its mean, the pivots seen from there, and one of RULES."""
+
+    mean: np.ndarray
+    pivots: np.ndarray
+    nearest: int
+    shared: int
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
     """Rows of length 1, in double precision; scaled first, so that no square overflows."""
     x = vectors.astype(np.float64)
@@ -42,28 +54,63 @@ def n_pivots(n: int) -> int:
     return max(16, min(MOST_PIVOTS, 2 * math.isqrt(n)))
 
 
-def spread_out(sample: np.ndarray, n: int) -> np.ndarray:
-    """Up to n rows of `sample`, each the farthest from those before it, as long as that one's cosine with them is APART at most."""
+def spread_out(sample: np.ndarray, n: int, apart: float) -> np.ndarray:
+    """Up to n rows of `sample`, each the farthest from those before it, as long as that one's cosine with them is `apart` at most."""
     chosen, nearest = [0], sample @ sample[0]
     while len(chosen) < min(n, len(sample)):
         i = int(nearest.argmin())
-        if nearest[i] > APART:
+        if nearest[i] > apart:
             break
         chosen.append(i)
         nearest = np.maximum(nearest, sample @ sample[i])
     return sample[chosen]
 
 
-def pivots(classes: DataFrame, n: int) -> dict[int, np.ndarray]:
-    """Pivots by dimension. The sample, SAMPLE vectors at most, is all that reaches the driver."""
+def seen_from(mean: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Directions of unit vectors x from `mean`; one that lies there has none, so all pivots are equally far."""
+    y = x - mean
+    length = np.sqrt((y * y).sum(1, keepdims=True))
+    return y / np.where(length > 0, length, 1)
+
+
+def nearest_pivots(x: np.ndarray, mean: np.ndarray, reference: np.ndarray, n: int) -> np.ndarray:
+    """Numbers of the n nearest pivots (or all) of unit vectors x, nearest first, of equally near ones the smaller number."""
+    return np.argsort(-(seen_from(mean, x) @ reference.T), axis=1, kind="stable")[:, :n]
+
+
+def turned(x: np.ndarray, cosine: float) -> np.ndarray:
+    """Unit vectors at that cosine with those of x, in seeded directions; in one dimension x itself."""
+    z = np.random.default_rng(11).normal(size=x.shape)
+    z -= (z * x).sum(1, keepdims=True) * x
+    length = np.sqrt((z * z).sum(1, keepdims=True))
+    side = np.where(length > 1e-9, z / np.where(length > 1e-9, length, 1), 0)
+    return unit(cosine * x + math.sqrt(1 - cosine * cosine) * side)
+
+
+def fit(sample: np.ndarray, n: int, threshold: float) -> Index:
+    """Index of up to n pivots over the unit vectors of `sample`."""
+    mean = sample.mean(0)
+    chosen = seen_from(mean, spread_out(sample, n, 2 * threshold * threshold - 1))
+    trial = sample[:TRIALS]
+    a, b = (nearest_pivots(x, mean, chosen, RULES[-1][0]) for x in (trial, turned(trial, threshold)))
+    for nearest, shared in RULES:
+        nearest, shared = min(nearest, len(chosen)), min(shared, len(chosen))
+        common = (a[:, :nearest, None] == b[:, None, :nearest]).sum((1, 2))
+        if (common < shared).mean() <= MISSED:
+            break
+    return Index(mean, chosen, nearest, shared)
+
+
+def indexes(classes: DataFrame, n: int, threshold: float) -> dict[int, Index]:
+    """Index by dimension. The sample, SAMPLE vectors at most, is all that reaches the driver."""
     rows = classes.select("embedding").orderBy(F.xxhash64("uid", F.lit(3)), "uid").limit(SAMPLE).collect()
     sized: dict[int, list] = {}
     for r in rows:
         sized.setdefault(len(r.embedding), []).append(r.embedding)
-    return {k: spread_out(unit(np.array(v)), n) for k, v in sized.items()}
+    return {k: fit(unit(np.array(v)), n, threshold) for k, v in sized.items()}
 
 
-def _postings(classes: DataFrame, reference: dict[int, np.ndarray]) -> DataFrame:
+def _postings(classes: DataFrame, fitted: dict[int, Index]) -> DataFrame:
     """(list, pivot, uid, n, nearest, embedding): one row per kept posting. Dimensions that the sample lacks have one list."""
     kind = classes.schema["embedding"].dataType.simpleString()
 
@@ -74,13 +121,12 @@ def _postings(classes: DataFrame, reference: dict[int, np.ndarray]) -> DataFrame
             row, pivot, nearest = [], [], []
             for k in np.unique(size):
                 at = np.flatnonzero(size == k)
-                if k not in reference:
+                if k not in fitted:
                     row.extend(at), pivot.extend([-1] * len(at)), nearest.extend([[-1]] * len(at))
                     continue
                 x = unit(np.array(vectors.take(pa.array(at)).flatten()).reshape(-1, k))
-                m = min(NEAREST, len(reference[k]))
-                order = np.argsort(-(x @ reference[k].T), axis=1, kind="stable")[:, :m]
-                kept = np.sort(order, 1)[:, :max(1, m - SHARED + 1)]
+                order = nearest_pivots(x, fitted[k].mean, fitted[k].pivots, fitted[k].nearest)
+                kept = np.sort(order, 1)[:, :order.shape[1] - fitted[k].shared + 1]
                 row.extend(np.repeat(at, kept.shape[1])), pivot.extend(kept.ravel())
                 nearest.extend(order.repeat(kept.shape[1], 0).tolist())
             row = np.array(row, np.int64)
@@ -95,7 +141,7 @@ def _postings(classes: DataFrame, reference: dict[int, np.ndarray]) -> DataFrame
         work, f"list string, pivot long, uid long, n long, nearest array<long>, embedding {kind}")
 
 
-def _links(postings: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+def _links(postings: DataFrame, sizes: DataFrame, threshold: float, shared: dict[int, int]) -> DataFrame:
     """(a, links, b): per class with a link in a pair of blocks, the vectors it is linked with and the least class reached."""
     rows = block_pairs(postings.join(sizes, "list"), "list", "size", "uid", BLOCK)
     rows = rows.repartition(partitions(rows.sparkSession), "list", "b1", "b2").sortWithinPartitions("list", "b1", "b2")
@@ -116,7 +162,7 @@ def _links(postings: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame
                 a = np.arange(hi - lo) if one[lo] else np.flatnonzero(own[lo:hi])
                 b = a if one[lo] else np.flatnonzero(~own[lo:hi])
                 before = pivot[lo] + 1
-                candidate = held[a] @ held[b].T >= min(SHARED, seen.shape[1])  # shared-pivot counts
+                candidate = held[a] @ held[b].T >= shared.get(x.shape[1], 1)  # shared-pivot counts
                 candidate &= held[a][:, :before] @ held[b][:, :before].T == 0  # this list's pivot is the first in common
                 linked = candidate & (x[a] @ x[b].T >= threshold)
                 i, j = np.nonzero(np.triu(linked, 1) if one[lo] else linked)
@@ -151,9 +197,10 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", threshold: float = THR
     classes = scratch(classes, "classes")
     whole = scratch(classes.select("uid", "n").join(rows.select("uid", "label", "embedding"), "uid"), "vectors")
     total = whole.count()
-    postings = scratch(_postings(whole, pivots(whole, n_pivots(total))), "postings")
+    fitted = indexes(whole, n_pivots(total), threshold)
+    postings = scratch(_postings(whole, fitted), "postings")
     sizes = scratch(postings.groupBy("list").agg(F.count("*").alias("size")).where("size > 1"), "lists")
-    found = scratch(_links(postings, sizes, threshold), "found")
+    found = scratch(_links(postings, sizes, threshold, {k: f.shared for k, f in fitted.items()}), "found")
     links = found.groupBy(F.col("a").alias("uid")).agg(F.sum("links").alias("links"))
     joined = components(found.select("a", "b")).withColumnRenamed("id", "uid")
     each = classes.join(links, "uid", "left").join(joined, "uid", "left").withColumn("component", F.coalesce("component", "uid"))

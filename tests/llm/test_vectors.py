@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 
 import numpy as np
@@ -90,5 +91,28 @@ def test_a_third_of_the_rows_in_one_group_and_the_whole_sample_for_pivots(spark,
     assert all(got[k][0] <= want[k][0] for k in got)
 
 
+@pytest.mark.parametrize("common", [0.0, 0.8, 0.9, 0.95])
+@pytest.mark.parametrize("size", [16, 64])
+def test_pivots_of_vectors_with_a_common_direction(common, size):
+    """Recall of planted pairs, and the share of all pairs that the shared pivots make candidates, off the centre and in it. At 0.95 most pairs are nearly links."""
+    r = np.random.default_rng(7)
+    x = near_vectors.unit(r.normal(size=(2000, size)))
+    x = math.sqrt(1 - common) * x
+    x[:, 0] += math.sqrt(common)
+    x = near_vectors.unit(x)
+    z = near_vectors.unit(r.normal(size=x.shape))
+    z = near_vectors.unit(z - (z * x).sum(1, keepdims=True) * x)
+    y = 0.9805 * x + math.sqrt(1 - 0.9805 ** 2) * z
+    vectors = np.concatenate([x, y])
+    index = near_vectors.fit(vectors[r.permutation(len(vectors))], near_vectors.n_pivots(len(vectors)), near_vectors.THRESHOLD)
+    seen = near_vectors.nearest_pivots(vectors, index.mean, index.pivots, index.nearest)
+    held = np.zeros((len(vectors), len(index.pivots)), np.float32)
+    held[np.arange(len(vectors))[:, None], seen] = 1
+    candidate = held @ held.T >= index.shared
+    assert candidate[np.arange(2000), np.arange(2000, 4000)].mean() >= 0.99
+    if common < 0.95:
+        assert candidate.mean() <= 0.1
+
+
 def test_an_empty_table(spark):
     assert run(spark, []) == {}
