@@ -54,7 +54,28 @@ def op3_source_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-@query("op4_suffix_array_dedup")
+_OP4_SQL = """
+WITH docs AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+chunk_numbers AS (SELECT k, doc_id, h, unnest(range(0, (length(h) // 2 + 950) // 1000)) AS c FROM docs),
+chunks AS (SELECT k, doc_id, c, substr(h, 2000 * c + 1, 2098) AS h FROM chunk_numbers),
+starts AS (SELECT k, doc_id, c, h, unnest(range(0, length(h) // 2 - 49)) AS p FROM chunks),
+strings AS (SELECT k, doc_id, 1000 * c + p AS p, substr(h, 2 * p + 1, 100) AS w FROM starts),
+least_ids AS (SELECT w, min(doc_id) AS least_id FROM strings GROUP BY w),
+later AS (
+  SELECT k, p, p - lag(p) OVER (PARTITION BY k ORDER BY p) AS step FROM strings JOIN least_ids USING (w) WHERE least_id < doc_id),
+runs AS (SELECT k, p, count(*) FILTER (step IS NULL OR step > 50) OVER (PARTITION BY k ORDER BY p) AS run FROM later),
+spans AS (SELECT k, min(p) AS a, max(p) + 50 AS b FROM runs GROUP BY k, run),
+edges AS (
+  SELECT k, 0 AS pos, -1 AS a, 0 AS b FROM docs UNION ALL SELECT k, a + 1, a, b FROM spans
+  UNION ALL SELECT k, length(h) // 2 + 1, length(h) // 2, length(h) // 2 FROM docs),
+kept AS (SELECT k, b AS a, lead(a) OVER (PARTITION BY k ORDER BY pos) AS b FROM edges),
+rest AS (SELECT k, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM kept JOIN docs USING (k) WHERE b IS NOT NULL GROUP BY k)
+SELECT d.doc_id, length(d.h) // 2 AS n_bytes, (length(d.h) - length(r.h)) // 2 AS n_removed, coalesce(s.n, 0) AS n_spans,
+  sha256(unhex(r.h)) AS kept_sha256
+FROM docs d JOIN rest r ON r.k = d.k LEFT JOIN (SELECT k, count(*) AS n FROM spans GROUP BY k) s ON s.k = d.k"""
+
+
+@query("op4_suffix_array_dedup", _OP4_SQL)
 def op4_suffix_array_dedup(spark: SparkSession, d: str) -> DataFrame:
     return suffix_dedup.without_repeats(table(spark, d, "documents"))
 
@@ -69,7 +90,50 @@ def op6_contextual_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.personal_data(table(spark, d, "documents"))
 
 
-@query("op7_document_fingerprints")
+_OP7_SQL = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id DESC NULLS LAST, coalesce(text, '')) AS k FROM documents),
+pairs AS (
+  SELECT a.doc_id, a.k, a.t, b.k AS after, left(a.t, length(a.t) - length(a.t) // 2) || left(b.t, length(a.t) // 2) AS edited
+  FROM docs a JOIN docs b ON b.k = a.k % (SELECT count(*) FROM docs) + 1),
+texts AS (SELECT k, 0 AS e, encode(t) AS d FROM pairs UNION ALL SELECT k, 1, encode(edited) FROM pairs),
+bytes AS (
+  SELECT k, e, list_transform(regexp_extract_all(hex(d), '..'), lambda h: CAST('0x' || h AS UBIGINT)) AS b FROM texts),
+triplets AS (
+  SELECT k, e, unnest(list_transform(range(1, len(b) - 1), lambda i:
+    (b[i] * {fingerprint.PRIMES[0]} + b[i + 1] * {fingerprint.PRIMES[1]} + b[i + 2] * {fingerprint.PRIMES[2]}) % 4294967296)) AS x
+  FROM bytes),
+counted AS (
+  SELECT k, e, (CAST(xor(x, x >> 15) AS HUGEINT) * {fingerprint.PRIMES[0]}) % 4294967296 // 16777216 AS bucket, count(*) AS n
+  FROM triplets GROUP BY ALL),
+filled AS (
+  SELECT t.k, t.e, list(coalesce(n, 0) ORDER BY r.range) AS n FROM texts t JOIN range({fingerprint.BUCKETS}) r ON true
+  LEFT JOIN counted c ON c.k = t.k AND c.e = t.e AND c.bucket = r.range GROUP BY t.k, t.e),
+quartiles AS (
+  SELECT k, e, n, list_sort(n)[{fingerprint.BUCKETS // 4}] AS q1, list_sort(n)[{fingerprint.BUCKETS // 2}] AS q2,
+    list_sort(n)[{3 * fingerprint.BUCKETS // 4}] AS q3 FROM filled),
+coded AS (
+  SELECT q.k, q.e, list_transform(n, lambda v: CAST(v > q1 AS INT) + CAST(v > q2 AS INT) + CAST(v > q3 AS INT)) AS codes,
+    least(15, 16 * q1 // greatest(1, q3)) AS h1, least(15, 16 * q2 // greatest(1, q3)) AS h2,
+    least(255, CAST(round(ln(1 + len(b)) * 10) AS INT)) AS size FROM quartiles q JOIN bytes b ON b.k = q.k AND b.e = q.e),
+marks AS (
+  SELECT *, format('{{:02x}}{{:x}}{{:x}}', size, h1, h2) || list_aggregate(list_transform(range(1, {fingerprint.BUCKETS}, 2),
+    lambda i: format('{{:x}}', codes[i] * 4 + codes[i + 1])), 'string_agg', '') AS mark FROM coded),
+compared AS (
+  SELECT p.doc_id, p.k, length(p.t) AS n_chars, sha256(p.edited) AS edited_sha256, a.mark AS fingerprint, b.mark AS edited_fingerprint,
+    unnest(['near_edited', 'near_next']) AS part, a AS own, unnest([b, c]) AS other
+  FROM pairs p JOIN marks a ON a.k = p.k AND a.e = 0 JOIN marks b ON b.k = p.k AND b.e = 1 JOIN marks c ON c.k = p.after AND c.e = 0),
+likened AS (
+  SELECT *, greatest(0, 1 - (
+    list_sum(list_transform(range(1, {fingerprint.BUCKETS + 1}), lambda i: [0, 1, 2, 6][abs(own.codes[i] - other.codes[i]) + 1]))
+    + least({fingerprint.LENGTH_MOST}, {fingerprint.LENGTH_COST} * greatest(0, abs(own.size - other.size) - 1))
+    + {fingerprint.QUARTILE_COST} * (least(abs(own.h1 - other.h1), 16 - abs(own.h1 - other.h1)) + least(abs(own.h2 - other.h2), 16 - abs(own.h2 - other.h2)))
+    ) / CAST({fingerprint.CEILING} AS DOUBLE)) AS likeness FROM compared)
+SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, CAST(max(likeness) FILTER (part = 'near_edited') AS DOUBLE) AS near_edited,
+  CAST(max(likeness) FILTER (part = 'near_next') AS DOUBLE) AS near_next
+FROM likened GROUP BY k, doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint"""
+
+
+@query("op7_document_fingerprints", _OP7_SQL)
 def op7_document_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return fingerprint.against_next(table(spark, d, "documents"))
 
