@@ -24,12 +24,13 @@ def cached_texts(doc_texts: DataFrame | TextCache) -> DataFrame:
 
 def with_text(df: DataFrame, url: str, doc_texts: DataFrame | TextCache, name: str = "extracted_text",
               derived: dict[str, Column] | None = None) -> DataFrame:
-    """Adds the cached text of a URL column, NULL where there is none.
+    """Adds the cached text of a URL column, NULL where there is none. Rows without a URL are dealt out by a hash of their own, not to one task.
 
     Columns derived from the text alone are computed on the cache, once per document and not once per reference.
     """
     texts = computed(cached_texts(doc_texts), derived or {}).withColumnRenamed("extracted_text", name)
-    return df.withColumn("clean_url", clean_url(url)).join(texts, "clean_url", "left").drop("clean_url")
+    spread = F.concat(F.lit("#none "), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("string"))  # no cleaned URL holds a #
+    return df.withColumn("clean_url", F.coalesce(clean_url(url), spread)).join(texts, "clean_url", "left").drop("clean_url")
 
 
 # --- people -------------------------------------------------------------------------------------------------------

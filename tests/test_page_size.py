@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill.functions.html import _Codes, read_page, with_tree
+from lexmill.operators.enrich import with_text
 from queries import all_queries, inputs, upkeep
 from queries.registry import QUERIES
 
@@ -44,3 +45,19 @@ def test_pages_of_any_bytes(spark, hex_page, texts):
     df = spark.createDataFrame([(hex_page,), ("3C623E782679",)], "h string").selectExpr("h", "cast(unhex(h) as string) AS html")
     got = {r["h"]: r["texts"] for r in with_tree(df).select("h", "tree.texts").collect()}
     assert got == {hex_page: texts, "3C623E782679": ["", "x&y"]}
+
+
+def test_rows_without_a_url_are_dealt_out(spark):
+    """Their shuffle's partitions before they meet the texts; the texts found stay the same."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        texts = spark.createDataFrame([("c", f"u{i}#p", 1, f"text {i}", 1) for i in range(3)],
+                                      "collection string, url string, size long, extracted_text string, text_size long")
+        rows = spark.range(300).selectExpr("id", "case when id < 4 then 'u' || id || '#q' end AS link")
+        full = with_text(rows, "link", texts)
+        assert len({r[0] for r in full.where("link is null").select(F.spark_partition_id()).collect()}) > 1
+        assert {r["id"]: r["extracted_text"] for r in full.collect()} == {i: f"text {i}" if i < 3 else None for i in range(300)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
