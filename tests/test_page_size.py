@@ -40,6 +40,15 @@ def test_page_is_read_without_lambdas_over_its_tokens(spark):
     assert "sequence(" not in plan
 
 
+def test_references_are_read_without_lambdas(spark):
+    page = "<p title='&quot;a&#34;&amp;quot;'>&eacute&#0065;&#%s;&#%s65;</p>&notit;" % ("9" * 6000, "0" * 5000)
+    df = with_tree(spark.createDataFrame([(page,)], "html string"))
+    assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+    tree = df.first()["tree"]
+    assert tree["texts"] == ["", "éA\ufffdA", "¬it;"]
+    assert [e["markup"] for e in tree["els"]] == ["<p title='\x03a\x03&quot;'>"]
+
+
 @pytest.mark.parametrize("hex_page,texts", [(None, None), ("", [""]), ("3C703EFF3C2F703E", ["", "\ufffd", ""])])
 def test_pages_of_any_bytes(spark, hex_page, texts):
     df = spark.createDataFrame([(hex_page,), ("3C623E782679",)], "h string").selectExpr("h", "cast(unhex(h) as string) AS html")
