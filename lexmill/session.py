@@ -12,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,7 +26,14 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame, name: str = "step") -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts lineage and survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a table to the shared folder and read it back: cuts lineage and survives lost executors.
+
+    Nothing reads the write's own shuffle files again, so Spark removes them when it ends and not when the driver collects its garbage."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

@@ -42,3 +42,13 @@ def test_a_key_that_may_be_null_gets_its_texts(spark):
     texts = spark.createDataFrame([("c", "u", 1, "text", 1)], schema.DOC_TEXTS)
     rows = spark.createDataFrame([(None, "u"), ("k", "u"), ("l", "v")], "key string, link string")
     assert {r["key"]: r["text"] for r in attach_texts(rows, "key", texts, {"text": F.col("link")}).collect()} == {None: "text", "k": "text", "l": None}
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    shuffles = lambda: spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
+    before, key = shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    counts = materialise(spark.range(1000).groupBy(F.col("id") % 7).count())
+    assert shuffles() <= before
+    assert spark.conf.get(key, None) == was
+    assert counts.agg(F.sum("count")).head()[0] == 1000
