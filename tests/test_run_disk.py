@@ -44,6 +44,16 @@ def test_a_key_that_may_be_null_gets_its_texts(spark):
     assert {r["key"]: r["text"] for r in attach_texts(rows, "key", texts, {"text": F.col("link")}).collect()} == {None: "text", "k": "text", "l": None}
 
 
+def test_seen_pages_are_not_shuffled(spark):
+    pages = spark.createDataFrame([("PORTUGAL", f"u{i}", "main", "<p>") for i in range(3000)] + [("PORTUGAL", None, "main", "<p>"), ("PORTUGAL", "u1", "law", "<p>")],
+                                  "country string, url string, kind string, html string")
+    stored = materialise(spark.range(2999).selectExpr("'PORTUGAL' AS country", "'u' || id AS bill_page_url"), "records")
+    new = with_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "4096", "spark.sql.adaptive.enabled": "false"}, lambda: (
+        out := collect.new_pages(pages, stored), moved(out))[::1])
+    assert not [x for x in new[1] if "html#" in x], new[1]
+    assert sorted((r["url"] or "", r["kind"]) for r in new[0].collect()) == [("", "main"), ("u1", "law"), ("u2999", "main")]
+
+
 def test_a_written_step_leaves_no_shuffle_files(spark):
     shuffles = lambda: spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
     before, key = shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
