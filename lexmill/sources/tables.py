@@ -44,21 +44,21 @@ def read_amendment_files(spark: SparkSession, folder: str, manifest: DataFrame)
 
     `manifest(file_path, amendment_file_id, amendment_file_url, bill_title)` has one row per file. Every file is read by its own header: columns
     in any order, unknown ones left out, missing ones NULL. A file's header is its first row, found by a minimum that is combined
-    before the shuffle; the headers, one row per file, are joined to the rows by path.
+    before the shuffle; the headers, one row per file, are broadcast, so the rows stay where they are read.
     """
     columns = ", ".join(f"_c{i} string" for i in range(WIDEST + 1))
     cells = (spark.read.option("sep", ";").option("header", False).option("multiLine", True).option("escape", '"').schema(columns).csv(folder)
              .select(F.array(*[F.col(f"_c{i}") for i in range(WIDEST + 1)]).alias("cells"), F.col("_metadata.file_path").alias("path")))
-    width = F.coalesce(F.array_max(F.transform("cells", lambda c, i: F.when(c.isNotNull(), i + 1))), F.lit(0))
-    cells = cells.withColumn("cells", F.slice("cells", F.lit(1), width))
     numbered = cells.withColumn("_row", F.monotonically_increasing_id())  # a file is read by one task, from its start
-    names = F.transform("cells", lambda c: F.trim(F.regexp_replace(c, "^\ufeff", "")))
-    headers = numbered.groupBy("path").agg(F.min_by("cells", "_row").alias("cells")).select("path", F.col("cells").alias("head"), names.alias("names"))
+    # All rows have the widest length, filled up with NULL; only the few headers are cut to their own.
+    width = F.coalesce(F.array_max(F.transform("head", lambda c, i: F.when(c.isNotNull(), i + 1))), F.lit(0))
+    names = F.transform(F.slice("head", F.lit(1), width), lambda c: F.trim(F.regexp_replace(c, "^\ufeff", "")))
+    headers = numbered.groupBy("path").agg(F.min_by("cells", "_row").alias("head")).select("path", "head", names.alias("names"))
     wide = F.concat(F.lit(f"more than {WIDEST} columns in "), "path")
     headers = headers.withColumn("names", F.when(F.size("names") > WIDEST, F.raise_error(wide)).otherwise(F.col("names")))
     known = manifest.withColumn("_key", file_key(F.col("file_path"))).drop("file_path")
     headers = headers.withColumn("_key", file_key(F.col("path"))).join(known, "_key").drop("_key")
-    rows = cells.join(headers, "path").where(~F.col("cells").eqNullSafe(F.col("head")))
+    rows = cells.join(F.broadcast(headers), "path").where(~F.col("cells").eqNullSafe(F.col("head")))
 
     def value(name: str) -> Column:
         place = F.array_position("names", F.lit(name))

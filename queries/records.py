@@ -47,6 +47,9 @@ def _(spark, d):
     return tables.read_doc_texts(spark, path, "src1").select("url", "size")
 
 
+ROWS_PER_SHARE = 500_000  # of all files' rows; a file is read by one task
+
+
 @query("S4_amendment_files", with_sql(AMENDMENT_ROWS) + """
     SELECT amendment_file_id, 'https://files.example.org/' || amendment_file_id AS amendment_file_url,
       'Title of ' || amendment_file_id AS bill_title, "Numéro de l'amendement" AS number, "Etape du texte" AS stage,
@@ -55,7 +58,10 @@ def _(spark, d):
 def _(spark, d):
     path = new_path(spark, "amendment_files")
     rows = amendment_rows(spark, d).drop("bill_title")
-    (rows.repartition("amendment_file_id").write.partitionBy("amendment_file_id")
+    # The more rows there are, the more files an id has.
+    shares = max(1, -(-rows.count() // ROWS_PER_SHARE))
+    share = F.pmod(F.xxhash64("Numéro de l'amendement"), F.lit(shares))
+    (rows.repartition(max(spark.sparkContext.defaultParallelism, shares), "amendment_file_id", share).write.partitionBy("amendment_file_id")
      .options(**sinks.WRITE_OPTIONS, sep=";").csv(path))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path")
     file_id = F.regexp_extract("path", "amendment_file_id=([^/]+)/", 1)
